@@ -43,6 +43,13 @@ def count_join_back(df: DataFrame, keys: Sequence[str], out: str = "n", count_co
     row on the count side; AQE splits the detail side of a skewed join.
     """
     cnt = F.count(F.col(count_col)) if count_col else F.count(F.lit(1))
+    if len(keys) > 3:
+        # many key columns: one struct key (plus a hash to spread it), so the
+        # join carries two conditions instead of one per column
+        d = df.withColumns({"_kh": F.xxhash64(*keys), "_ks": F.struct(*keys)})
+        agg = d.groupBy("_kh", "_ks").agg(cnt.alias(out)).withColumnsRenamed({"_kh": "_kh2", "_ks": "_ks2"})
+        cond = [d["_kh"] == agg["_kh2"], d["_ks"].eqNullSafe(agg["_ks2"])]
+        return d.join(agg, cond, "left").drop("_kh", "_ks", "_kh2", "_ks2")
     agg = df.groupBy(*keys).agg(cnt.alias(out))
     ren = {k: f"_k_{i}" for i, k in enumerate(keys)}
     agg = agg.withColumnsRenamed(ren)

@@ -68,10 +68,19 @@ def leave_one_out_sentinel(df: DataFrame, key: str, col: str, out: str, sentinel
             .drop("_jk", "_gs"))
 
 
-def duplicate_flag(df: DataFrame, cols: Sequence[str], out: str = "IsDup") -> DataFrame:
-    """WN6: 1 on every row whose values in ``cols`` occur more than once (NULLs equal)."""
-    return (count_join_back(df, cols, "_dupn")
-            .withColumn(out, (F.col("_dupn") > 1).cast("int")).drop("_dupn"))
+def duplicate_flag(df: DataFrame, cols: Sequence[str], out: str = "IsDup", hashed: bool = False) -> DataFrame:
+    """WN6: 1 on every row whose values in ``cols`` occur more than once (NULLs equal).
+
+    Wide keys join on (64-bit hash, struct of the columns): the hash spreads
+    the rows, the struct comparison means a collision cannot flag a row.
+    """
+    keys = list(cols)
+    if hashed and len(keys) <= 3:
+        d = df.withColumn("_dh", F.xxhash64(*cols))
+        res = count_join_back(d, ["_dh", *keys], "_dupn").drop("_dh")
+    else:
+        res = count_join_back(df, keys, "_dupn")  # wide keys are hashed there
+    return res.withColumn(out, (F.col("_dupn") > 1).cast("int")).drop("_dupn")
 
 
 def same_place_count(df: DataFrame, cols: Sequence[str], out: str = "nofcrimes",

@@ -90,3 +90,39 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
            .withColumns({c: F.col(c).cast("double") for c in ["nofdev", "nofurl", "nofctry", "avgnofbids"]})
            .drop("_maxtd"))
     return res.select(*[c for c in FEATURE_COLUMNS if c in res.columns])
+
+
+def run_flow(bids: DataFrame, bidders: DataFrame, num_trees: int = 150, max_depth: int = 30,
+             lr_iter: int = 100, k: int = 3):
+    """ML17: returns (submission, cv accuracy (forest), out-of-fold OR-vote accuracy).
+
+    The feature table is built once per split; folds follow bidder_id order
+    (the reference's aggregate output order).
+    """
+    from ..functions.scalar import vote_or
+    from ..operators import ids as ID
+    from ..operators import model as M
+    from ..operators.metric import accuracy
+
+    train = M.assemble(bidder_features(bids, bidders, "train").withColumn("label", F.col("outcome")),
+                       PREDICTORS).persist()
+    test = bidder_features(bids, bidders, "test", with_outcome=False)
+    n = train.count()
+
+    def rf(d):
+        return M.random_forest("label", "features", num_trees, 2, max_depth).fit(d)
+
+    def lr(d):
+        return M.logistic(n, "label", "features", lr_iter).fit(d)
+
+    strat = ID.kfold_stratified(train, "label", ["bidder_id"], k, "fold")
+    cv = M.cv_accuracy(strat, "fold", k, rf, "label")
+    contig = ID.kfold_contiguous(train, ["bidder_id"], k, "fold")
+    oof = M.oof_scores(contig, "bidder_id", "fold", k, [("rf", rf), ("lr", lr)])
+    wide = oof.groupBy("bidder_id").pivot("model", ["rf", "lr"]).agg(F.first("score"))
+    vote = wide.select("bidder_id", vote_or("rf", "lr").cast("double").alias("prediction"))
+    oof_acc = accuracy(vote.join(train.select("bidder_id", "label"), "bidder_id"))
+    model = rf(train)
+    sub = model.transform(M.assemble(test, PREDICTORS)).select(
+        "bidder_id", F.col("prediction").cast("int").alias("predictions"))
+    return sub, cv, oof_acc

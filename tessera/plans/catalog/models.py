@@ -7,3 +7,182 @@ from pyspark.sql import functions as F
 from ...sources import fixtures as fx
 from ...sources.tables import table
 from ..registry import query
+from pyspark.ml.functions import array_to_vector
+
+from ...functions import scalar as S
+from ...operators import ids as ID
+from ...operators import metric as MT
+from ...operators import model as M
+from .. import bidders as BD
+from .. import digits as DG
+from .. import incidents as INC
+from .. import passengers as PS
+
+
+@query("vote_and", ["votes"], "SELECT row_id, CAST(coalesce(s1 > 0.5, false) AND coalesce(s2 > 0.5, false) AS INTEGER) AS vote FROM votes")
+def vote_and(spark, d):
+    """SC14/ML12: both scores above 0.5."""
+    return fx.votes(spark, d).select("row_id", S.vote_and("s1", "s2").cast("int").alias("vote"))
+
+
+@query("vote_or", ["votes"], "SELECT row_id, CAST(coalesce(s1 > 0.5, false) OR coalesce(s2 > 0.5, false) AS INTEGER) AS vote FROM votes")
+def vote_or(spark, d):
+    """SC14/ML13: either score above 0.5."""
+    return fx.votes(spark, d).select("row_id", S.vote_or("s1", "s2").cast("int").alias("vote"))
+
+
+@query("metric_accuracy", ["votes"], """
+p AS (""" + """SELECT row_id, x AS vote FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY n DESC, i ASC) AS rn FROM
+  (SELECT *, count(*) OVER (PARTITION BY row_id, x) AS n FROM
+    (SELECT row_id, unnest([p0, p1, p2, p3, p4]) AS x, generate_subscripts([p0, p1, p2, p3, p4], 1) AS i FROM votes) e) c) z
+  WHERE rn = 1)
+SELECT avg(CAST(p.vote = v.label % 4 AS DOUBLE)) AS accuracy FROM p JOIN votes v USING (row_id)""")
+def metric_accuracy(spark, d):
+    """ML15: accuracy of the plurality vote against label mod 4."""
+    from ...functions.arrays import plurality_vote
+    v = fx.votes(spark, d)
+    p = v.select(plurality_vote(F.array(*[f"p{m}" for m in range(5)])).alias("prediction"),
+                 (F.col("label") % 4).alias("label"))
+    return MT.accuracy(p, "prediction", "label")
+
+
+@query("metric_log_loss", ["votes"], """
+SELECT -avg(ln(greatest(least(
+    (CASE label % 3 WHEN 0 THEN s1 WHEN 1 THEN s2 ELSE 1.0 END) / (s1 + s2 + 1.0),
+    1 - 1e-15), 1e-15))) AS log_loss FROM votes""")
+def metric_log_loss(spark, d):
+    """ML16: multiclass log loss of the (renormalised) vector (s1, s2, 1) against label mod 3."""
+    v = fx.votes(spark, d).select(F.array("s1", "s2", F.lit(1.0)).alias("proba"), (F.col("label") % 3).alias("label"))
+    return MT.log_loss(v, "proba", "label")
+
+
+@query("fit_linear", None, """
+SELECT regr_slope(l_extendedprice, l_quantity) AS coef, regr_intercept(l_extendedprice, l_quantity) AS intercept
+FROM lineitem""")
+def fit_linear(spark, d):
+    """ML4: MLlib linear regression, one predictor (checked against regr_*)."""
+    li = M.assemble(table(spark, d, "lineitem"), ["l_quantity"])
+    m = M.linear("l_extendedprice", "features").fit(li)
+    return li.limit(1).select(F.lit(float(m.coefficients[0])).alias("coef"),
+                              F.lit(float(m.intercept)).alias("intercept"))
+
+
+def _bidder_train(spark, d):
+    feats = BD.bidder_features(fx.bids(spark, d), fx.bidders(spark, d), "train")
+    return M.assemble(feats.withColumn("label", F.col("outcome")), BD.PREDICTORS)
+
+
+@query("fit_random_forest")
+def fit_random_forest(spark, d):
+    """ML1 (+ML8): forest on the bidder features, hard predictions (small settings)."""
+    tr = _bidder_train(spark, d)
+    m = M.random_forest("label", "features", num_trees=20, min_leaf=2, max_depth=8).fit(tr)
+    return m.transform(tr).select("bidder_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("fit_logistic")
+def fit_logistic(spark, d):
+    """ML2: logistic regression (C = 1 equivalent) on the bidder features."""
+    tr = _bidder_train(spark, d)
+    m = M.logistic(tr.count(), "label", "features", 50).fit(tr)
+    return M.positive_proba(m.transform(tr)).select("bidder_id", "score")
+
+
+@query("predict_proba")
+def predict_proba(spark, d):
+    """ML9: positive-class probability and the whole vector from a forest."""
+    tr = _bidder_train(spark, d)
+    m = M.random_forest("label", "features", num_trees=10, min_leaf=2, max_depth=5).fit(tr)
+    out = M.proba_array(M.positive_proba(m.transform(tr)))
+    return out.select("bidder_id", "score", "proba")
+
+
+@query("cv_scores")
+def cv_scores(spark, d):
+    """ML10: 3-fold stratified CV accuracy of a forest (folds 0..2 and mean as -1)."""
+    tr = ID.kfold_stratified(_bidder_train(spark, d), "label", ["bidder_id"], 3, "fold")
+    return M.cv_accuracy(tr, "fold", 3, lambda x: M.random_forest("label", "features", 10, 2, 5).fit(x), "label")
+
+
+@query("oof_predictions")
+def oof_predictions(spark, d):
+    """ML11: out-of-fold scores of forest and logistic regression, contiguous folds."""
+    tr = _bidder_train(spark, d).persist()
+    n = tr.count()
+    tr = ID.kfold_contiguous(tr, ["bidder_id"], 3, "fold")
+    return M.oof_scores(tr, "bidder_id", "fold", 3, [
+        ("rf", lambda x: M.random_forest("label", "features", 10, 2, 5).fit(x)),
+        ("lr", lambda x: M.logistic(n, "label", "features", 30).fit(x))])
+
+
+@query("fit_gbt_multiclass")
+def fit_gbt_multiclass(spark, d):
+    """ML3: one-vs-rest boosted trees on the incident features, class probabilities (small settings)."""
+    feats, enc, _ = INC.train_features(fx.incidents(spark, d))
+    cols = INC.all_feature_columns(enc)
+    from ...operators import encode as E
+    tr = M.assemble(feats.join(E.label_index(feats, "Category", "label"), "Category"), cols) \
+        .withColumn("label", F.col("label").cast("double"))
+    m = M.fit_gbt_multiclass(tr, len(enc.classes), "label", "features", max_iter=3, max_depth=3)
+    return m.transform(tr, "features", "proba").select("row_id", "proba", "prediction")
+
+
+def _digits_split(spark, d):
+    dg = fx.digits(spark, d)
+    return dg.withColumn("features", array_to_vector("px")).withColumn("label", F.col("label").cast("double"))
+
+
+@query("fit_mlp")
+def fit_mlp(spark, d):
+    """ML5: perceptron 64-32-10 with L-BFGS on the pixel vectors (small settings)."""
+    dg = _digits_split(spark, d)
+    m = M.mlp(64, [32], 10, "label", "features", 20).fit(dg)
+    return m.transform(dg).select("row_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("fit_poly_svm")
+def fit_poly_svm(spark, d):
+    """ML6: PCA(8) -> degree-2 expansion -> one-vs-rest linear SVM (small settings)."""
+    pc, _ = M.pca_project(fx.digits(spark, d), "px", 8, "pca")
+    pc = pc.withColumn("features", array_to_vector("pca")).withColumn("label", F.col("label").cast("double"))
+    f = M.fit_poly_svm(pc, 2, "label", "features", 5)
+    return f(pc).select("row_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("fit_augmented_mlp")
+def fit_augmented_mlp(spark, d):
+    """ML7: perceptron on scaled, shifted (x5) and rotated images; predicts the originals."""
+    from ...operators import image as IM
+    dg = fx.digits(spark, d).withColumn("label", F.col("label").cast("double"))
+    aug = IM.augment_rotate(IM.scale_and_augment(dg, "px", "width"), "px", "width", "row_id", 1)
+    m = M.mlp(64, [32], 10, "label", "features", 10).fit(aug.withColumn("features", array_to_vector("px")))
+    return m.transform(dg.withColumn("features", array_to_vector("px"))).select(
+        "row_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("flow_passengers")
+def flow_passengers(spark, d):
+    """ML17: passengers end to end -> submission (PassengerId, Survived)."""
+    sub, _, _ = PS.run_flow(fx.passengers(spark, d), num_trees=20, max_depth=8, lr_iter=30)
+    return sub
+
+
+@query("flow_bidders")
+def flow_bidders(spark, d):
+    """ML17: bidders end to end -> submission (bidder_id, predictions)."""
+    sub, _, _ = BD.run_flow(fx.bids(spark, d), fx.bidders(spark, d), num_trees=20, max_depth=8, lr_iter=30)
+    return sub
+
+
+@query("flow_incidents")
+def flow_incidents(spark, d):
+    """ML18: incidents end to end -> Id + one probability column per category."""
+    sub, _ = INC.run_flow(fx.incidents(spark, d), max_iter=3, max_depth=3)
+    return sub
+
+
+@query("flow_digits")
+def flow_digits(spark, d):
+    """ML19: digits end to end -> (ImageId, Label) by a five-voter plurality."""
+    return DG.run_flow(fx.digits(spark, d), (F.col("row_id") % 5) == 0, hidden=(32, 16), deep_hidden=(32,),
+                       pca_k=8, num_trees=20, max_iter=20, svm_iter=5)

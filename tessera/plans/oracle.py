@@ -80,4 +80,8 @@ SQL: dict[str, str] = {}
 
 
 def register(name: str, fixtures, body: str) -> None:
-    SQL[name] = with_fix(fixtures, body) if fixtures else body.strip()
+    if fixtures:
+        SQL[name] = with_fix(fixtures, body)
+    else:
+        b = body.strip()
+        SQL[name] = b if b.upper().startswith(("SELECT", "WITH")) else f"WITH {b}"

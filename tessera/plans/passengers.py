@@ -105,3 +105,42 @@ def passenger_features(p: DataFrame, order_train_first: bool = True) -> DataFram
     base = base.withColumn("helpdummy", F.coalesce(
         (helped & ((F.col("Sex") == 1) | (F.col("Age") < 18))).cast("int"), F.lit(0)))
     return base.drop("_last", "_ord")
+
+
+def run_flow(p: DataFrame, num_trees: int = 150, max_depth: int = 30, lr_iter: int = 100, k: int = 3):
+    """ML17: returns (submission, cv accuracy per fold, out-of-fold AND-vote accuracy).
+
+    Folds: stratified contiguous (cross-validation score) and contiguous in
+    row order (out-of-fold vote), both numbered without a single-partition
+    window. Forest and logistic regression each read their own predictor list.
+    """
+    from ..operators import ids as ID
+    from ..operators import model as M
+    from ..operators.metric import accuracy
+
+    feats = passenger_features(p)
+    train = feats.where(F.col("split") == "train").withColumn("label", F.col("Survived").cast("double"))
+    test = feats.where(F.col("split") == "test")
+    tr_f = M.assemble(train, FOREST_PREDICTORS, "f_rf")
+    tr_f = M.assemble(tr_f, LOGISTIC_PREDICTORS, "f_lr").persist()
+    n = tr_f.count()
+
+    def rf(d):
+        return M.random_forest("label", "f_rf", num_trees, 3, max_depth).fit(d)
+
+    def lr(d):
+        return M.logistic(n, "label", "f_lr", lr_iter).fit(d)
+
+    strat = ID.kfold_stratified(tr_f, "label", ["row_id"], k, "fold")
+    cv = M.cv_accuracy(strat, "fold", k, rf, "label")
+    contig = ID.kfold_contiguous(tr_f, ["row_id"], k, "fold")
+    oof = M.oof_scores(contig, "row_id", "fold", k, [("rf", rf), ("lr", lr)])
+    wide = oof.groupBy("row_id").pivot("model", ["rf", "lr"]).agg(F.first("score"))
+    vote = wide.select("row_id", S.vote_and("rf", "lr").cast("double").alias("prediction"))
+    oof_acc = accuracy(vote.join(tr_f.select("row_id", "label"), "row_id"))
+    m_rf, m_lr = rf(tr_f), lr(tr_f)
+    te = M.assemble(M.assemble(test, FOREST_PREDICTORS, "f_rf"), LOGISTIC_PREDICTORS, "f_lr")
+    s_rf = M.positive_proba(m_rf.transform(te), "probability", "s_rf").select("PassengerId", "f_lr", "s_rf")
+    s_lr = M.positive_proba(m_lr.transform(s_rf), "probability", "s_lr")
+    sub = s_lr.select("PassengerId", S.vote_and("s_rf", "s_lr").cast("int").alias("Survived"))
+    return sub, cv, oof_acc

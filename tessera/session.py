@@ -28,6 +28,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.ansi.enabled": "true",
     }
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

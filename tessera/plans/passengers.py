@@ -119,6 +119,9 @@ def run_flow(p: DataFrame, num_trees: int = 150, max_depth: int = 30, lr_iter: i
     from ..operators.metric import accuracy
 
     feats = passenger_features(p)
+    # a title group with no known age keeps NULL ages in the feature table;
+    # the models need a value, so those take the global median (PR14)
+    feats = P.fill_global_median(feats, "Age")
     train = feats.where(F.col("split") == "train").withColumn("label", F.col("Survived").cast("double"))
     test = feats.where(F.col("split") == "test")
     tr_f = M.assemble(train, FOREST_PREDICTORS, "f_rf")

@@ -150,3 +150,38 @@ def incident_features(spark, d):
     """FE14: the whole incident feature table of the train rows (unscaled)."""
     feats, _, _ = INC.train_features(fx.incidents(spark, d))
     return feats.drop("Category")
+
+
+@query("stream_stateless_features", ["incidents"], """
+tr AS (SELECT * FROM incidents WHERE split = 'train'),
+n AS (SELECT count(*) AS N FROM tr),
+pa AS (SELECT Address, CASE WHEN count(*) < max(N) THEN ln(count(*) / max(N)) - ln(1 - count(*) / max(N)) END AS logoddsPA
+       FROM tr, n GROUP BY Address)
+SELECT row_id, CAST(hour(Dates) AS INTEGER) AS Time, CAST(month(Dates) AS INTEGER) AS Month,
+       CAST(hour(Dates) = 0 OR hour(Dates) BETWEEN 8 AND 23 AS INTEGER) AS Awake,
+       CAST(contains(Address, '/') AS INTEGER) AS IsInterection, pa.logoddsPA
+FROM incidents LEFT JOIN pa USING (Address)""")
+def stream_stateless_features(spark, d):
+    """§2.12: the events file read as a stream, turned into incident rows, given
+    row-wise features and a stream-static lookup of the fitted address
+    frequencies; written by a checkpointed file sink and read back."""
+    from ...functions import scalar as S
+    from ...operators import encode as E
+    from ...streaming.stateless import run_available
+
+    freq = E.fit_freq_log_odds(fx.incidents(spark, d).where(F.col("split") == "train"), "Address") \
+        .select("Address", "logoddsPA")
+    events_schema = table(spark, d, "events").schema
+
+    def transform(ev):
+        u = F.col("user_id")
+        inc = ev.select(F.col("event_id").alias("row_id"), F.col("ts").alias("Dates"),
+                        F.concat(u.cast("string"), F.when(u % 3 == 0, F.lit(" A / B"))
+                                 .otherwise(F.lit(" BLOCK"))).alias("Address"))
+        return (inc.join(freq, "Address", "left")
+                .select("row_id", F.hour("Dates").alias("Time"), F.month("Dates").alias("Month"),
+                        S.hour_band_flag(F.hour("Dates")).alias("Awake"),
+                        S.contains_flag("Address", "/").alias("IsInterection"), "logoddsPA"))
+
+    out = run_available(spark, d, events_schema, transform, "features", glob="events.parquet")
+    return spark.read.parquet(out)

@@ -4,7 +4,8 @@ Group totals on every row are computed as a partial aggregate joined back
 rather than as a window over the group: a window puts each group into one
 task, while the aggregate is combined map-side and the join's hot detail
 side is split by AQE skew handling. Only the lag (WN1) needs the rows of a
-group in order, and it uses a window.
+group in order: a window by default, or a self-join on global row numbers
+when a group may be hot.
 """
 
 from __future__ import annotations
@@ -20,17 +21,35 @@ from .relate import count_join_back
 
 
 def lag_in_group(df: DataFrame, keys: Sequence[str], order: str, col: str, out: str,
-                 offset: int = 1) -> DataFrame:
-    """WN1: previous value of ``col`` within the group, in ``order`` (unique)."""
-    w = W.partitionBy(*keys).orderBy(order)
-    return df.withColumn(out, F.lag(col, offset).over(w))
+                 offset: int = 1, skew_safe: bool = False) -> DataFrame:
+    """WN1: previous value of ``col`` within the group, in ``order`` (unique).
+
+    Default: a window partitioned by the group keys (one shuffle; every
+    group is handled by one task). ``skew_safe``: rows are numbered globally
+    in (keys, order) and each row is joined to the row numbered ``offset``
+    before it. The lag holds when that row has the same keys. The join key
+    is unique, so a group holding a large share of all rows is spread evenly.
+    """
+    if not skew_safe:
+        w = W.partitionBy(*keys).orderBy(order)
+        return df.withColumn(out, F.lag(col, offset).over(w))
+    g = row_number_global(df, [*keys, order], "_lg")
+    prev = g.select((F.col("_lg") + offset).alias("_lg"),
+                    *[F.col(k).alias(f"_lk{i}") for i, k in enumerate(keys)], F.col(col).alias("_lv"))
+    same = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_lk{i}"))
+        same = c if same is None else same & c
+    return (g.join(prev, "_lg", "left")
+            .withColumn(out, F.when(same, F.col("_lv")))
+            .drop("_lg", "_lv", *[f"_lk{i}" for i in range(len(keys))]))
 
 
 def time_since_prev(df: DataFrame, keys: Sequence[str], order: str, time_col: str,
-                    out: str = "timediff", lag_out: str | None = None) -> DataFrame:
+                    out: str = "timediff", lag_out: str | None = None, skew_safe: bool = False) -> DataFrame:
     """WN2: ``time - previous time`` in the group; microseconds for timestamps."""
     lag_name = lag_out or "_lag"
-    d = lag_in_group(df, keys, order, time_col, lag_name)
+    d = lag_in_group(df, keys, order, time_col, lag_name, skew_safe=skew_safe)
     if dict(d.dtypes)[time_col].startswith("timestamp"):
         diff = F.timestamp_diff("MICROSECOND", F.col(lag_name), F.col(time_col))
     else:

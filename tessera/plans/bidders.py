@@ -1,8 +1,9 @@
 """Bidder flow: bid log + bidder table -> feature table -> models -> submission.
 
 Plan shape (FE15):
-  bids --lag window, shuffle on (bidder, auction)--> per (bidder, auction)
-  aggregate (same partitioning, no new shuffle) --> per bidder aggregate.
+  bids --lag (global numbering + self-join on the row number, so a hot
+  (bidder, auction) is spread)--> per (bidder, auction) partial aggregate
+  --> per bidder aggregate.
   bids --shuffle on auction--> winner per auction --> wins per winner.
   bidders(split) left-join both per-bidder tables (all keyed on bidder_id).
 The per-bidder tables are computed once from all bids and shared by the
@@ -24,13 +25,15 @@ FEATURE_COLUMNS = ["bidder_id", "nofbids", "outcome", "nofdev", "nofurl", "nofct
                    "avgtimediff", "nofmer", "nofauc", "nofwins", "nofwins2", "winpct"]
 
 
-def bids_with_timediff(bids: DataFrame) -> DataFrame:
+def bids_with_timediff(bids: DataFrame, skew_safe: bool = True) -> DataFrame:
     """WN1+WN2: previous bid time in (bidder, auction) and the difference (us).
 
     Rows with a NULL bidder or auction belong to no group (pandas drops NULL
-    keys), so their lag is NULL.
+    keys), so their lag is NULL. One (bidder, auction) may hold a large share
+    of the bids (a bot), so the lag is skew-safe by default.
     """
-    d = WN.time_since_prev(bids, ["bidder_id", "auction"], "bid_id", "time", "timediff", "timelag")
+    d = WN.time_since_prev(bids, ["bidder_id", "auction"], "bid_id", "time", "timediff", "timelag",
+                           skew_safe=skew_safe)
     keyed = F.col("bidder_id").isNotNull() & F.col("auction").isNotNull()
     return d.withColumns({"timelag": F.when(keyed, F.col("timelag")),
                           "timediff": F.when(keyed, F.col("timediff"))})
@@ -71,9 +74,9 @@ def wins(bids: DataFrame) -> DataFrame:
 
 
 def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "train",
-                    with_outcome: bool = True) -> DataFrame:
+                    with_outcome: bool = True, skew_safe: bool = True) -> DataFrame:
     """FE15: one row per bidder of the split (all bidders if ``split`` is None)."""
-    td = bids_with_timediff(bids)
+    td = bids_with_timediff(bids, skew_safe)
     per_bidder = per_bidder_auction_features(td)
     max_td = td.agg(F.max("timediff").cast("double").alias("_maxtd"))  # one row
     ent = bidders if split is None else bidders.where(F.col("split") == split)

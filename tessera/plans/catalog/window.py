@@ -153,3 +153,12 @@ def row_index_reset(spark, d):
     """ID2: 0..n-1 over the filtered rows."""
     i = fx.incidents(spark, d).where(F.col("split") == "train").select("row_id")
     return ID.row_index_reset(i, ["row_id"], "index")
+
+
+@query("lag_in_group_skew_safe", ["bids"], """
+SELECT bid_id, bidder_id, auction, lag(time) OVER (PARTITION BY bidder_id, auction ORDER BY bid_id) AS timelag
+FROM bids""")
+def lag_in_group_skew_safe(spark, d):
+    """WN1, skew-safe form: self-join on the global row number in (bidder, auction, bid)."""
+    b = fx.bids(spark, d).select("bid_id", "bidder_id", "auction", "time")
+    return WN.lag_in_group(b, ["bidder_id", "auction"], "bid_id", "time", "timelag", skew_safe=True).drop("time")

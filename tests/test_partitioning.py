@@ -44,6 +44,19 @@ def test_lag_first_last_any_partitioning(spark):
         assert lag == ref_lag and agg == ref_agg
 
 
+def test_skew_safe_lag_equals_window(spark):
+    b = fx.bids(spark, SF_SMALL)
+    want = _rows(WN.lag_in_group(b, ["bidder_id", "auction"], "bid_id", "time", "lt"), ["bid_id", "lt"])
+    for n in (1, 6):
+        got = WN.lag_in_group(b.repartition(n), ["bidder_id", "auction"], "bid_id", "time", "lt", skew_safe=True)
+        assert _rows(got, ["bid_id", "lt"]) == want
+    # a single hot group spanning every partition
+    hot = b.withColumn("auction", F.lit("x")).withColumn("bidder_id", F.lit(1))
+    want = _rows(WN.lag_in_group(hot, ["bidder_id", "auction"], "bid_id", "time", "lt"), ["bid_id", "lt"])
+    got = WN.lag_in_group(hot, ["bidder_id", "auction"], "bid_id", "time", "lt", skew_safe=True)
+    assert _rows(got, ["bid_id", "lt"]) == want
+
+
 def test_dense_id_any_partitioning(spark):
     p = fx.passengers(spark, SF_SMALL).withColumn("k", F.col("row_id") % 17)
     ref = None

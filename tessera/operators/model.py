@@ -1,13 +1,16 @@
 """Models and cross-validation on MLlib (ML1-ML11, FE4, FE10).
 
 Every fit is a distributed MLlib fit. The only driver loops are over a fixed,
-small number of folds, models or classes (each iteration launches
-distributed jobs); no loop runs over rows or keys.
+small number of folds, models or classes; no loop runs over rows or keys.
+Independent fits (classes of a one-vs-rest model, folds, models) are
+submitted from a small thread pool, so their jobs share the cluster
+instead of queueing one after another. The shared input is persisted once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Model
@@ -22,6 +25,16 @@ from pyspark.sql import functions as F
 
 from .encode import apply_standardizer, fit_standardizer
 
+# concurrent independent fits (jobs submitted from driver threads)
+PARALLEL_FITS = 4
+
+
+def _parallel(fn, items, workers: int = PARALLEL_FITS) -> list:
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as ex:
+        return list(ex.map(fn, items))
+
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", handle_invalid: str = "error") -> DataFrame:
     """FE10: named numeric columns -> one vector column."""
@@ -79,26 +92,31 @@ class GBTMulticlass:
 
 def fit_gbt_multiclass(df: DataFrame, n_classes: int, label: str = "label", features: str = "features",
                        max_iter: int = 50, max_depth: int = 5, step: float = 0.1, seed: int = 1) -> GBTMulticlass:
-    """ML3 fit: ``n_classes`` binary fits on (label == k); labels are 0..n-1."""
-    models = []
-    for k in range(n_classes):
-        d = df.withColumn("_yk", (F.col(label) == k).cast("double"))
+    """ML3 fit: ``n_classes`` binary fits on (label == k); labels are 0..n-1, fitted concurrently."""
+    base = df.select(label, features).persist()
+
+    def fit(k):
+        d = base.withColumn("_yk", (F.col(label) == k).cast("double"))
         g = GBTClassifier(labelCol="_yk", featuresCol=features, maxIter=max_iter, maxDepth=max_depth,
                           stepSize=step, seed=seed)
-        models.append(g.fit(d))
+        return g.fit(d)
+
+    models = _parallel(fit, list(range(n_classes)))
+    base.unpersist()
     return GBTMulticlass(models, n_classes)
 
 
 def poly_svm(degree: int, label: str = "label", features: str = "features", max_iter: int = 100):
     """ML6: polynomial feature expansion + one-vs-rest linear SVM (the kernel SVM re-aimed)."""
     return (PolynomialExpansion(degree=degree, inputCol=features, outputCol="_poly"),
-            OneVsRest(classifier=LinearSVC(maxIter=max_iter, regParam=0.0), labelCol=label, featuresCol="_poly"))
+            OneVsRest(classifier=LinearSVC(maxIter=max_iter, regParam=0.0), labelCol=label, featuresCol="_poly",
+                      parallelism=PARALLEL_FITS))
 
 
 def fit_poly_svm(df: DataFrame, degree: int, label: str = "label", features: str = "features",
                  max_iter: int = 100):
     expand, ovr = poly_svm(degree, label, features, max_iter)
-    model = ovr.fit(expand.transform(df))
+    model = ovr.fit(expand.transform(df.select(label, features)).persist())
     return lambda d: model.transform(expand.transform(d)).drop("_poly", "rawPrediction")
 
 
@@ -127,11 +145,11 @@ def pca_project(df: DataFrame, col: str, k: int, out: str = "pca"):
 
 def fold_fits(df: DataFrame, fold: str, k: int, make: Callable[[DataFrame], Model],
               score: Callable[[Model, DataFrame], DataFrame]) -> DataFrame:
-    """Fit on all folds but one, score the held-out fold, for each of k folds;
-    the held-out results are unioned (each row scored once)."""
+    """Fit on all folds but one, score the held-out fold, for each of k folds
+    (fits run concurrently); the held-out results are unioned (each row scored once)."""
+    models = _parallel(lambda f: make(df.where(F.col(fold) != f)), list(range(k)))
     out = None
-    for f in range(k):
-        model = make(df.where(F.col(fold) != f))
+    for f, model in enumerate(models):
         s = score(model, df.where(F.col(fold) == f)).withColumn(fold, F.lit(f))
         out = s if out is None else out.unionByName(s)
     return out
@@ -140,6 +158,7 @@ def fold_fits(df: DataFrame, fold: str, k: int, make: Callable[[DataFrame], Mode
 def cv_accuracy(df: DataFrame, fold: str, k: int, make, label: str = "label") -> DataFrame:
     """ML10: accuracy per held-out fold, plus the mean as fold -1."""
     from .metric import accuracy_by
+    df = df.persist()
     preds = fold_fits(df, fold, k, make, lambda m, d: m.transform(d).select(fold, label, "prediction"))
     per = accuracy_by(preds, [fold], "prediction", label)
     mean = per.agg(F.avg("accuracy").alias("accuracy")).select(F.lit(-1).alias(fold), "accuracy")
@@ -150,6 +169,7 @@ def oof_scores(df: DataFrame, row_id: str, fold: str, k: int,
                models: Sequence[tuple[str, Callable[[DataFrame], Model]]]) -> DataFrame:
     """ML11: out-of-fold positive-class scores of several models: long table
     (row_id, fold, model, score)."""
+    df = df.persist()
     out = None
     for name, make in models:
         s = fold_fits(df, fold, k, make,

@@ -69,12 +69,12 @@ def two_level_agg(df: DataFrame, outer: Sequence[str], inner: Sequence[str],
                   first: Mapping[str, Column], second: Mapping[str, Column]) -> DataFrame:
     """AG10: aggregate per (outer + inner) keys, then per outer keys.
 
-    The first level is pre-partitioned on the outer keys so the second level
-    reads the same partitioning and adds no shuffle.
+    The first level combines map-side and shuffles on all its keys, so an
+    outer key holding many rows is spread over its inner keys; the second
+    level shuffles only the pre-aggregated rows.
     """
     keys = [*outer, *inner]
-    lvl1 = (_keyed(df, keys, True).repartition(*outer)
-            .groupBy(*keys).agg(*[e.alias(n) for n, e in first.items()]))
+    lvl1 = _keyed(df, keys, True).groupBy(*keys).agg(*[e.alias(n) for n, e in first.items()])
     return lvl1.groupBy(*outer).agg(*[e.alias(n) for n, e in second.items()])
 
 

@@ -122,7 +122,8 @@ def update_freq_log_odds(old: DataFrame, new: DataFrame, key: str, out: str = "l
 
 
 def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
-                        out: str = "logodds") -> tuple[DataFrame, DataFrame]:
+                        out: str = "logodds", classes: Sequence | None = None,
+                        cap: int = 1000) -> tuple[DataFrame, DataFrame]:
     """FE6 fit. Returns (per-key table ``key, out: array<double>``, prior row).
 
     Entry k of the array is for the k-th class in sorted order: the
@@ -133,18 +134,19 @@ def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
     grid is materialised.
     """
     d = df.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-    idx = label_index(d, label, "_k")
+    # the class list is bounded (read under ``cap``); its sorted position is the index
+    classes = categories(d, label, cap) if classes is None else sorted(classes)
+    pos = (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("int")
     n = d.agg(F.count(F.lit(1)).alias("_N"))
-    cls = (d.groupBy(label).agg(F.count(F.lit(1)).alias("_cc"))
-           .join(idx, label).crossJoin(F.broadcast(n))
-           .select("_k", log_odds(F.col("_cc") / F.col("_N")).alias("_prior")))
+    cls = (d.groupBy(label).agg(F.count(F.lit(1)).alias("_cc")).crossJoin(F.broadcast(n))
+           .select(pos.alias("_k"), log_odds(F.col("_cc") / F.col("_N")).alias("_prior")))
     prior = cls.agg(F.sort_array(F.collect_list(F.struct("_k", "_prior"))).alias("_p")).select(
         F.transform("_p", lambda s: s["_prior"]).alias("_prior"))  # one row, one entry per class
     a = d.groupBy(key).agg(F.count(F.lit(1)).alias("_ac"))
     pc = d.groupBy(key, label).agg(F.count(F.lit(1)).alias("_pc"))
-    q = (pc.join(a, key).join(idx, label)
+    q = (pc.join(a, key)
          .where((F.col("_pc") > min_count) & (F.col("_pc") < F.col("_ac")))
-         .select(key, "_k", log_odds(F.col("_pc") / F.col("_ac")).alias("_lo")))
+         .select(key, pos.alias("_k"), log_odds(F.col("_pc") / F.col("_ac")).alias("_lo")))
     over = q.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_lo"))).alias("_m"))
     keys = a.select(key).join(over, key, "left").crossJoin(F.broadcast(prior))
     vec = F.transform("_prior", lambda p, i: F.coalesce(F.col("_m")[i], p))

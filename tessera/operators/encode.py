@@ -258,3 +258,18 @@ def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int) ->
     """FE12: the k features with the largest F value (ties by name)."""
     a = anova_f(df, features, label)
     return a.orderBy(F.col("f_value").desc_nulls_last(), F.col("feature")).limit(k)
+
+
+def kbest_selector(k: int, features: str = "features", label: str = "label", out: str = "selected"):
+    """FE12 pipeline form: MLlib selector keeping the k features with the best
+    ANOVA F test against a categorical label (vector column in and out)."""
+    from pyspark.ml.feature import UnivariateFeatureSelector
+    return (UnivariateFeatureSelector(featuresCol=features, labelCol=label, outputCol=out,
+                                      selectionMode="numTopFeatures")
+            .setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k))
+
+
+def variance_selector(features: str = "features", out: str = "selected", threshold: float = 0.0):
+    """FE3 pipeline form: drop vector slots whose sample variance is not above ``threshold``."""
+    from pyspark.ml.feature import VarianceThresholdSelector
+    return VarianceThresholdSelector(featuresCol=features, outputCol=out, varianceThreshold=threshold)

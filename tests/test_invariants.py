@@ -104,3 +104,16 @@ def test_mlp_predicts_known_classes(spark):
     d = fx.digits(spark, SF_SMALL).withColumn("features", array_to_vector("px")).withColumn("label", F.col("label").cast("double"))
     out = M.mlp(64, [8], 10, "label", "features", 5).fit(d).transform(d)
     assert {r.prediction for r in out.select("prediction").distinct().collect()} <= set(float(i) for i in range(10))
+
+
+def test_pipeline_selectors_agree_with_f_ranking(spark):
+    from tessera.operators import encode as E
+    li = spark.read.parquet(SF_SMALL + "/lineitem.parquet")
+    feats = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+    d = li.withColumn("label", F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0))
+    best = [r.feature for r in E.select_k_best(d, feats, "label", 2).collect()]
+    vec = M.assemble(d.withColumn("const", F.lit(1.0)), feats + ["const"])
+    model = E.kbest_selector(2).fit(vec)
+    assert sorted(feats[i] for i in model.selectedFeatures) == sorted(best)
+    kept = E.variance_selector().fit(vec).selectedFeatures
+    assert sorted(kept) == [0, 1, 2, 3]  # the constant slot is dropped

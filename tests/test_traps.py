@@ -144,3 +144,45 @@ def test_median_even_odd(spark):
     assert ID.exact_median(df, "v").first().median == 6.0
     df2 = spark.createDataFrame([(3.0,), (1.0,), (2.0,), (2.0,), (2.0,)], "v double")
     assert ID.exact_median(df2, "v").first().median == 2.0
+
+
+def test_count_and_mean_skip_null_size_does_not(spark):
+    df = spark.createDataFrame([("k", None), ("k", 2.0), ("k", 4.0)], "k string, v double")
+    size = A.group_size(df, ["k"]).first()["size"]
+    r = A.group_agg(df, ["k"], {"n": A.count_nonnull("v"), "m": F.avg("v")}).first()
+    assert size == 3 and r.n == 2 and r.m == 3.0  # A2
+
+
+def test_child_uses_imputed_age(spark):
+    # A7: a NULL age filled from a young title group makes the row a child
+    rows = [(1, "train", 1, "A, Master. x", "male", 5.0, 0, 0, 1, 10.0, None, "S"),
+            (2, "train", 0, "A, Master. y", "male", None, 0, 0, 1, 10.0, None, "S"),
+            (3, "test", None, "B, Mrs. z", "female", 40.0, 0, 0, 1, 10.0, None, "S")]
+    p = spark.createDataFrame(rows, "row_id long, split string, Survived int, Name string, Sex string, Age double, "
+                                    "SibSp int, Parch int, Pclass int, Fare double, Cabin string, Embarked string")
+    p = p.withColumn("PassengerId", F.col("row_id"))
+    f = {r.row_id: r for r in PS.passenger_features(p).collect()}
+    assert f[2].Age == 5.0 and f[2].child == 1
+    assert f[1].FamilyChildren == 2 and f[1].id == 1 and f[3].id == 2  # families numbered by first row
+    assert f[3].FamilyWomen == 1.0 and f[3].Survived == 0  # test label filled with 0
+
+
+def test_duplicates_on_columns_not_text(spark):
+    # A9: ("1", 23) and ("12", 3) concatenate to the same text but are different rows
+    df = spark.createDataFrame([("1", 23), ("12", 3), ("7", 7), ("7", 7)], "a string, b int")
+    got = [r.IsDup for r in WN.duplicate_flag(df, ["a", "b"]).orderBy("a", "b").collect()]
+    assert got == [0, 0, 1, 1]
+
+
+def test_gbt_probability_from_margin(spark):
+    # A13: sigmoid(2 * margin) is the binary boosted-tree probability
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+    from tessera.operators import model as M
+    df = spark.createDataFrame([(float(i % 2), float(i % 5), float(i % 3)) for i in range(60)], "label double, a double, b double")
+    tr = M.assemble(df, ["a", "b"])
+    m = GBTClassifier(maxIter=3, maxDepth=2, seed=1).fit(tr)
+    out = m.transform(tr).select(vector_to_array("rawPrediction")[1].alias("margin"),
+                                 vector_to_array("probability")[1].alias("p")).collect()
+    for r in out:
+        assert abs(1 / (1 + math.exp(-2 * r.margin)) - r.p) < 1e-12

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...sources import fixtures as fx
-from ...sources.tables import table
 from ..registry import query
 from ...functions import arrays as AR
 from ...operators import image as IM

@@ -9,11 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tessera", extra: dict | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Session with the settings every operator here assumes.
 
     timeZone UTC, ANSI on (Spark default), AQE with partition coalescing and
     skew-join splitting on, Arrow on for the few pandas batch operators, UI off.
+    ``input_bytes`` sizes scans and shuffles for the data volume (``scale_conf``).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -31,6 +33,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = "16g"
+    if input_bytes:
+        conf.update(scale_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -61,3 +65,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input size (e.g. 100 TB on a large cluster).
+
+    Scans split files at ``target_partition_bytes``. Shuffles start with one
+    partition per target size (bounded below by 200 and above by
+    ``max_partitions``, to keep map-output metadata in check), and AQE
+    coalesces small ones toward the same advisory size at run time.
+    Partitions of that size fit executor memory, and sorts and aggregates
+    spill beyond it.
+    """
+    n = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+

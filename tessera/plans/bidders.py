@@ -80,7 +80,8 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
     per_bidder = per_bidder_auction_features(td)
     max_td = td.agg(F.max("timediff").cast("double").alias("_maxtd"))  # one row
     ent = bidders if split is None else bidders.where(F.col("split") == split)
-    cols = ["bidder_id"] + (["outcome"] if with_outcome else [])
+    cols = (["bidder_id"] + (["outcome"] if with_outcome else [])
+            + (["split"] if split is None and "split" in bidders.columns else []))
     res = (ent.select(*cols)
            .join(per_bidder, "bidder_id", "left")
            .join(wins(bids), "bidder_id", "left")
@@ -92,7 +93,8 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
            .withColumn("winpct", F.coalesce(F.try_divide(F.col("nofwins"), F.col("nofauc")), F.lit(0.0)))
            .withColumns({c: F.col(c).cast("double") for c in ["nofdev", "nofurl", "nofctry", "avgnofbids"]})
            .drop("_maxtd"))
-    return res.select(*[c for c in FEATURE_COLUMNS if c in res.columns])
+    keep = FEATURE_COLUMNS + (["split"] if "split" in cols else [])
+    return res.select(*[c for c in keep if c in res.columns])
 
 
 def run_flow(bids: DataFrame, bidders: DataFrame, num_trees: int = 150, max_depth: int = 30,
@@ -107,9 +109,12 @@ def run_flow(bids: DataFrame, bidders: DataFrame, num_trees: int = 150, max_dept
     from ..operators import model as M
     from ..operators.metric import accuracy
 
-    train = M.assemble(bidder_features(bids, bidders, "train").withColumn("label", F.col("outcome")),
+    # one feature table for all bidders (the per-bidder and winner tables are
+    # computed once and shared by train and test), split by tag afterwards
+    feats = bidder_features(bids, bidders, None).persist()
+    train = M.assemble(feats.where(F.col("split") == "train").withColumn("label", F.col("outcome")),
                        PREDICTORS).persist()
-    test = bidder_features(bids, bidders, "test", with_outcome=False)
+    test = feats.where(F.col("split") == "test").drop("outcome")
     n = train.count()
 
     def rf(d):

@@ -186,3 +186,15 @@ def flow_digits(spark, d):
     """ML19: digits end to end -> (ImageId, Label) by a five-voter plurality."""
     return DG.run_flow(fx.digits(spark, d), (F.col("row_id") % 5) == 0, hidden=(32, 16), deep_hidden=(32,),
                        pca_k=8, num_trees=20, max_iter=20, svm_iter=5)
+
+
+@query("impute_regression_multi")
+def impute_regression_multi(spark, d):
+    """PR16 with the reference's six predictors: MLlib linear regression fitted on
+    passengers with a known Age, predicted for the others (rows-only)."""
+    from ...operators import prep as P
+    feats = PS.passenger_features(fx.passengers(spark, d).withColumn("AgeRaw", F.col("Age")))
+    # the regression reads the age before the title-median fill
+    feats = feats.withColumn("Age", F.col("AgeRaw")).drop("AgeRaw")
+    out = P.impute_regression(feats, "Age", ["Pclass", "Sex", "SibSp", "Parch", "Fare", "Embarked"], "AgePred")
+    return out.select("row_id", "Age", "AgePred")

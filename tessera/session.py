@@ -42,8 +42,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return prepare_session(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -61,6 +60,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers (once per SparkContext).
+
+    The few operators that run Python on executors (the image rotation, the
+    ANOVA p-value) reference this package's functions, so the package is
+    zipped on the driver and distributed with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    z = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
+    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(z)
+    sc._tessera_shipped = True
+
+
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder + package shipping: what every entry point needs."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)

@@ -29,6 +29,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.ansi.enabled": "true",
+        # checkpoint files of the numbering operators are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor

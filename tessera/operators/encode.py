@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import log_odds
 from .ids import row_number_global
+from .relate import with_row
 
 
 # ---------------------------------------------------------------- scaling
@@ -33,7 +34,7 @@ def fit_standardizer(df: DataFrame, cols: Sequence[str], population: bool = True
 
 def apply_standardizer(df: DataFrame, stats: DataFrame, cols: Sequence[str], zero_std_to_one: bool = True) -> DataFrame:
     """FE1/FE2 transform: (x - mean) / std with the fitted one-row frame (broadcast)."""
-    j = df.crossJoin(F.broadcast(stats))
+    j = with_row(df, stats)
     out = {}
     for c in cols:
         s = F.col(f"{c}_std")
@@ -97,7 +98,7 @@ def fit_freq_log_odds(df: DataFrame, key: str, out: str = "logoddsPA") -> DataFr
     """FE7: per key, log-odds of its share of the rows; also keeps the count."""
     n = df.agg(F.count(F.lit(1)).alias("_N"))
     a = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_ac"))
-    return (a.crossJoin(F.broadcast(n))
+    return (with_row(a, n)
             .select(key, "_ac", "_N", log_odds(F.col("_ac") / F.col("_N")).alias(out)))
 
 
@@ -112,8 +113,7 @@ def update_freq_log_odds(old: DataFrame, new: DataFrame, key: str, out: str = "l
     n_new = new.agg(F.count(F.lit(1)).alias("_Nn"))
     a_old = old.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_ao"))
     a_new = new.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_an"))
-    j = (a_old.join(a_new, key, "full_outer")
-         .crossJoin(F.broadcast(n_old)).crossJoin(F.broadcast(n_new)))
+    j = with_row(with_row(a_old.join(a_new, key, "full_outer"), n_old), n_new)
     pooled = F.col("_No") + F.col("_Nn")
     p = (F.when(F.col("_ao").isNull(), F.col("_an") / pooled)
          .when(F.col("_an").isNull(), F.col("_ao") / F.col("_No"))
@@ -138,7 +138,7 @@ def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
     classes = categories(d, label, cap) if classes is None else sorted(classes)
     pos = (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("int")
     n = d.agg(F.count(F.lit(1)).alias("_N"))
-    cls = (d.groupBy(label).agg(F.count(F.lit(1)).alias("_cc")).crossJoin(F.broadcast(n))
+    cls = (with_row(d.groupBy(label).agg(F.count(F.lit(1)).alias("_cc")), n)
            .select(pos.alias("_k"), log_odds(F.col("_cc") / F.col("_N")).alias("_prior")))
     prior = cls.agg(F.sort_array(F.collect_list(F.struct("_k", "_prior"))).alias("_p")).select(
         F.transform("_p", lambda s: s["_prior"]).alias("_prior"))  # one row, one entry per class
@@ -148,7 +148,7 @@ def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
          .where((F.col("_pc") > min_count) & (F.col("_pc") < F.col("_ac")))
          .select(key, pos.alias("_k"), log_odds(F.col("_pc") / F.col("_ac")).alias("_lo")))
     over = q.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_lo"))).alias("_m"))
-    keys = a.select(key).join(over, key, "left").crossJoin(F.broadcast(prior))
+    keys = with_row(a.select(key).join(over, key, "left"), prior)
     vec = F.transform("_prior", lambda p, i: F.coalesce(F.col("_m")[i], p))
     return keys.select(key, vec.alias(out)), prior
 
@@ -156,7 +156,7 @@ def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
 def apply_target_log_odds(df: DataFrame, table: DataFrame, prior: DataFrame, key: str,
                           out: str = "logodds") -> DataFrame:
     """FE6/FE8 transform: per-row vector; keys absent from the table get the prior."""
-    j = df.join(table, key, "left").crossJoin(F.broadcast(prior))
+    j = with_row(df.join(table, key, "left"), prior)
     return j.withColumn(out, F.coalesce(F.col(out), F.col("_prior"))).drop("_prior")
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..session import ensure_checkpoint_dir
+from .relate import with_row
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -138,7 +139,7 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "
     if by:
         j = cum.join(stats, list(by))
     else:
-        j = cum.crossJoin(F.broadcast(stats))  # one row
+        j = with_row(cum, stats)  # one row
     hi = F.col("_cum") - F.col("_base")
     lo = hi - F.col("_c") + 1
     k1 = F.floor((F.col("_n") + 1) / 2)
@@ -164,7 +165,7 @@ def kfold_contiguous(df: DataFrame, order: Sequence[str | Column], k: int = 3,
     """WN10: contiguous folds over the global order (same as ``ntile(k)`` minus one)."""
     g = row_number_global(df, order, "_rn", num_partitions)
     n = g.agg(F.count(F.lit(1)).alias("_n"))
-    return (g.crossJoin(F.broadcast(n))
+    return (with_row(g, n)
             .withColumn(out, _fold_of(F.col("_rn") - 1, F.col("_n"), k))
             .drop("_rn", "_n"))
 

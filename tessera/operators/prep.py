@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ids import exact_median
+from .relate import with_row
 
 
 def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -96,7 +97,7 @@ def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def fill_with_stat(df: DataFrame, col: str, stat: DataFrame, stat_col: str) -> DataFrame:
     """PR14: fill NULLs from a one-row statistics frame, cross-joined (broadcast of one row)."""
     s = stat.select(F.col(stat_col).alias("_fill"))
-    return (df.crossJoin(F.broadcast(s))
+    return (with_row(df, s)
             .withColumn(col, F.coalesce(F.col(col), F.col("_fill").cast(df.schema[col].dataType)))
             .drop("_fill"))
 
@@ -147,7 +148,7 @@ def impute_regression_1d(df: DataFrame, target: str, predictor: str, out: str) -
     over the known rows (a one-row aggregate), applied to every row."""
     coef = df.agg(F.regr_slope(target, predictor).alias("_b"),
                   F.regr_intercept(target, predictor).alias("_a"))
-    return (df.crossJoin(F.broadcast(coef))
+    return (with_row(df, coef)
             .withColumn(out, F.col("_a") + F.col("_b") * F.col(predictor))
             .drop("_a", "_b"))
 

@@ -15,6 +15,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def with_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (global statistics, fitted
+    coefficients, a prior vector) to every row of ``df``.
+
+    The single row is broadcast and matched to every row: no row is
+    multiplied, the detail side is never shuffled, and the broadcast is one
+    row by construction. Callers pass only aggregates without grouping keys
+    (or other frames of exactly one row).
+    """
+    return df.crossJoin(F.broadcast(one_row))
+
+
 def join_right(fact: DataFrame, entity: DataFrame, key: str, prefilter: bool = False) -> DataFrame:
     """JN1: every entity row kept, facts matched on ``key``.
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import agg as A
 from ..operators import window as WN
+from ..operators.relate import with_row
 
 # fixed values: predictor names of the reference bidder model
 PREDICTORS = ["nofdev", "nofurl", "avgnofbids", "avgtimediff", "nofmer", "nofauc", "nofwins"]
@@ -84,8 +85,8 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
             + (["split"] if split is None and "split" in bidders.columns else []))
     res = (ent.select(*cols)
            .join(per_bidder, "bidder_id", "left")
-           .join(wins(bids), "bidder_id", "left")
-           .crossJoin(F.broadcast(max_td)))
+           .join(wins(bids), "bidder_id", "left"))
+    res = with_row(res, max_td)
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in
             ["nofbids", "nofdev", "nofurl", "nofctry", "nofauc", "nofwins", "nofwins2", "nofmer", "avgnofbids"]}
     res = (res.withColumns(zero)

@@ -8,6 +8,7 @@ from ...sources import fixtures as fx
 from ..registry import query
 from ...sources import csvio as IO
 from ...operators import encode as E
+from ...operators.relate import with_row
 
 _PASSENGER_SCHEMA = ("row_id BIGINT, PassengerId BIGINT, split STRING, Survived INT, Name STRING, Sex STRING, "
                      "Age DOUBLE, SibSp INT, Parch INT, Pclass INT, Fare DOUBLE, Cabin STRING, Embarked STRING")
@@ -62,8 +63,8 @@ def submission_wide(spark, d):
     tr = inc.where(F.col("split") == "train")
     classes = E.categories(tr, "Category")
     n = tr.agg(F.count(F.lit(1)).alias("_n"))
-    pri = (tr.groupBy("Category").agg(F.count(F.lit(1)).alias("_c")).crossJoin(F.broadcast(n))
+    pri = (with_row(tr.groupBy("Category").agg(F.count(F.lit(1)).alias("_c")), n)
            .agg(F.map_from_entries(F.collect_list(F.struct("Category", F.col("_c") / F.col("_n")))).alias("_m")))
-    te = inc.where(F.col("split") == "test").crossJoin(F.broadcast(pri))
+    te = with_row(inc.where(F.col("split") == "test"), pri)
     te = te.withColumn("_p", F.array(*[F.col("_m")[c] for c in classes]))
     return IO.wide_submission(te, "Id", "_p", classes)

@@ -63,8 +63,8 @@ def fit_linear(spark, d):
     """ML4: MLlib linear regression, one predictor (checked against regr_*)."""
     li = M.assemble(table(spark, d, "lineitem"), ["l_quantity"])
     m = M.linear("l_extendedprice", "features").fit(li)
-    return li.limit(1).select(F.lit(float(m.coefficients[0])).alias("coef"),
-                              F.lit(float(m.intercept)).alias("intercept"))
+    # the fitted model is one coefficient and an intercept
+    return spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))], "coef double, intercept double")
 
 
 def _bidder_train(spark, d):

@@ -63,28 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``tessera`` importable in the Python workers (once per SparkContext).
+    """Make this package's functions usable in the Python workers.
 
     The few operators that run Python on executors (the image rotation, the
-    ANOVA p-value) reference this package's functions, so the package is
-    zipped on the driver and distributed with ``addPyFile``.
+    ANOVA p-value) reference functions of this package. They are pickled by
+    value into the task closures, so workers need no copy of the package and
+    no file is written anywhere.
     """
-    sc = spark.sparkContext
-    if getattr(sc, "_tessera_shipped", False):
-        return
-    import zipfile
-
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg)
-    z = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
-    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as zf:
-        for dirpath, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(z)
-    sc._tessera_shipped = True
+    from pyspark import cloudpickle
+
+    import tessera
+
+    if not getattr(ship_package, "_done", False):
+        cloudpickle.register_pickle_by_value(tessera)
+        ship_package._done = True
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:

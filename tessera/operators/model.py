@@ -177,3 +177,15 @@ def oof_scores(df: DataFrame, row_id: str, fold: str, k: int,
         s = s.withColumn("model", F.lit(name))
         out = s if out is None else out.unionByName(s)
     return out
+
+
+def cv_mean_accuracy(df: DataFrame, fold: str, estimator, label: str = "label") -> float:
+    """ML10, MLlib form: ``CrossValidator`` over the given fold column (user-assigned
+    folds, e.g. from ``kfold_stratified``); returns the mean held-out accuracy."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
+                        foldCol=fold, parallelism=PARALLEL_FITS)
+    return float(cv.fit(df.withColumn(fold, F.col(fold).cast("int"))).avgMetrics[0])

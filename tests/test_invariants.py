@@ -117,3 +117,11 @@ def test_pipeline_selectors_agree_with_f_ranking(spark):
     assert sorted(feats[i] for i in model.selectedFeatures) == sorted(best)
     kept = E.variance_selector().fit(vec).selectedFeatures
     assert sorted(kept) == [0, 1, 2, 3]  # the constant slot is dropped
+
+
+def test_crossvalidator_matches_fold_loop(spark):
+    b = fx.bidders(spark, SF_SMALL).withColumn("label", F.col("outcome")).withColumn("x", (F.col("bidder_id") % 11).cast("double"))
+    tr = ID.kfold_stratified(M.assemble(b, ["x"]), "label", ["bidder_id"], 3, "fold").persist()
+    est = M.logistic(tr.count(), "label", "features", 20)
+    loop = {r.fold: r.accuracy for r in M.cv_accuracy(tr, "fold", 3, lambda d: est.fit(d), "label").collect()}
+    assert abs(M.cv_mean_accuracy(tr, "fold", est, "label") - loop[-1]) < 1e-9

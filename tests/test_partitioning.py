@@ -90,3 +90,16 @@ def test_no_python_in_native_operators(spark):
     from tessera.plans import bidders as BD
     plan = _plan(BD.bidder_features(b, fx.bidders(spark, SF_SMALL), "train"))
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_catalog_plans_have_no_python_or_cartesian(spark):
+    import __spark_entry__ as E
+    qs, sql = E.queries(), E.oracle_sql()
+    bad = []
+    for name in sorted(sql):
+        plan = _plan(qs[name](spark, SF_SMALL))
+        if any(t in plan for t in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonUDF")):
+            bad.append((name, "python"))
+        if "CartesianProduct" in plan:
+            bad.append((name, "cartesian"))
+    assert not bad, bad

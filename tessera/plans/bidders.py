@@ -50,6 +50,7 @@ def per_bidder_auction_features(bids_td: DataFrame) -> DataFrame:
                  F.count_distinct("country").alias("ctry"),
                  F.count("bid_id").alias("nb"),
                  F.avg("timediff").alias("td"),
+                 F.max("timediff").alias("mtd"),
                  A.first_in_order("merchandise", "bid_id").alias("mer")))
     has_auc = F.col("auction").isNotNull()
     return lvl1.groupBy("bidder_id").agg(
@@ -60,7 +61,8 @@ def per_bidder_auction_features(bids_td: DataFrame) -> DataFrame:
         F.avg(F.when(has_auc, F.col("nb"))).alias("avgnofbids"),
         F.avg(F.when(has_auc, F.col("td"))).alias("avgtimediff"),
         F.count(F.when(has_auc, F.col("mer"))).alias("nofmer"),
-        F.count("auction").alias("nofauc"))
+        F.count("auction").alias("nofauc"),
+        F.max("mtd").alias("_maxtd_b"))
 
 
 def auction_winners(bids: DataFrame) -> DataFrame:
@@ -79,7 +81,9 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
     """FE15: one row per bidder of the split (all bidders if ``split`` is None)."""
     td = bids_with_timediff(bids, skew_safe)
     per_bidder = per_bidder_auction_features(td)
-    max_td = td.agg(F.max("timediff").cast("double").alias("_maxtd"))  # one row
+    # largest time difference over all bids, taken from the per-bidder maxima
+    # (one row; no second pass over the bids)
+    max_td = per_bidder.agg(F.max("_maxtd_b").cast("double").alias("_maxtd"))
     ent = bidders if split is None else bidders.where(F.col("split") == split)
     cols = (["bidder_id"] + (["outcome"] if with_outcome else [])
             + (["split"] if split is None and "split" in bidders.columns else []))
@@ -93,7 +97,7 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
            .withColumn("avgtimediff", F.coalesce(F.col("avgtimediff"), F.col("_maxtd")))
            .withColumn("winpct", F.coalesce(F.try_divide(F.col("nofwins"), F.col("nofauc")), F.lit(0.0)))
            .withColumns({c: F.col(c).cast("double") for c in ["nofdev", "nofurl", "nofctry", "avgnofbids"]})
-           .drop("_maxtd"))
+           .drop("_maxtd", "_maxtd_b"))
     keep = FEATURE_COLUMNS + (["split"] if "split" in cols else [])
     return res.select(*[c for c in keep if c in res.columns])
 

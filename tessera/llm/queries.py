@@ -27,6 +27,17 @@ def _register(text: str | None = None):
     return deco
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+@_register(sql.LINES)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import apply_bitmaps, keep_bitmaps
+    docs = read_table(spark, sf_dir, "documents")
+    kept = apply_bitmaps(docs, keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @_register(sql.EXACT)
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_groups
@@ -41,3 +52,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = apply_policy(quality_ledger(read_table(spark, sf_dir, "documents")), "full-v1")
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       fails("base-v1").alias("base_failed"), "kept", "failed")
+
+
+@_register()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+    return pack(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")

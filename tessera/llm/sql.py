@@ -37,3 +37,15 @@ f AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
 """
+
+LINES = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS i FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^{WS}+|{WS}+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+m AS (SELECT *, CASE WHEN length(key) >= 10 THEN min(doc_id) OVER (PARTITION BY key) END AS first FROM k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE first <> doc_id))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE first IS NULL OR first = doc_id), ''))
+         AS kept_sha256
+FROM m GROUP BY doc_id
+"""

@@ -46,6 +46,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@_register(sql.SUBSTRINGS)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import dedup_substrings
+    kept = dedup_substrings(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @_register(sql.QUALITY)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import apply_policy, fails, quality_ledger

@@ -49,3 +49,19 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE first <> doc
          AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+SUBSTRINGS = rf"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{WS}+'), lambda x: x <> '') AS ws
+           FROM documents),
+g AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS win
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM w WHERE len(ws) >= 13)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS f FROM g) WHERE f < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM r, (SELECT unnest(generate_series(0, 12)) AS k)),
+o AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS i FROM w),
+k AS (SELECT o.doc_id, count(*) FILTER (WHERE gone.i IS NOT NULL) AS n_removed,
+             string_agg(word, ' ' ORDER BY o.i) FILTER (WHERE gone.i IS NULL) AS kept
+      FROM o LEFT JOIN gone ON o.doc_id = gone.doc_id AND o.i = gone.i GROUP BY o.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""

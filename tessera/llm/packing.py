@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,8 @@ from .common import small_batches, staged, text_of
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids a worker remembers at once; beyond it the memory starts anew.
-WORD_MEMORY = 200_000
+WORD_MEMORY = 500_000
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def reciprocal_cuts(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -53,9 +55,14 @@ def reciprocal_cuts(n: int, capacity: int = CAPACITY) -> list[int]:
 class WordEncoder:
     """Token ids of white-space separated words, each new word encoded once.
 
-    The tokenizer drops white space and never joins across it, so the ids of a
-    text are the ids of its words in turn (tests hold this against whole
-    texts).
+    For tokenizers that lower-case, drop white space and split letters from
+    what stands after them (``word_bpe_49k.json``; the constructor refuses one
+    that does not): the ids of a text are then the ids of its words in turn,
+    and those of a word are the ids of its lower-cased letters and of the
+    punctuation run that ends it. Tests hold this against whole texts.
+
+    What is still unknown is encoded in one call, its units parted by a special
+    token whose id no unit has.
     """
 
     def __init__(self, path: str, memory: int = WORD_MEMORY):
@@ -63,16 +70,29 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if not added:
+            raise ValueError(f"{path} has no special token to part words with")
+        self.parting_id, self.parting = min(added.items())
+        #: A unit with one of these may hold a special token: it is encoded alone and as it stands.
+        self.marks = tuple({t.encode()[:2] for t in added.values()})
         self.memory = memory
         self.clear()
+        one = self._whole("Word, two.")
+        if one != self._whole("word") + self._whole(",") + self._whole("two") + self._whole("."):
+            raise ValueError(f"{path} does not encode texts word by word")
 
     def clear(self) -> None:
+        self.units: dict[bytes, list[int]] = {}
         self.known: dict[bytes, int] = {}
         self.first = np.zeros(1 << 12, np.int64)
         self.count = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         if n <= len(a):
@@ -81,9 +101,42 @@ class WordEncoder:
         b[:len(a)] = a
         return b
 
+    def _marked(self, w: bytes) -> bool:
+        return any(m in w for m in self.marks)
+
+    def _units_of(self, w: bytes) -> tuple[bytes, ...]:
+        if self._marked(w):
+            return (w,)
+        w = w.lower()
+        stem = w.rstrip(PUNCTUATION)
+        if stem and len(stem) < len(w) and 97 <= stem[-1] <= 122:
+            return stem, w[len(stem):]
+        return (w,)
+
+    def _learn_units(self, new: list[bytes]) -> None:
+        units = self.units
+        plain = []
+        for u in new:
+            if self._marked(u):
+                units[u] = self._whole(u.decode())
+            else:
+                plain.append(u)
+        for at in range(0, len(plain), 1000):
+            some = plain[at:at + 1000]
+            ids = self._whole(self.parting.join([u.decode() for u in some]))
+            start = 0
+            for u in some[:-1]:
+                end = ids.index(self.parting_id, start)
+                units[u] = ids[start:end]
+                start = end + 1
+            units[some[-1]] = ids[start:]
+
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
+        units = self.units
+        parts = [self._units_of(w) for w in words]
+        if new := list({u for p in parts for u in p if u not in units}):
+            self._learn_units(new)
+        ids = [units[p[0]] if len(p) == 1 else units[p[0]] + units[p[1]] for p in parts]
         k, n = len(self.known), len(words)
         size = np.fromiter(map(len, ids), np.int64, n)
         self.first, self.count = self._room(self.first, k + n), self._room(self.count, k + n)
@@ -91,7 +144,7 @@ class WordEncoder:
         self.count[k:k + n] = size
         total = int(size.sum())
         self.ids = self._room(self.ids, self.used + total)
-        self.ids[self.used:self.used + total] = np.fromiter((i for e in ids for i in e), np.uint32, total)
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.used += total
         self.known.update(zip(words, range(k, k + n)))
 
@@ -115,6 +168,15 @@ class WordEncoder:
         return self.ids[at], upto[np.concatenate([[0], ends]).astype(np.int64)]
 
 
+def word_encoder(path: str) -> WordEncoder:
+    """The worker process's encoder: one per tokenizer, kept from task to task."""
+    import tokenizers
+    kept = vars(tokenizers).setdefault("_kept_word_encoders", {})
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
+
+
 def _cut_batches(path: str, capacity: int, end_id: int, keep_ids: bool):
     cuts = {r: reciprocal_cuts(r, capacity) for r in range(1, capacity)}
 
@@ -125,7 +187,7 @@ def _cut_batches(path: str, capacity: int, end_id: int, keep_ids: bool):
         end = np.array([end_id], "<u4")
         slot: dict[int, int] = {}
         for b in batches:
-            encoder = encoder or WordEncoder(path)
+            encoder = encoder or word_encoder(path)
             doc, text = b.column(0), b.column(1)
             rows: list[tuple] = []
             parts: list[np.ndarray] = []

@@ -61,6 +61,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       fails("base-v1").alias("base_failed"), "kept", "failed")
 
 
+@_register(sql.JACCARD)
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_jaccard import jaccard_components
+    c = jaccard_components(read_table(spark, sf_dir, "documents"))
+    return c.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 @_register()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack

@@ -65,3 +65,22 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
+
+JACCARD = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WS}+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (
+  SELECT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5)
+  UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+      GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+      WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, b.y FROM r JOIN b ON r.y = b.x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN r ON r.x = w.doc_id GROUP BY w.doc_id, n.n
+"""

@@ -68,6 +68,13 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+@_register()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import THRESHOLD, toxicity
+    p = toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return p.withColumn("toxic", F.col("p_toxic") >= THRESHOLD)
+
+
 @_register()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack

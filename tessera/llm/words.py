@@ -99,19 +99,28 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return s, e, np.searchsorted(s, offs)
 
 
-def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = False,
-                seed: int = 0) -> np.ndarray:
-    """One 64-bit hash per word; A-Z count as a-z if ``lower``."""
-    n = len(data)
+def byte_sums(data: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Running sums from which ``span_hashes`` takes the hash of any span; A-Z count as a-z if ``lower``."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    p = _powers(_BASE, len(data))
+    np.cumsum((_UPPER[data] if lower else data).astype(np.uint64) * p + p, out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, s: np.ndarray, e: np.ndarray, seed: int = 0) -> np.ndarray:
+    """One 64-bit hash per span of bytes."""
     if not len(s):
         return np.zeros(0, np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_UPPER[data] if lower else data).astype(np.uint64) * _powers(_BASE, n)
-              + _powers(_BASE, n), out=sums[1:])
-    h = (sums[e] - sums[s]) * _powers(_INVERSE, n)[s]
+    h = (sums[e] - sums[s]) * _powers(_INVERSE, len(sums))[s]
     return mix64(h + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), seed)
 
 
+def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = False,
+                seed: int = 0) -> np.ndarray:
+    """One 64-bit hash per word."""
+    return span_hashes(byte_sums(data, lower), s, e, seed)
+
+
 def ngram_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hash of words[i : i + n] for each i; the last n - 1 places are not windows of one run."""
     if len(words) < n:

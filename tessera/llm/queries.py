@@ -53,6 +53,23 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_register()
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import cross_entropy_difference, good_documents
+    good = good_documents(read_table(spark, sf_dir, "labels"))
+    return cross_entropy_difference(read_table(spark, sf_dir, "documents"), good)
+
+
+@_register()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_fst import decode, encode
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    both = decode(encode(read_table(spark, sf_dir, "documents"), model), model)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.translate("text", "\u2581", " ")).alias("round_trip"))
+
+
 @_register(sql.QUALITY)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import apply_policy, fails, quality_ledger

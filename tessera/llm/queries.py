@@ -85,6 +85,13 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+@_register(sql.SUFFIXES)
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import dedup_suffixes
+    kept = dedup_suffixes(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_register()
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import THRESHOLD, toxicity

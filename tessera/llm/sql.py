@@ -84,3 +84,21 @@ r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, b.y FROM r JOIN b
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.y) AS component_id
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN r ON r.x = w.doc_id GROUP BY w.doc_id, n.n
 """
+
+SUFFIXES = """
+WITH d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS x FROM documents),
+s AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h
+      FROM (SELECT doc_id, x, unnest(generate_series(0, length(x) // 2 - 200)) AS i FROM d WHERE length(x) >= 400)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM s) WHERE n > 1),
+b AS (SELECT *, CASE WHEN i <= max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
+                                             AND 1 PRECEDING) + 200 THEN 0 ELSE 1 END AS fresh FROM r),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM b),
+p AS (SELECT doc_id, k, min(i) AS a, max(i) + 200 AS e FROM g GROUP BY doc_id, k),
+q AS (SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+k AS (SELECT d.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+             || substr(any_value(x), 2 * max(e) + 1) AS kept, sum(e - a) AS n_removed, count(*) AS n_spans
+      FROM d JOIN q ON d.doc_id = q.doc_id GROUP BY d.doc_id)
+SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""

@@ -115,6 +115,15 @@ def span_hashes(sums: np.ndarray, s: np.ndarray, e: np.ndarray, seed: int = 0) -
     return mix64(h + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), seed)
 
 
+def gram_hashes(sums: np.ndarray, m: int, seed: int = 0) -> np.ndarray:
+    """Hash of the m bytes that start at each place (as ``span_hashes`` would give)."""
+    n = len(sums) - m
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    h = (sums[m:] - sums[:n]) * _powers(_INVERSE, n)
+    return mix64(h + np.uint64(m * 0xD6E8FEB86659FD93 & (1 << 64) - 1), seed)
+
+
 def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = False,
                 seed: int = 0) -> np.ndarray:
     """One 64-bit hash per word."""

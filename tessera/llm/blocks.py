@@ -19,6 +19,8 @@ and vanish in Spark's shuffle compression.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,15 +44,18 @@ def chunk_of(doc_id, n: int):
     return F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("long")
 
 
-def chunked(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+def chunked(docs: DataFrame, n: int, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
     """(chunk, doc_id, row, t): the documents with their chunk; null ids as NULL_ID.
 
     ``row`` is a hash of the text: rows of one doc_id differ by it. (A row's
     place in its chunk would not do: a shuffle may deliver rows in any order.)
+    ``carry`` names columns that travel along as the struct ``extra``.
     """
+    extra = [F.struct(*[F.col(c) for c in carry]).alias("extra")] if carry else []
     t = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-                    text_of(text_col).alias("t"))
-    return t.select(chunk_of(F.col("doc_id"), n).alias("chunk"), "doc_id", F.xxhash64("t").alias("row"), "t")
+                    text_of(text_col).alias("t"), *extra)
+    return t.select(chunk_of(F.col("doc_id"), n).alias("chunk"), "doc_id", F.xxhash64("t").alias("row"), "t",
+                    *(["extra"] if carry else []))
 
 
 def planes(a: np.ndarray) -> bytes:

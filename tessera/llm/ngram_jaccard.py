@@ -303,3 +303,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n (size of its shingle set), component_id."""
     return components(shingle_sets(docs, id_col, text_col, n, percent), percent)
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
+                     percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest doc_id; columns unchanged.
+
+    Documents with a null doc_id have no id to be dropped by, and stay.
+    """
+    c = jaccard_components(docs, id_col, text_col, n, percent)
+    gone = c.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone_id")).distinct()
+    gone = staged(gone, "near-copies")
+    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")

@@ -103,3 +103,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
     return pack(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+@_register()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

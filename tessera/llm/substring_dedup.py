@@ -29,6 +29,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -198,18 +199,23 @@ def _cut(table: pa.Table, paths: pa.Table) -> pa.Table:
         gone.append(total[-1] - len(words))
         kept.append(b" ".join(words).decode())
     doc = pa.array(ids, mask=ids == NULL_ID)
-    return pa.table({"doc_id": doc, "text": pa.array(kept, pa.string()),
-                     "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())})
+    out = pa.table({"doc_id": doc, "text": pa.array(kept, pa.string()),
+                    "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())})
+    return out.append_column("extra", table["extra"]) if "extra" in table.column_names else out
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     k: int = K, anchor: int = ANCHOR) -> DataFrame:
-    """(doc_id, text, n_words, n_removed) per document: the kept words, joined by one space."""
+                     k: int = K, anchor: int = ANCHOR, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, text, n_words, n_removed) per document: the kept words, joined by one space.
+
+    Columns named in ``carry`` come along as the struct ``extra``.
+    """
     n = block_count(docs, text_col)
-    t = chunked(docs, n, id_col, text_col)
+    t = chunked(docs, n, id_col, text_col, carry)
     anchors = per_block(per_chunk(t, _send_anchors(k, anchor, n), PACKED), [np.uint8], _shared_anchors)
     edges = per_block(with_replies(t, anchors, _send_edges(k, anchor, n), PACKED),
                       [np.int64, np.uint32, np.uint8], _sources)
     paths = with_replies(t, edges, _compact(k, anchor), _PATH)
     paths = with_replies(t, paths.withColumn("chunk", chunk_of(F.col("source"), n)), _verify, _PATH)
-    return with_replies(t, paths.withColumn("chunk", chunk_of(F.col("doc_id"), n)), _cut, _TEXT)
+    schema = _TEXT + (f", extra {dict(t.dtypes)['extra']}" if carry else "")
+    return with_replies(t, paths.withColumn("chunk", chunk_of(F.col("doc_id"), n)), _cut, schema)

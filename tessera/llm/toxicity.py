@@ -29,9 +29,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import small_batches, staged, text_of
 from .words import byte_sums, pieces, span_hashes, word_spans
@@ -219,8 +220,8 @@ def fit_chain(sample: DataFrame, chosen: list[int], n_categories: int) -> list[n
 
 
 def score(docs: DataFrame, chosen: list[int], chain: list[np.ndarray], categories: Sequence[str],
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ``p_<category>`` of every document."""
+          id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id and ``p_<category>`` of every document; with ``carry`` its whole row too, as the struct ``row``."""
     small_batches(docs.sparkSession)
     table = np.sort(np.array(chosen, np.int64)).view(np.uint64)
     order = np.argsort(table)                 # hashes are compared unsigned while scoring
@@ -233,7 +234,10 @@ def score(docs: DataFrame, chosen: list[int], chain: list[np.ndarray], categorie
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for at, to, data, offs in pieces(b.column(1)):
+            text = b.column(b.num_columns - 1)
+            if carry:                          # the text is in the row that is carried anyway
+                text = pa.compute.cast(text.field(text_col), pa.large_string())
+            for at, to, data, offs in pieces(text):
                 s, e, first = word_spans(data, offs)
                 doc = np.repeat(np.arange(to - at), np.diff(first))
                 rows, cols = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -247,17 +251,22 @@ def score(docs: DataFrame, chosen: list[int], chain: list[np.ndarray], categorie
                 key = np.unique(np.concatenate(rows) * max(1, n_cols) + np.concatenate(cols))
                 out.append(predict(key // max(1, n_cols), key % max(1, n_cols), to - at, n_cols, chain))
             p = np.concatenate(out) if out else np.zeros((0, len(chain)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(p[:, i]) for i in range(len(chain)))],
-                                             ["doc_id", *(f"p_{c}" for c in categories)])
+            cols = [b.column(0), *(pa.array(p[:, i]) for i in range(len(chain)))]
+            names = ["doc_id", *(f"p_{c}" for c in categories)]
+            if carry:
+                cols, names = [*cols, b.column(1)], [*names, "row"]
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))
-    return t.mapInArrow(run, "doc_id long, " + ", ".join(f"p_{c} double" for c in categories))
+    source = F.struct("*").alias("row") if carry else text_of(text_col).alias("t")
+    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), source)
+    fields = [StructField("doc_id", LongType()), *(StructField(f"p_{c}", DoubleType()) for c in categories)]
+    return t.mapInArrow(run, StructType([*fields, *([t.schema["row"]] if carry else [])]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None,
              categories: Sequence[str] = ("quality", "toxic"), id_col: str = "doc_id", text_col: str = "text",
-             sample_rows: int = SAMPLE_ROWS, n_features: int = N_FEATURES) -> DataFrame:
-    """doc_id, ``p_<category>`` for each category of the chain, in order.
+             sample_rows: int = SAMPLE_ROWS, n_features: int = N_FEATURES, carry: bool = False) -> DataFrame:
+    """doc_id, ``p_<category>`` for each category of the chain, in order (and ``row``, see ``score``).
 
     ``train_docs`` (by default ``docs``) holds the texts of the labelled rows.
     """
@@ -265,4 +274,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None =
                              sample_rows)
     chosen = choose_features(sample, len(categories), n_features)
     chain = fit_chain(sample, chosen, len(categories))
-    return score(docs, chosen, chain, categories, id_col, text_col)
+    return score(docs, chosen, chain, categories, id_col, text_col, carry)

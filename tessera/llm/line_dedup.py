@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from .common import WS, small_batches, staged, text_of
 
@@ -127,7 +128,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.where(F.col("kind") == _DROP).select(*cols).unionByName(pending.select(*cols))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _bitmap(pos: pd.Series, n_lines: pd.Series) -> pd.Series:
     def one(p, n):
         keep = np.ones(n, bool)
@@ -147,7 +148,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       _bitmap("gone", "n_lines").alias("keep_bitmap"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _kept_lines(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     def one(t, m):
         if m is None:

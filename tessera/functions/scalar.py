@@ -54,7 +54,8 @@ def contains_flag(c: str | Column, needle: str = "/") -> Column:
 
 def parse_timestamp(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """SC7: text to TIMESTAMP_NTZ; unparsable text gives NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    # read without a zone; the zoned parse only tells whether the text can be read at all
+    return F.when(F.try_to_timestamp(_c(c), F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(_c(c), F.lit(fmt)))
 
 
 def date_parts(c: str | Column) -> dict[str, Column]:

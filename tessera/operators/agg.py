@@ -117,13 +117,16 @@ def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def array_moments(df: DataFrame, col: str, length: int, mean_out: str = "mean",
+def array_moments(df: DataFrame, col: str, pos_out: str = "pos", mean_out: str = "mean",
                   std_out: str = "std") -> DataFrame:
-    """AG14 array form: element-wise mean and sample std of a fixed-length array
-    column in one pass (partial aggregates per element, no row expansion)."""
-    a = F.col(col)
-    return df.agg(F.array(*[F.avg(a[i]) for i in range(length)]).alias(mean_out),
-                  F.array(*[F.stddev_samp(a[i]) for i in range(length)]).alias(std_out))
+    """AG14 array form: one row per element place (0-based) with its mean and sample std.
+
+    Every place of every row counts, whatever the arrays' lengths; partial
+    aggregates leave one row per place and task to shuffle.
+    """
+    e = df.select(F.posexplode(col).alias(pos_out, "_v"))
+    v = F.col("_v").cast("double")
+    return e.groupBy(pos_out).agg(F.avg(v).alias(mean_out), F.stddev_samp(v).alias(std_out))
 
 
 def value_counts(df: DataFrame, col: str, out: str = "count") -> DataFrame:

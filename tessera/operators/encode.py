@@ -1,20 +1,16 @@
 """Feature encoders: ``fit(df) -> small model DataFrame``, ``transform(df, model)`` (FE1-FE13).
 
 Fitted state is a DataFrame (one row, or one row per key), joined in at
-transform time. The driver only reads bounded things: category lists
-(checked against a cap) and column lists.
+transform time. The driver only reads what its output is as wide as: category lists
+for one column per category, one row per feature, column lists.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalar import log_odds
 from .ids import row_number_global
@@ -69,20 +65,17 @@ def drop_constant_columns(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame
 
 # ---------------------------------------------------------------- categories
 
-def categories(df: DataFrame, col: str, cap: int = 1000) -> list:
-    """Sorted distinct non-null values, read to the driver only under ``cap``."""
-    vals = df.where(F.col(col).isNotNull()).select(col).distinct().limit(cap + 1).collect()
-    if len(vals) > cap:
-        raise ValueError(f"{col}: more than {cap} categories")
-    return sorted(r[0] for r in vals)
+def categories(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-null values. For output that has a column per value:
+    the read is as wide as that output."""
+    return sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
 
 
-def one_hot(df: DataFrame, col: str, prefix: str, cats: Sequence | None = None, cap: int = 1000,
+def one_hot(df: DataFrame, col: str, prefix: str, cats: Sequence | None = None,
             drop_source: bool = False) -> DataFrame:
     """FE5: one 0/1 column ``<prefix>_<value>`` per category fixed at fit; unseen -> all 0."""
-    cats = categories(df, col, cap) if cats is None else list(cats)
-    out = df.withColumns({f"{prefix}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in cats})
-    out = out.withColumns({f"{prefix}_{v}": F.coalesce(F.col(f"{prefix}_{v}"), F.lit(0)) for v in cats})
+    cats = categories(df, col) if cats is None else list(cats)
+    out = df.withColumns({f"{prefix}_{v}": F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)) for v in cats})
     return out.drop(col) if drop_source else out
 
 
@@ -122,8 +115,7 @@ def update_freq_log_odds(old: DataFrame, new: DataFrame, key: str, out: str = "l
 
 
 def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
-                        out: str = "logodds", classes: Sequence | None = None,
-                        cap: int = 1000) -> tuple[DataFrame, DataFrame]:
+                        out: str = "logodds") -> tuple[DataFrame, DataFrame]:
     """FE6 fit. Returns (per-key table ``key, out: array<double>``, prior row).
 
     Entry k of the array is for the k-th class in sorted order: the
@@ -131,28 +123,32 @@ def fit_target_log_odds(df: DataFrame, key: str, label: str, min_count: int = 2,
     ``min_count`` and below the key's total; otherwise the class prior
     log-odds. The prior vector is one row (length = number of classes) and is
     broadcast. Each key keeps at most one entry per class, so no key x class
-    grid is materialised.
+    grid is materialised. Classes are indexed by a join with ``label_index``,
+    not by a list on the driver.
     """
     d = df.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-    # the class list is bounded (read under ``cap``); its sorted position is the index
-    classes = categories(d, label, cap) if classes is None else sorted(classes)
-    pos = (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("int")
+    idx = label_index(d, label, "_k")
     n = d.agg(F.count(F.lit(1)).alias("_N"))
-    cls = (with_row(d.groupBy(label).agg(F.count(F.lit(1)).alias("_cc")), n)
-           .select(pos.alias("_k"), log_odds(F.col("_cc") / F.col("_N")).alias("_prior")))
+    cls = (with_row(d.groupBy(label).agg(F.count(F.lit(1)).alias("_cc")), n).join(idx, label)
+           .select("_k", log_odds(F.col("_cc") / F.col("_N")).alias("_prior")))
     prior = cls.agg(F.sort_array(F.collect_list(F.struct("_k", "_prior"))).alias("_p")).select(
         F.transform("_p", lambda s: s["_prior"]).alias("_prior"))  # one row, one entry per class
     a = d.groupBy(key).agg(F.count(F.lit(1)).alias("_ac"))
     pc = d.groupBy(key, label).agg(F.count(F.lit(1)).alias("_pc"))
     q = (pc.join(a, key)
-         .where((F.col("_pc") > min_count) & (F.col("_pc") < F.col("_ac")))
-         .select(key, pos.alias("_k"), log_odds(F.col("_pc") / F.col("_ac")).alias("_lo")))
+         .where((F.col("_pc") > min_count) & (F.col("_pc") < F.col("_ac"))).join(idx, label)
+         .select(key, "_k", log_odds(F.col("_pc") / F.col("_ac")).alias("_lo")))
     over = q.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_lo"))).alias("_m"))
     keys = with_row(a.select(key).join(over, key, "left"), prior)
     vec = F.transform("_prior", lambda p, i: F.coalesce(F.col("_m")[i], p))
     return keys.select(key, vec.alias(out)), prior
 
 
+def n_classes(prior: DataFrame) -> int:
+    """Number of classes of a fitted prior row."""
+    return int(prior.select(F.size("_prior")).first()[0])
+
+
 def apply_target_log_odds(df: DataFrame, table: DataFrame, prior: DataFrame, key: str,
                           out: str = "logodds") -> DataFrame:
     """FE6/FE8 transform: per-row vector; keys absent from the table get the prior."""
@@ -171,87 +167,61 @@ def widen(df: DataFrame, col: str, n: int, prefix: str | None = None) -> DataFra
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """FE11: one-way ANOVA F value of each feature against the class label.
 
-    One grouped aggregate (count, sum, sum of squares per class and feature)
-    reduces the data to (classes x features) numbers; F follows in a second,
-    tiny aggregate. Result: (feature, f_value, df_between, df_within).
+    One grouped aggregate (count, mean and population variance of the non-null
+    values per class and feature) reduces the data to (classes x features)
+    numbers; F follows from these in a second, tiny aggregate. Sums of squares
+    are taken about the means, so a large common offset cancels nothing.
+    Result: (feature, f_value, df_between, df_within).
     """
+    col = {f: F.col(f).cast("double") for f in features}
     per = df.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.col(f).cast("double")).alias(f"_s_{i}") for i, f in enumerate(features)],
-        *[F.sum(F.col(f).cast("double") ** 2).alias(f"_q_{i}") for i, f in enumerate(features)])
-    long = per.select("_n", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"_s_{i}").alias("s"), F.col(f"_q_{i}").alias("q"))
-        for i, f in enumerate(features)])).alias("_e")).select("_n", "_e.*")
-    g = long.groupBy("feature").agg(
-        F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum("s").alias("s"), F.sum("q").alias("q"),
-        F.sum(F.col("s") ** 2 / F.col("_n")).alias("b"))
-    ss_between = F.col("b") - F.col("s") ** 2 / F.col("n")
-    ss_within = F.col("q") - F.col("b")
+        *[F.count(c).alias(f"_n_{i}") for i, c in enumerate(col.values())],
+        *[F.avg(c).alias(f"_m_{i}") for i, c in enumerate(col.values())],
+        *[F.var_pop(c).alias(f"_v_{i}") for i, c in enumerate(col.values())])
+    long = per.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"_n_{i}").alias("n"), F.col(f"_m_{i}").alias("m"),
+                 F.col(f"_v_{i}").alias("v")) for i, f in enumerate(features)])).alias("_e"))
+    long = long.select("_e.*").where(F.col("n") > 0)
+    low = long.groupBy("feature").agg(F.min("m").alias("_low"))
+    long = long.join(low, "feature").withColumn("d", F.col("m") - F.col("_low"))
+    mean = long.groupBy("feature").agg((F.sum(F.col("n") * F.col("d")) / F.sum("n")).alias("_mean"))
+    g = long.join(mean, "feature").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
+        F.sum(F.col("n") * (F.col("d") - F.col("_mean")) ** 2).alias("between"),
+        F.sum(F.col("n") * F.col("v")).alias("within"))
     dfb = F.col("k") - 1
     dfw = F.col("n") - F.col("k")
-    return g.select("feature", F.try_divide(ss_between / dfb, ss_within / dfw).alias("f_value"),
+    return g.select("feature", F.try_divide(F.try_divide(F.col("between"), dfb),
+                                            F.try_divide(F.col("within"), dfw)).alias("f_value"),
                     dfb.alias("df_between"), dfw.alias("df_within"))
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 500):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < 1e-15:
-            break
-    return h
-
-
-def _betainc(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1 - x)
-    if x < (a + 1) / (a + b + 2):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1 - x) / b
-
-
-def f_survival(f: float, d1: float, d2: float) -> float:
-    """P(F > f) for an F(d1, d2) variable."""
-    if f is None or d1 is None or d2 is None or d1 <= 0 or d2 <= 0 or np.isnan(f):
-        return float("nan")
-    if f <= 0:
-        return 1.0
-    return _betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-@F.pandas_udf(T.DoubleType())
-def _f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([f_survival(a, b, c) if pd.notna(a) else None for a, b, c in zip(f, d1, d2)], dtype="float64")
+def f_survival(spark: SparkSession, f: float | None, d1: int, d2: int) -> float | None:
+    """P(F > f) by the JVM's special functions.
+
+    Beyond 1e9 degrees within, the incomplete beta function loses digits, while
+    the chi-square limit is right to one part in d2.
+    """
+    if f is None or d1 <= 0 or d2 <= 0:
+        return None
+    special = spark._jvm.org.apache.commons.math3.special
+    if d2 > 1e9:
+        return float(special.Gamma.regularizedGammaQ(d1 / 2.0, d1 * f / 2.0))
+    return float(special.Beta.regularizedBeta(d2 / (d2 + d1 * f), d2 / 2.0, d1 / 2.0))
 
 
 def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """FE11 + SC12: F value, p-value and -log10(p) per feature (one row per feature)."""
-    a = anova_f(df, features, label)
-    p = _f_pvalue(F.col("f_value"), F.col("df_between").cast("double"), F.col("df_within").cast("double"))
-    return (a.withColumn("p_value", p)
-            .withColumn("score", F.when(F.col("p_value") > 0, -F.log10("p_value"))))
+    """FE11 + SC12: F value, p-value and -log10(p) per feature.
+
+    The p-value comes from the JVM's incomplete beta function (Commons Math,
+    part of Spark), on the driver: one row per feature.
+    """
+    spark = df.sparkSession
+    rows = [(r["feature"], r["f_value"], r["df_between"], r["df_within"],
+             f_survival(spark, r["f_value"], r["df_between"], r["df_within"]))
+            for r in anova_f(df, features, label).collect()]
+    out = spark.createDataFrame(rows, "feature string, f_value double, df_between long, df_within long, p_value double")
+    return out.withColumn("score", F.when(F.col("p_value") > 0, -F.log10("p_value")))
 
 
 def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int) -> DataFrame:
@@ -273,3 +243,30 @@ def variance_selector(features: str = "features", out: str = "selected", thresho
     """FE3 pipeline form: drop vector slots whose sample variance is not above ``threshold``."""
     from pyspark.ml.feature import VarianceThresholdSelector
     return VarianceThresholdSelector(featuresCol=features, outputCol=out, varianceThreshold=threshold)
+
+
+def standardized_vectors(df: DataFrame, col: str, out: str = "features", drop_constant: bool = True) -> DataFrame:
+    """FE2 (+FE3) on every element of an array column, by MLlib's vector scaler and selector.
+
+    Sample standard deviation, all rows together (A14); an element without
+    variance is dropped (or 0, if kept). All arrays must have one length.
+    """
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import array_to_vector
+
+    common_length(df, col)
+    v = df.withColumn("_raw", array_to_vector(F.transform(col, lambda x: x.cast("double"))))
+    src = "_raw"
+    if drop_constant:
+        v = variance_selector("_raw", "_var").fit(v).transform(v)
+        src = "_var"
+    v = StandardScaler(withMean=True, withStd=True, inputCol=src, outputCol=out).fit(v).transform(v)
+    return v.drop("_raw", "_var")
+
+
+def common_length(df: DataFrame, col: str) -> int:
+    """The one length of all arrays of a column; an error if they differ (one row read)."""
+    r = df.agg(F.min(F.size(col)).alias("a"), F.max(F.size(col)).alias("b")).first()
+    if r["a"] != r["b"]:
+        raise ValueError(f"{col}: arrays of {r['a']} to {r['b']} elements")
+    return int(r["a"] or 0)

@@ -45,8 +45,8 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _ranged_positions(df: DataFrame, order: Sequence[str | Column],
-                      num_partitions: int | None) -> DataFrame:
+def ranged_positions(df: DataFrame, order: Sequence[str | Column],
+                      num_partitions: int | None = None) -> DataFrame:
     """Range-partition, sort, tag (_pid, _pos), and checkpoint reliably."""
     ensure_checkpoint_dir(df.sparkSession)
     oc = _cols(order)
@@ -70,7 +70,7 @@ def _partition_offsets(tagged: DataFrame, weight: Column) -> DataFrame:
 def row_number_global(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """ID1: 1-based row number in the order given (the order must be unique)."""
-    tagged = _ranged_positions(df, order, num_partitions)
+    tagged = ranged_positions(df, order, num_partitions)
     offsets = _partition_offsets(tagged, F.lit(1))
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.col("_off") + F.col("_pos") + 1)
@@ -92,7 +92,7 @@ def prefix_sum(df: DataFrame, order: Sequence[str | Column], weight: str, out: s
     partition id; the partitions are balanced by the range split, so no
     task gets more than its share.
     """
-    tagged = _ranged_positions(df, order, num_partitions)
+    tagged = ranged_positions(df, order, num_partitions)
     offsets = _partition_offsets(tagged, F.col(weight))
     w = W.partitionBy("_pid").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     return (tagged.withColumn("_in", F.sum(weight).over(w))
@@ -112,7 +112,11 @@ def group_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str | Col
     """
     g = row_number_global(df, [*by, *order], "_g", num_partitions)
     stats = g.groupBy(*by).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_gn"))
-    res = (g.join(stats, list(by), "left")
+    stats = stats.withColumnsRenamed({c: f"_by{i}" for i, c in enumerate(by)})
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & g[c].eqNullSafe(stats[f"_by{i}"])      # a null group is a group
+    res = (g.join(stats, same, "left").drop(*[f"_by{i}" for i in range(len(by))])
            .withColumn(out, F.col("_g") - F.col("_start") + 1))
     if with_count:
         res = res.withColumnRenamed("_gn", with_count)

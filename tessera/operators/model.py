@@ -18,12 +18,12 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
                                        MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encode import apply_standardizer, fit_standardizer
+from .encode import standardized_vectors
 
 # concurrent independent fits (jobs submitted from driver threads)
 PARALLEL_FITS = 4
@@ -116,7 +116,9 @@ def poly_svm(degree: int, label: str = "label", features: str = "features", max_
 def fit_poly_svm(df: DataFrame, degree: int, label: str = "label", features: str = "features",
                  max_iter: int = 100):
     expand, ovr = poly_svm(degree, label, features, max_iter)
-    model = ovr.fit(expand.transform(df.select(label, features)).persist())
+    base = expand.transform(df.select(label, features)).persist()  # read by every class and iteration
+    model = ovr.fit(base)
+    base.unpersist()
     return lambda d: model.transform(expand.transform(d)).drop("_poly", "rawPrediction")
 
 
@@ -133,11 +135,7 @@ def proba_array(df: DataFrame, col: str = "probability", out: str = "proba") ->
 def pca_project(df: DataFrame, col: str, k: int, out: str = "pca"):
     """FE4: standardise each element (sample std, zero -> 1, train+test together A14),
     then PCA to k components. Returns (frame with ``out`` array, PCA model)."""
-    n = len(df.select(col).first()[0])  # vector length: one bounded row read
-    wide = df.withColumns({f"_e{i}": F.col(col)[i].cast("double") for i in range(n)})
-    cols = [f"_e{i}" for i in range(n)]
-    scaled = apply_standardizer(wide, fit_standardizer(wide, cols, population=False), cols)
-    vec = scaled.withColumn("_v", array_to_vector(F.array(*cols))).drop(*cols)
+    vec = standardized_vectors(df, col, "_v", drop_constant=False)
     model = PCA(k=k, inputCol="_v", outputCol="_pc").fit(vec)
     res = model.transform(vec).withColumn(out, vector_to_array("_pc")).drop("_v", "_pc")
     return res, model
@@ -158,7 +156,7 @@ def fold_fits(df: DataFrame, fold: str, k: int, make: Callable[[DataFrame], Mode
 def cv_accuracy(df: DataFrame, fold: str, k: int, make, label: str = "label") -> DataFrame:
     """ML10: accuracy per held-out fold, plus the mean as fold -1."""
     from .metric import accuracy_by
-    df = df.persist()
+    df = df.checkpoint()
     preds = fold_fits(df, fold, k, make, lambda m, d: m.transform(d).select(fold, label, "prediction"))
     per = accuracy_by(preds, [fold], "prediction", label)
     mean = per.agg(F.avg("accuracy").alias("accuracy")).select(F.lit(-1).alias(fold), "accuracy")
@@ -169,7 +167,7 @@ def oof_scores(df: DataFrame, row_id: str, fold: str, k: int,
                models: Sequence[tuple[str, Callable[[DataFrame], Model]]]) -> DataFrame:
     """ML11: out-of-fold positive-class scores of several models: long table
     (row_id, fold, model, score)."""
-    df = df.persist()
+    df = df.checkpoint()
     out = None
     for name, make in models:
         s = fold_fits(df, fold, k, make,

@@ -128,16 +128,21 @@ def impute_regression(df: DataFrame, target: str, predictors: Sequence[str], out
                       fill: bool = True) -> DataFrame:
     """PR16: linear regression fitted on rows where ``target`` is known, predicted
     for the missing ones (MLlib, distributed). With ``fill=False`` the
-    prediction goes to ``out`` only (the reference fits it and discards it)."""
+    prediction goes to ``out`` only (the reference fits it and discards it).
+    Rows with a missing predictor are not fitted on and get no prediction."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
     out = out or f"{target}_pred"
     va = VectorAssembler(inputCols=list(predictors), outputCol="_x", handleInvalid="keep")
-    known = va.transform(df.where(F.col(target).isNotNull()))
+    whole = F.lit(True)
+    for c in predictors:
+        whole = whole & F.col(c).isNotNull()
+    known = va.transform(df.where(F.col(target).isNotNull() & whole))
     model = LinearRegression(featuresCol="_x", labelCol=target, predictionCol=out, regParam=0.0,
                              solver="normal").fit(known)
     res = model.transform(va.transform(df)).drop("_x")
+    res = res.withColumn(out, F.when(whole, F.col(out)))
     if fill:
         res = res.withColumn(target, F.coalesce(F.col(target), F.col(out)))
     return res

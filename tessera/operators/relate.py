@@ -27,16 +27,16 @@ def with_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
-def join_right(fact: DataFrame, entity: DataFrame, key: str, prefilter: bool = False) -> DataFrame:
+def join_right(fact: DataFrame, entity: DataFrame, key: str) -> DataFrame:
     """JN1: every entity row kept, facts matched on ``key``.
 
-    The preserved side cannot be broadcast; with ``prefilter`` the facts are
-    first semi-joined to the entity keys (drops facts of other entities
-    before the shuffle).
+    Matches by an inner join, whose hot fact key AQE can split (it cannot in a
+    right outer join), and the entities without facts by an anti join on the
+    distinct fact keys.
     """
-    if prefilter:
-        fact = fact.join(entity.select(key), key, "left_semi")
-    return fact.join(entity, key, "right")
+    out = fact.join(entity, key)
+    alone = entity.join(fact.select(key).distinct(), key, "left_anti")
+    return out.unionByName(alone, allowMissingColumns=True)
 
 
 def join_left_chain(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
@@ -81,7 +81,7 @@ def align_by_row_id(left: DataFrame, right: DataFrame, row_id: str = "row_id") -
 
 def keys_only_new(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     """JN6: distinct keys present in ``new`` but not in ``old``."""
-    return new.select(key).distinct().join(old.select(key), key, "left_anti")
+    return new.select(key).distinct().join(old.select(key).distinct(), key, "left_anti")
 
 
 def keys_only_old(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
@@ -91,7 +91,7 @@ def keys_only_old(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
 
 def keys_in_both(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     """JN8: distinct keys present in both."""
-    return new.select(key).distinct().join(old.select(key), key, "left_semi")
+    return new.select(key).distinct().join(old.select(key).distinct(), key, "left_semi")
 
 
 def union_tagged(frames: Sequence[tuple[str, DataFrame]], tag: str = "split") -> DataFrame:

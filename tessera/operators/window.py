@@ -16,40 +16,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .ids import group_row_number, row_number_global
+from .ids import group_row_number, ranged_positions, row_number_global
 from .relate import count_join_back
 
 
 def lag_in_group(df: DataFrame, keys: Sequence[str], order: str, col: str, out: str,
-                 offset: int = 1, skew_safe: bool = False) -> DataFrame:
+                 offset: int = 1) -> DataFrame:
     """WN1: previous value of ``col`` within the group, in ``order`` (unique).
 
-    Default: a window partitioned by the group keys (one shuffle; every
-    group is handled by one task). ``skew_safe``: rows are numbered globally
-    in (keys, order) and each row is joined to the row numbered ``offset``
-    before it. The lag holds when that row has the same keys. The join key
-    is unique, so a group holding a large share of all rows is spread evenly.
+    Rows are range-partitioned and sorted on (keys, order); the lag is taken
+    inside each range partition, and a partition's first row looks at the last
+    row of the partition before it (one row per partition, broadcast). It holds
+    when that row has the same keys. A group with a large share of all rows
+    spans several range partitions, so it is never met by one task, and there
+    is no self-join. Larger offsets look the row number up instead.
     """
-    if not skew_safe:
-        w = W.partitionBy(*keys).orderBy(order)
-        return df.withColumn(out, F.lag(col, offset).over(w))
-    g = row_number_global(df, [*keys, order], "_lg")
-    prev = g.select((F.col("_lg") + offset).alias("_lg"),
-                    *[F.col(k).alias(f"_lk{i}") for i, k in enumerate(keys)], F.col(col).alias("_lv"))
-    same = None
-    for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"_lk{i}"))
-        same = c if same is None else same & c
-    return (g.join(prev, "_lg", "left")
-            .withColumn(out, F.when(same, F.col("_lv")))
-            .drop("_lg", "_lv", *[f"_lk{i}" for i in range(len(keys))]))
+    names = [f"_lk{i}" for i in range(len(keys))]
+    if offset != 1:
+        g = row_number_global(df, [*keys, order], "_lg")
+        prev = g.select((F.col("_lg") + offset).alias("_lg"), *[F.col(k).alias(n) for k, n in zip(keys, names)],
+                        F.col(col).alias("_lv"))
+        same = _same_keys(keys, names)
+        return g.join(prev, "_lg", "left").withColumn(out, F.when(same, F.col("_lv"))).drop("_lg", "_lv", *names)
+    tagged = ranged_positions(df, [*keys, order])
+    before = F.struct(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(col).alias("_lv"))
+    tails = tagged.groupBy("_pid").agg(F.max_by(before, F.col("_pos")).alias("_row"))
+    # one row per range partition: the window and the broadcast are as small as their number
+    heads = tails.select("_pid", F.lag("_row").over(W.orderBy("_pid")).alias("_tail"))
+    w = W.partitionBy("_pid").orderBy("_pos")
+    d = (tagged.withColumn("_row", F.lag(before).over(w)).join(F.broadcast(heads), "_pid", "left")
+         .withColumn("_row", F.coalesce("_row", "_tail")))
+    d = d.withColumns({n: F.col(f"_row.{n}") for n in [*names, "_lv"]})
+    return (d.withColumn(out, F.when(F.col("_row").isNotNull() & _same_keys(keys, names), F.col("_lv")))
+            .drop("_pid", "_pos", "_row", "_tail", "_lv", *names))
+
+
+def _same_keys(keys: Sequence[str], names: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return same
 
 
 def time_since_prev(df: DataFrame, keys: Sequence[str], order: str, time_col: str,
-                    out: str = "timediff", lag_out: str | None = None, skew_safe: bool = False) -> DataFrame:
+                    out: str = "timediff", lag_out: str | None = None) -> DataFrame:
     """WN2: ``time - previous time`` in the group; microseconds for timestamps."""
     lag_name = lag_out or "_lag"
-    d = lag_in_group(df, keys, order, time_col, lag_name, skew_safe=skew_safe)
+    d = lag_in_group(df, keys, order, time_col, lag_name)
     if dict(d.dtypes)[time_col].startswith("timestamp"):
         diff = F.timestamp_diff("MICROSECOND", F.col(lag_name), F.col(time_col))
     else:
@@ -76,15 +89,13 @@ def leave_one_out_sum(df: DataFrame, key: str, col: str, out: str) -> DataFrame:
 def leave_one_out_sentinel(df: DataFrame, key: str, col: str, out: str, sentinel: str) -> DataFrame:
     """WN5: as WN4, but rows of the sentinel group (the huge "unknown" key) get 0.
 
-    The sentinel rows are left out of the aggregate and the join key is
-    blanked for them, so the biggest group never meets a shuffle as one key.
+    The sentinel rows take a branch of their own and meet neither the
+    aggregate nor the join, so the biggest group is never shuffled.
     """
-    is_s = F.col(key) == F.lit(sentinel)
-    tot = df.where(~is_s).groupBy(key).agg(F.sum(col).alias("_gs"))
-    j = df.withColumn("_jk", F.when(is_s, F.lit(None)).otherwise(F.col(key)))
-    res = j.join(tot.withColumnRenamed(key, "_jk"), "_jk", "left")
-    return (res.withColumn(out, F.when(is_s, F.lit(0)).otherwise(F.col("_gs") - F.col(col)))
-            .drop("_jk", "_gs"))
+    is_s = F.col(key).eqNullSafe(F.lit(sentinel))
+    rest = leave_one_out_sum(df.where(~is_s), key, col, out)
+    kind = dict(rest.dtypes)[out]
+    return rest.unionByName(df.where(is_s).withColumn(out, F.lit(0).cast(kind)))
 
 
 def duplicate_flag(df: DataFrame, cols: Sequence[str], out: str = "IsDup", hashed: bool = False) -> DataFrame:
@@ -114,7 +125,10 @@ def dense_id_first_seen(df: DataFrame, key: Sequence[str], order: str, out: str
     One row per key with its first position (partial aggregate), numbered by
     the global row numbering, joined back.
     """
-    first = df.groupBy(*key).agg(F.min(order).alias("_first"))
+    keyed = df
+    for k in key:
+        keyed = keyed.where(F.col(k).isNotNull())   # rows without a key get no id
+    first = keyed.groupBy(*key).agg(F.min(order).alias("_first"))
     ids = row_number_global(first, ["_first"], out).drop("_first")
     return df.join(ids, list(key), "left")
 

@@ -26,15 +26,14 @@ FEATURE_COLUMNS = ["bidder_id", "nofbids", "outcome", "nofdev", "nofurl", "nofct
                    "avgtimediff", "nofmer", "nofauc", "nofwins", "nofwins2", "winpct"]
 
 
-def bids_with_timediff(bids: DataFrame, skew_safe: bool = True) -> DataFrame:
+def bids_with_timediff(bids: DataFrame) -> DataFrame:
     """WN1+WN2: previous bid time in (bidder, auction) and the difference (us).
 
     Rows with a NULL bidder or auction belong to no group (pandas drops NULL
     keys), so their lag is NULL. One (bidder, auction) may hold a large share
-    of the bids (a bot), so the lag is skew-safe by default.
+    of the bids (a bot); the lag works on range partitions, which split it.
     """
-    d = WN.time_since_prev(bids, ["bidder_id", "auction"], "bid_id", "time", "timediff", "timelag",
-                           skew_safe=skew_safe)
+    d = WN.time_since_prev(bids, ["bidder_id", "auction"], "bid_id", "time", "timediff", "timelag")
     keyed = F.col("bidder_id").isNotNull() & F.col("auction").isNotNull()
     return d.withColumns({"timelag": F.when(keyed, F.col("timelag")),
                           "timediff": F.when(keyed, F.col("timediff"))})
@@ -43,15 +42,22 @@ def bids_with_timediff(bids: DataFrame, skew_safe: bool = True) -> DataFrame:
 def per_bidder_auction_features(bids_td: DataFrame) -> DataFrame:
     """AG10: per (bidder, auction) then per bidder. ``nofbids`` counts every bid,
     including those whose auction is NULL (they form no auction group, A1)."""
-    lvl1 = (bids_td.where(F.col("bidder_id").isNotNull())
-            .groupBy("bidder_id", "auction")
+    # equal (device, url, country) bids collapse first, so that the three distinct
+    # counts expand these few rows and not every bid
+    first = F.struct("bid_id", "merchandise")
+    few = (bids_td.where(F.col("bidder_id").isNotNull())
+           .groupBy("bidder_id", "auction", "device", "url", "country")
+           .agg(F.count("bid_id").alias("nb"), F.sum("timediff").alias("td"), F.count("timediff").alias("ntd"),
+                F.max("timediff").alias("mtd"), F.min(first).alias("first")))
+    lvl1 = (few.groupBy("bidder_id", "auction")
             .agg(F.count_distinct("device").alias("dev"),
                  F.count_distinct("url").alias("url"),
                  F.count_distinct("country").alias("ctry"),
-                 F.count("bid_id").alias("nb"),
-                 F.avg("timediff").alias("td"),
-                 F.max("timediff").alias("mtd"),
-                 A.first_in_order("merchandise", "bid_id").alias("mer")))
+                 F.sum("nb").alias("nb"),
+                 F.try_divide(F.sum("td"), F.sum("ntd")).alias("td"),
+                 F.max("mtd").alias("mtd"),
+                 F.min("first").alias("first"))
+            .withColumn("mer", F.col("first.merchandise")))
     has_auc = F.col("auction").isNotNull()
     return lvl1.groupBy("bidder_id").agg(
         F.sum("nb").alias("nofbids"),
@@ -77,9 +83,9 @@ def wins(bids: DataFrame) -> DataFrame:
 
 
 def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "train",
-                    with_outcome: bool = True, skew_safe: bool = True) -> DataFrame:
+                    with_outcome: bool = True) -> DataFrame:
     """FE15: one row per bidder of the split (all bidders if ``split`` is None)."""
-    td = bids_with_timediff(bids, skew_safe)
+    td = bids_with_timediff(bids)
     per_bidder = per_bidder_auction_features(td)
     # largest time difference over all bids, taken from the per-bidder maxima
     # (one row; no second pass over the bids)
@@ -102,40 +108,50 @@ def bidder_features(bids: DataFrame, bidders: DataFrame, split: str | None = "tr
     return res.select(*[c for c in keep if c in res.columns])
 
 
-def run_flow(bids: DataFrame, bidders: DataFrame, num_trees: int = 150, max_depth: int = 30,
-             lr_iter: int = 100, k: int = 3):
-    """ML17: returns (submission, cv accuracy (forest), out-of-fold OR-vote accuracy).
+def _flow(bids: DataFrame, bidders: DataFrame, num_trees: int, max_depth: int, lr_iter: int):
+    """Train and test rows with the predictor vector, and the two fits.
 
-    The feature table is built once per split; folds follow bidder_id order
-    (the reference's aggregate output order).
+    One feature table for all bidders, split by tag afterwards; folds follow
+    bidder_id order (the reference's aggregate output order).
     """
-    from ..functions.scalar import vote_or
-    from ..operators import ids as ID
     from ..operators import model as M
-    from ..operators.metric import accuracy
 
-    # one feature table for all bidders (the per-bidder and winner tables are
-    # computed once and shared by train and test), split by tag afterwards
-    feats = bidder_features(bids, bidders, None).persist()
-    train = M.assemble(feats.where(F.col("split") == "train").withColumn("label", F.col("outcome")),
-                       PREDICTORS).persist()
-    test = feats.where(F.col("split") == "test").drop("outcome")
-    n = train.count()
+    feats = M.assemble(bidder_features(bids, bidders, None).withColumn("label", F.col("outcome")),
+                       PREDICTORS).checkpoint()
 
     def rf(d):
         return M.random_forest("label", "features", num_trees, 2, max_depth).fit(d)
 
     def lr(d):
-        return M.logistic(n, "label", "features", lr_iter).fit(d)
+        return M.logistic(d.count(), "label", "features", lr_iter).fit(d)  # C = 1: one over the rows fitted on
+
+    return feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test"), rf, lr
+
+
+def flow_scores(bids: DataFrame, bidders: DataFrame, num_trees: int = 150, max_depth: int = 30,
+                lr_iter: int = 100, k: int = 3) -> DataFrame:
+    """ML17 scores: (score, fold, accuracy): cross-validation of the forest and of the
+    logistic regression, and the out-of-fold OR vote (fold -1)."""
+    from ..functions.scalar import vote_or
+    from ..operators import ids as ID
+    from ..operators import model as M
+    from ..operators.metric import accuracy
 
-    strat = ID.kfold_stratified(train, "label", ["bidder_id"], k, "fold")
-    cv = M.cv_accuracy(strat, "fold", k, rf, "label")
+    train, _, rf, lr = _flow(bids, bidders, num_trees, max_depth, lr_iter)
+    strat = ID.kfold_stratified(train, "label", ["bidder_id"], k, "fold").checkpoint()
+    cv = [M.cv_accuracy(strat, "fold", k, m, "label").select(F.lit(n).alias("score"), "fold", "accuracy")
+          for n, m in (("cv_forest", rf), ("cv_logistic", lr))]
     contig = ID.kfold_contiguous(train, ["bidder_id"], k, "fold")
     oof = M.oof_scores(contig, "bidder_id", "fold", k, [("rf", rf), ("lr", lr)])
     wide = oof.groupBy("bidder_id").pivot("model", ["rf", "lr"]).agg(F.first("score"))
     vote = wide.select("bidder_id", vote_or("rf", "lr").cast("double").alias("prediction"))
-    oof_acc = accuracy(vote.join(train.select("bidder_id", "label"), "bidder_id"))
-    model = rf(train)
-    sub = model.transform(M.assemble(test, PREDICTORS)).select(
-        "bidder_id", F.col("prediction").cast("int").alias("predictions"))
-    return sub, cv, oof_acc
+    acc = accuracy(vote.join(train.select("bidder_id", "label"), "bidder_id"))
+    return cv[0].unionByName(cv[1]).unionByName(
+        acc.select(F.lit("oof_or_vote").alias("score"), F.lit(-1).alias("fold"), "accuracy"))
+
+
+def run_flow(bids: DataFrame, bidders: DataFrame, num_trees: int = 150, max_depth: int = 30,
+             lr_iter: int = 100) -> DataFrame:
+    """ML17: the submission (bidder_id, predictions) of the forest fitted on all training rows."""
+    train, test, rf, _ = _flow(bids, bidders, num_trees, max_depth, lr_iter)
+    return rf(train).transform(test).select("bidder_id", F.col("prediction").cast("int").alias("predictions"))

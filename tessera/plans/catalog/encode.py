@@ -35,16 +35,23 @@ def standardize_samp(spark, d):
     return E.standardize_samp(li, ["l_quantity", "l_tax"])
 
 
-@query("drop_constant_columns", ["digits"], """
-w AS (SELECT row_id, CAST(px[1] AS DOUBLE) AS c0, CAST(px[2] AS DOUBLE) AS c1, CAST(width AS DOUBLE) AS c2 FROM digits),
-s AS (SELECT avg(c0) AS m0, stddev_samp(c0) AS s0, avg(c1) AS m1, stddev_samp(c1) AS s1 FROM w)
-SELECT row_id, (c0 - m0) / s0 AS c0, (c1 - m1) / s1 AS c1 FROM w, s""")
+_PIXELS = """
+e AS (SELECT row_id, CAST(unnest(list_append(px, width)) AS DOUBLE) AS v,
+             unnest(generate_series(1, len(px) + 1)) AS i FROM digits),
+s AS (SELECT i, avg(v) AS m, stddev_samp(v) AS s FROM e GROUP BY i HAVING stddev_samp(v) > 0),
+k AS (SELECT i, m, s, row_number() OVER (ORDER BY i) - 1 AS pos FROM s)
+"""
+
+
+@query("drop_constant_columns", ["digits"], _PIXELS
+       + "SELECT row_id, CAST(pos AS INTEGER) AS pos, (v - m) / s AS value FROM e JOIN k ON e.i = k.i")
 def drop_constant_columns(spark, d):
-    """FE3: the constant column (width) is dropped, the others standardised."""
-    w = fx.digits(spark, d).select("row_id", F.col("px")[0].cast("double").alias("c0"),
-                                   F.col("px")[1].cast("double").alias("c1"), F.col("width").cast("double").alias("c2"))
-    out, _ = E.drop_constant_columns(w, ["c0", "c1", "c2"])
-    return out
+    """FE3 (+FE2): every pixel, and one column that is constant, as a vector: the constant slot
+    is dropped, the others standardised (sample std); one row per image and kept slot."""
+    from pyspark.ml.functions import vector_to_array
+    w = fx.digits(spark, d).select("row_id", F.array_append("px", F.col("width").cast("float")).alias("px"))
+    v = E.standardized_vectors(w, "px")
+    return v.select("row_id", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
 @query("one_hot", ["incidents"], "SELECT row_id, " + ", ".join(
@@ -76,8 +83,8 @@ def target_log_odds(spark, d):
     """FE6: per-address log-odds per category (pair count > 15 and below the address
     total, else the category prior), in sorted category order."""
     tr = fx.incidents(spark, d).where(F.col("split") == "train")
-    lo, _ = E.fit_target_log_odds(tr, "Address", "Category", 15, "logodds")
-    return E.widen(lo, "logodds", 5)
+    lo, prior = E.fit_target_log_odds(tr, "Address", "Category", 15, "logodds")
+    return E.widen(lo, "logodds", E.n_classes(prior))
 
 
 @query("freq_log_odds", ["incidents"], _TR + """,
@@ -142,11 +149,18 @@ def topk_scores(spark, d):
     return R.topk(E.anova_f(li, _ANOVA_FEATURES, "l_returnflag").select("feature", "f_value"), "f_value", "feature", 2)
 
 
-@query("select_k_best")
+@query("select_k_best", None, _ANOVA + "SELECT feature, f_value FROM f ORDER BY f_value DESC, feature LIMIT 2")
 def select_k_best(spark, d):
+    """FE12: the best two of three line measures by ANOVA F against the return flag."""
+    li = table(spark, d, "lineitem")
+    return E.select_k_best(li, _ANOVA_FEATURES, "l_returnflag", 2).select("feature", "f_value")
+
+
+@query("select_k_best_scores")
+def select_k_best_scores(spark, d):
     """FE12: five best of the bidder predictors by ANOVA F against the outcome,
     with p-values and -log10 scores (rows-only: p-values need the F distribution)."""
-    feats = BD.bidder_features(fx.bids(spark, d), fx.bidders(spark, d), "train")
+    feats = BD.bidder_features(fx.bids(spark, d), fx.bidders(spark, d), "train").checkpoint()
     scores = E.anova_scores(feats, BD.PREDICTORS, "outcome")
     best = E.select_k_best(feats, BD.PREDICTORS, "outcome", 5).select("feature")
     return scores.join(best, "feature", "left_semi")

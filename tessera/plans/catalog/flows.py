@@ -183,5 +183,5 @@ def stream_stateless_features(spark, d):
                         S.hour_band_flag(F.hour("Dates")).alias("Awake"),
                         S.contains_flag("Address", "/").alias("IsInterection"), "logoddsPA"))
 
-    out = run_available(spark, d, events_schema, transform, "features", glob="events.parquet")
+    out = run_available(spark, f"{d}/events.parquet", events_schema, transform, "features")
     return spark.read.parquet(out)

@@ -10,6 +10,7 @@ from ..registry import query
 from pyspark.ml.functions import array_to_vector
 
 from ...functions import scalar as S
+from ...operators import encode as E
 from ...operators import ids as ID
 from ...operators import metric as MT
 from ...operators import model as M
@@ -18,6 +19,11 @@ from .. import digits as DG
 from .. import incidents as INC
 from .. import passengers as PS
 
+#: Components before the polynomial expansion; the reference's kernel needs no expansion, so it can take 200.
+PCA_K = 16
+#: L-BFGS iterations of the perceptrons (the library's default).
+MLP_ITER = 100
+
 
 @query("vote_and", ["votes"], "SELECT row_id, CAST(coalesce(s1 > 0.5, false) AND coalesce(s2 > 0.5, false) AS INTEGER) AS vote FROM votes")
 def vote_and(spark, d):
@@ -74,17 +80,17 @@ def _bidder_train(spark, d):
 
 @query("fit_random_forest")
 def fit_random_forest(spark, d):
-    """ML1 (+ML8): forest on the bidder features, hard predictions (small settings)."""
+    """ML1 (+ML8): forest of 150 unbounded trees on the bidder features, hard predictions."""
     tr = _bidder_train(spark, d)
-    m = M.random_forest("label", "features", num_trees=20, min_leaf=2, max_depth=8).fit(tr)
+    m = M.random_forest("label", "features", min_leaf=2).fit(tr)
     return m.transform(tr).select("bidder_id", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("fit_logistic")
 def fit_logistic(spark, d):
     """ML2: logistic regression (C = 1 equivalent) on the bidder features."""
-    tr = _bidder_train(spark, d)
-    m = M.logistic(tr.count(), "label", "features", 50).fit(tr)
+    tr = _bidder_train(spark, d).checkpoint()
+    m = M.logistic(tr.count(), "label", "features").fit(tr)
     return M.positive_proba(m.transform(tr)).select("bidder_id", "score")
 
 
@@ -92,7 +98,7 @@ def fit_logistic(spark, d):
 def predict_proba(spark, d):
     """ML9: positive-class probability and the whole vector from a forest."""
     tr = _bidder_train(spark, d)
-    m = M.random_forest("label", "features", num_trees=10, min_leaf=2, max_depth=5).fit(tr)
+    m = M.random_forest("label", "features", min_leaf=2).fit(tr)
     out = M.proba_array(M.positive_proba(m.transform(tr)))
     return out.select("bidder_id", "score", "proba")
 
@@ -101,29 +107,28 @@ def predict_proba(spark, d):
 def cv_scores(spark, d):
     """ML10: 3-fold stratified CV accuracy of a forest (folds 0..2 and mean as -1)."""
     tr = ID.kfold_stratified(_bidder_train(spark, d), "label", ["bidder_id"], 3, "fold")
-    return M.cv_accuracy(tr, "fold", 3, lambda x: M.random_forest("label", "features", 10, 2, 5).fit(x), "label")
+    return M.cv_accuracy(tr, "fold", 3, lambda x: M.random_forest("label", "features", min_leaf=2).fit(x), "label")
 
 
 @query("oof_predictions")
 def oof_predictions(spark, d):
     """ML11: out-of-fold scores of forest and logistic regression, contiguous folds."""
-    tr = _bidder_train(spark, d).persist()
-    n = tr.count()
+    tr = _bidder_train(spark, d)
     tr = ID.kfold_contiguous(tr, ["bidder_id"], 3, "fold")
     return M.oof_scores(tr, "bidder_id", "fold", 3, [
-        ("rf", lambda x: M.random_forest("label", "features", 10, 2, 5).fit(x)),
-        ("lr", lambda x: M.logistic(n, "label", "features", 30).fit(x))])
+        ("rf", lambda x: M.random_forest("label", "features", min_leaf=2).fit(x)),
+        ("lr", lambda x: M.logistic(x.count(), "label", "features").fit(x))])
 
 
 @query("fit_gbt_multiclass")
 def fit_gbt_multiclass(spark, d):
-    """ML3: one-vs-rest boosted trees on the incident features, class probabilities (small settings)."""
+    """ML3: one-vs-rest boosted trees (50 rounds, depth 5) on the incident features, class probabilities."""
     feats, enc, _ = INC.train_features(fx.incidents(spark, d))
     cols = INC.all_feature_columns(enc)
-    from ...operators import encode as E
-    tr = M.assemble(feats.join(E.label_index(feats, "Category", "label"), "Category"), cols) \
-        .withColumn("label", F.col("label").cast("double"))
-    m = M.fit_gbt_multiclass(tr, len(enc.classes), "label", "features", max_iter=3, max_depth=3)
+    feats = feats.withColumn("label", (F.array_position(F.array(*[F.lit(c) for c in enc.classes]),
+                                                        F.col("Category")) - 1).cast("double"))
+    tr = M.assemble(feats, cols)
+    m = M.fit_gbt_multiclass(tr, len(enc.classes), "label", "features")
     return m.transform(tr, "features", "proba").select("row_id", "proba", "prediction")
 
 
@@ -132,30 +137,37 @@ def _digits_split(spark, d):
     return dg.withColumn("features", array_to_vector("px")).withColumn("label", F.col("label").cast("double"))
 
 
+def _sizes(dg):
+    """Input and output width of a net on the digits: their pixels and classes."""
+    return E.common_length(dg, "px"), int(dg.agg(F.max("label")).first()[0]) + 1
+
+
 @query("fit_mlp")
 def fit_mlp(spark, d):
-    """ML5: perceptron 64-32-10 with L-BFGS on the pixel vectors (small settings)."""
+    """ML5: perceptron with hidden layers of 1000 and 500, L-BFGS, on the pixel vectors."""
     dg = _digits_split(spark, d)
-    m = M.mlp(64, [32], 10, "label", "features", 20).fit(dg)
+    n_in, n_out = _sizes(dg)
+    m = M.mlp(n_in, [1000, 500], n_out, "label", "features", MLP_ITER).fit(dg)
     return m.transform(dg).select("row_id", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("fit_poly_svm")
 def fit_poly_svm(spark, d):
-    """ML6: PCA(8) -> degree-2 expansion -> one-vs-rest linear SVM (small settings)."""
-    pc, _ = M.pca_project(fx.digits(spark, d), "px", 8, "pca")
+    """ML6: PCA -> degree-2 expansion -> one-vs-rest linear SVM."""
+    pc, _ = M.pca_project(fx.digits(spark, d), "px", PCA_K, "pca")
     pc = pc.withColumn("features", array_to_vector("pca")).withColumn("label", F.col("label").cast("double"))
-    f = M.fit_poly_svm(pc, 2, "label", "features", 5)
+    f = M.fit_poly_svm(pc, 2, "label", "features")
     return f(pc).select("row_id", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("fit_augmented_mlp")
 def fit_augmented_mlp(spark, d):
-    """ML7: perceptron on scaled, shifted (x5) and rotated images; predicts the originals."""
+    """ML7: perceptron (1000 hidden units) on scaled, shifted (x5) and rotated images; predicts the originals."""
     from ...operators import image as IM
     dg = fx.digits(spark, d).withColumn("label", F.col("label").cast("double"))
-    aug = IM.augment_rotate(IM.scale_and_augment(dg, "px", "width"), "px", "width", "row_id", 1)
-    m = M.mlp(64, [32], 10, "label", "features", 10).fit(aug.withColumn("features", array_to_vector("px")))
+    n_in, n_out = _sizes(dg)
+    aug = IM.augment_rotate(IM.scale_and_augment(dg, "px", "width"), "px", "width", ("row_id", "variant"), 1)
+    m = M.mlp(n_in, [1000], n_out, "label", "features", MLP_ITER).fit(aug.withColumn("features", array_to_vector("px")))
     return m.transform(dg.withColumn("features", array_to_vector("px"))).select(
         "row_id", F.col("prediction").cast("int").alias("prediction"))
 
@@ -163,29 +175,43 @@ def fit_augmented_mlp(spark, d):
 @query("flow_passengers")
 def flow_passengers(spark, d):
     """ML17: passengers end to end -> submission (PassengerId, Survived)."""
-    sub, _, _ = PS.run_flow(fx.passengers(spark, d), num_trees=20, max_depth=8, lr_iter=30)
-    return sub
+    return PS.run_flow(fx.passengers(spark, d))
+
+
+@query("flow_passengers_scores")
+def flow_passengers_scores(spark, d):
+    """ML10/ML11/ML17: accuracy per fold and of the out-of-fold AND vote."""
+    return PS.flow_scores(fx.passengers(spark, d))
 
 
 @query("flow_bidders")
 def flow_bidders(spark, d):
     """ML17: bidders end to end -> submission (bidder_id, predictions)."""
-    sub, _, _ = BD.run_flow(fx.bids(spark, d), fx.bidders(spark, d), num_trees=20, max_depth=8, lr_iter=30)
-    return sub
+    return BD.run_flow(fx.bids(spark, d), fx.bidders(spark, d))
+
+
+@query("flow_bidders_scores")
+def flow_bidders_scores(spark, d):
+    """ML10/ML11/ML17: accuracy per fold of forest and logistic regression, and of the out-of-fold OR vote."""
+    return BD.flow_scores(fx.bids(spark, d), fx.bidders(spark, d))
 
 
 @query("flow_incidents")
 def flow_incidents(spark, d):
     """ML18: incidents end to end -> Id + one probability column per category."""
-    sub, _ = INC.run_flow(fx.incidents(spark, d), max_iter=3, max_depth=3)
-    return sub
+    return INC.run_flow(fx.incidents(spark, d))
+
+
+@query("flow_incidents_losses")
+def flow_incidents_losses(spark, d):
+    """ML16/ML18: log loss over all training rows and the parts of a stratified split."""
+    return INC.flow_losses(fx.incidents(spark, d))
 
 
 @query("flow_digits")
 def flow_digits(spark, d):
     """ML19: digits end to end -> (ImageId, Label) by a five-voter plurality."""
-    return DG.run_flow(fx.digits(spark, d), (F.col("row_id") % 5) == 0, hidden=(32, 16), deep_hidden=(32,),
-                       pca_k=8, num_trees=20, max_iter=20, svm_iter=5)
+    return DG.run_flow(fx.digits(spark, d), (F.col("row_id") % 5) == 0, pca_k=PCA_K, max_iter=MLP_ITER)
 
 
 @query("impute_regression_multi")

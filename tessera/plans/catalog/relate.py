@@ -25,7 +25,7 @@ FROM bids b RIGHT JOIN (SELECT * FROM bidders WHERE split = 'train') e ON b.bidd
 def join_right(spark, d):
     """JN1: every train bidder kept; bidders without bids get NULL bid_id."""
     return R.join_right(fx.bids(spark, d).select("bid_id", "bidder_id"),
-                        _train_bidders(spark, d).select("bidder_id", "outcome"), "bidder_id", prefilter=True)
+                        _train_bidders(spark, d).select("bidder_id", "outcome"), "bidder_id")
 
 
 @query("join_left_chain", ["bids", "bidders"], """

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators import window as WN
 from ..operators import prep as P
 from ..operators.ids import exact_median, row_number_global
 
@@ -94,56 +95,60 @@ def passenger_features(p: DataFrame, order_train_first: bool = True) -> DataFram
         "CabinLetter": deck_code("Cabin"),
     }).drop("_famsurv")
     # cabin survivors minus own, sentinel cabin -> 0 (WN5)
-    is_unk = F.col("Cabin") == UNKNOWN_CABIN
-    cab = base.where(~is_unk).groupBy("Cabin").agg(F.sum("Survived").alias("_cabsurv"))
-    base = (base.withColumn("_ck", F.when(is_unk, F.lit(None)).otherwise(F.col("Cabin")))
-            .join(cab.withColumnRenamed("Cabin", "_ck"), "_ck", "left")
-            .withColumn("CabinSurvive", F.when(is_unk, F.lit(0).cast("long"))
-                        .otherwise(F.col("_cabsurv") - F.col("Survived")))
-            .drop("_ck", "_cabsurv"))
+    base = WN.leave_one_out_sentinel(base, "Cabin", "Survived", "CabinSurvive", UNKNOWN_CABIN)
     helped = (F.col("FamilySurvive") > 0) | (F.col("CabinSurvive") > 0)
     base = base.withColumn("helpdummy", F.coalesce(
         (helped & ((F.col("Sex") == 1) | (F.col("Age") < 18))).cast("int"), F.lit(0)))
     return base.drop("_last", "_ord")
 
 
-def run_flow(p: DataFrame, num_trees: int = 150, max_depth: int = 30, lr_iter: int = 100, k: int = 3):
-    """ML17: returns (submission, cv accuracy per fold, out-of-fold AND-vote accuracy).
-
-    Folds: stratified contiguous (cross-validation score) and contiguous in
-    row order (out-of-fold vote), both numbered without a single-partition
-    window. Forest and logistic regression each read their own predictor list.
-    """
-    from ..operators import ids as ID
+def _flow(p: DataFrame, num_trees: int, max_depth: int, lr_iter: int):
+    """Train and test rows with both predictor vectors, and the two fits."""
     from ..operators import model as M
-    from ..operators.metric import accuracy
 
-    feats = passenger_features(p)
     # a title group with no known age keeps NULL ages in the feature table;
     # the models need a value, so those take the global median (PR14)
-    feats = P.fill_global_median(feats, "Age")
-    train = feats.where(F.col("split") == "train").withColumn("label", F.col("Survived").cast("double"))
-    test = feats.where(F.col("split") == "test")
-    tr_f = M.assemble(train, FOREST_PREDICTORS, "f_rf")
-    tr_f = M.assemble(tr_f, LOGISTIC_PREDICTORS, "f_lr").persist()
-    n = tr_f.count()
+    feats = P.fill_global_median(passenger_features(p), "Age")
+    feats = M.assemble(M.assemble(feats, FOREST_PREDICTORS, "f_rf"), LOGISTIC_PREDICTORS, "f_lr")
+    feats = feats.withColumn("label", F.col("Survived").cast("double")).checkpoint()
 
     def rf(d):
         return M.random_forest("label", "f_rf", num_trees, 3, max_depth).fit(d)
 
     def lr(d):
-        return M.logistic(n, "label", "f_lr", lr_iter).fit(d)
+        return M.logistic(d.count(), "label", "f_lr", lr_iter).fit(d)  # C = 1: one over the rows fitted on
+
+    return feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test"), rf, lr
+
+
+def flow_scores(p: DataFrame, num_trees: int = 150, max_depth: int = 30, lr_iter: int = 100,
+                k: int = 3) -> DataFrame:
+    """ML17 scores: (score, fold, accuracy): cross-validation of the forest, and the
+    out-of-fold AND vote (fold -1).
+
+    Folds: stratified contiguous (cross-validation) and contiguous in row order
+    (vote), both numbered without a single-partition window.
+    """
+    from ..operators import ids as ID
+    from ..operators import model as M
+    from ..operators.metric import accuracy
 
-    strat = ID.kfold_stratified(tr_f, "label", ["row_id"], k, "fold")
-    cv = M.cv_accuracy(strat, "fold", k, rf, "label")
-    contig = ID.kfold_contiguous(tr_f, ["row_id"], k, "fold")
-    oof = M.oof_scores(contig, "row_id", "fold", k, [("rf", rf), ("lr", lr)])
+    train, _, rf, lr = _flow(p, num_trees, max_depth, lr_iter)
+    cv = M.cv_accuracy(ID.kfold_stratified(train, "label", ["row_id"], k, "fold"), "fold", k, rf, "label")
+    oof = M.oof_scores(ID.kfold_contiguous(train, ["row_id"], k, "fold"), "row_id", "fold", k,
+                       [("rf", rf), ("lr", lr)])
     wide = oof.groupBy("row_id").pivot("model", ["rf", "lr"]).agg(F.first("score"))
     vote = wide.select("row_id", S.vote_and("rf", "lr").cast("double").alias("prediction"))
-    oof_acc = accuracy(vote.join(tr_f.select("row_id", "label"), "row_id"))
-    m_rf, m_lr = rf(tr_f), lr(tr_f)
-    te = M.assemble(M.assemble(test, FOREST_PREDICTORS, "f_rf"), LOGISTIC_PREDICTORS, "f_lr")
-    s_rf = M.positive_proba(m_rf.transform(te), "probability", "s_rf").select("PassengerId", "f_lr", "s_rf")
-    s_lr = M.positive_proba(m_lr.transform(s_rf), "probability", "s_lr")
-    sub = s_lr.select("PassengerId", S.vote_and("s_rf", "s_lr").cast("int").alias("Survived"))
-    return sub, cv, oof_acc
+    acc = accuracy(vote.join(train.select("row_id", "label"), "row_id"))
+    return (cv.select(F.lit("cv_forest").alias("score"), "fold", "accuracy")
+            .unionByName(acc.select(F.lit("oof_and_vote").alias("score"), F.lit(-1).alias("fold"), "accuracy")))
+
+
+def run_flow(p: DataFrame, num_trees: int = 150, max_depth: int = 30, lr_iter: int = 100) -> DataFrame:
+    """ML17: the submission (PassengerId, Survived), both models fitted on all training rows."""
+    from ..operators import model as M
+
+    train, test, rf, lr = _flow(p, num_trees, max_depth, lr_iter)
+    s_rf = M.positive_proba(rf(train).transform(test), "probability", "s_rf").select("PassengerId", "f_lr", "s_rf")
+    s_lr = M.positive_proba(lr(train).transform(s_rf), "probability", "s_lr")
+    return s_lr.select("PassengerId", S.vote_and("s_rf", "s_lr").cast("int").alias("Survived"))

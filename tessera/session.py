@@ -51,10 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder comes from the session configuration and is
-    used as is. Only when it is unset (local tests) a scratch folder is made.
+    used as is. Where it is unset, a local master (tests) gets a scratch
+    folder; any other master is an error, as its executors would not share one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -92,18 +95,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a given input size (e.g. 100 TB on a large cluster).
 
     Scans split files at ``target_partition_bytes``. Shuffles start with one
-    partition per target size (bounded below by 200 and above by
-    ``max_partitions``, to keep map-output metadata in check), and AQE
-    coalesces small ones toward the same advisory size at run time.
+    partition per target size (200 at least), and AQE coalesces small ones toward the same advisory size at run time.
     Partitions of that size fit executor memory, and sorts and aggregates
     spill beyond it.
     """
-    n = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    n = max(200, -(-int(input_bytes) // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),

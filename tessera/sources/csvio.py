@@ -19,9 +19,14 @@ from ..session import scratch_path
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             infer: bool = False) -> DataFrame:
-    """IO1: header CSV with an explicit schema; ``infer=True`` samples the file for types."""
-    r = spark.read.option("header", True).option("mode", "FAILFAST")
+             infer: bool = False, multi_line: bool = False) -> DataFrame:
+    """IO1: header CSV with an explicit schema; ``infer=True`` reads the file once more for types.
+
+    Quotes inside a quoted field are doubled. ``multi_line`` allows line breaks
+    in quoted fields (such a file is not split between tasks).
+    """
+    r = (spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"')
+         .option("multiLine", multi_line))
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -31,7 +36,7 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """IO2: header CSV, no index column."""
-    df.write.option("header", True).mode(mode).csv(path)
+    df.write.option("header", True).option("escape", '"').mode(mode).csv(path)
     return path
 
 
@@ -40,7 +45,7 @@ def write_csv_indexed(df: DataFrame, path: str, order: Sequence[str], index_labe
     """IO3: a 0-based row index column (in ``order``) first, NULLs written as ``na_rep``."""
     d = row_index_reset(df, order, index_label)
     d = d.select(index_label, *[c for c in df.columns if c not in order])
-    d.write.option("header", True).option("nullValue", na_rep).mode(mode).csv(path)
+    d.write.option("header", True).option("escape", '"').option("nullValue", na_rep).mode(mode).csv(path)
     return path
 
 
@@ -56,5 +61,5 @@ def wide_submission(df: DataFrame, id_col: str, proba_col: str, classes: Sequenc
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
+    """A fresh folder under the shared checkpoint folder (see ``ensure_checkpoint_dir``)."""
     return os.path.join(scratch_path(spark, name), uuid.uuid4().hex)

@@ -70,6 +70,11 @@ def mlp(n_in: int, hidden: Sequence[int], n_out: int, label: str = "label", feat
                                           maxIter=max_iter, seed=seed)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores: a small table in one file would be fitted by one task."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
+
+
 @dataclass
 class GBTMulticlass:
     """ML3: one binary boosted-tree model per class; probabilities sigmoid(2 * margin)

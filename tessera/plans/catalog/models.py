@@ -147,7 +147,7 @@ def fit_mlp(spark, d):
     """ML5: perceptron with hidden layers of 1000 and 500, L-BFGS, on the pixel vectors."""
     dg = _digits_split(spark, d)
     n_in, n_out = _sizes(dg)
-    m = M.mlp(n_in, [1000, 500], n_out, "label", "features", MLP_ITER).fit(dg)
+    m = M.mlp(n_in, [1000, 500], n_out, "label", "features", MLP_ITER).fit(M.spread(dg))
     return m.transform(dg).select("row_id", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -167,7 +167,8 @@ def fit_augmented_mlp(spark, d):
     dg = fx.digits(spark, d).withColumn("label", F.col("label").cast("double"))
     n_in, n_out = _sizes(dg)
     aug = IM.augment_rotate(IM.scale_and_augment(dg, "px", "width"), "px", "width", ("row_id", "variant"), 1)
-    m = M.mlp(n_in, [1000], n_out, "label", "features", MLP_ITER).fit(aug.withColumn("features", array_to_vector("px")))
+    m = M.mlp(n_in, [1000], n_out, "label", "features", MLP_ITER).fit(
+        M.spread(aug.withColumn("features", array_to_vector("px"))))
     return m.transform(dg.withColumn("features", array_to_vector("px"))).select(
         "row_id", F.col("prediction").cast("int").alias("prediction"))
 

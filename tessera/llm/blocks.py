@@ -82,7 +82,10 @@ def _body(h: np.ndarray, cols: list[np.ndarray]) -> bytes:
 
 
 def to_blocks(chunk: int, n_blocks: int, h: np.ndarray, cols: list[np.ndarray]) -> pa.Table:
-    """Sorted hashes of one chunk, with columns, packed per block."""
+    """Sorted hashes of one chunk, with columns, packed per block.
+
+    Blocks are equal ranges, so the hashes must be spread over all 64 bits.
+    """
     block = ((h >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
     cuts = np.flatnonzero(np.diff(block)) + 1
     edges = [0, *cuts.tolist(), len(h)] if len(h) else []

@@ -71,7 +71,8 @@ def _anchor_runs(data: np.ndarray, offs: np.ndarray, length: int, m: int):
     p = (key[s] & low).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
     last = np.concatenate([first[1:], [len(p)]]) - 1
-    return s[first], s[last], p[first], g[p[first]], sums
+    # least hashes are small numbers: mixed again, they spread evenly over the blocks
+    return s[first], s[last], p[first], mix64(g[p[first]], 14), sums
 
 
 def _context_hash(sums: np.ndarray, a: np.ndarray, b: np.ndarray, p: np.ndarray, length: int) -> np.ndarray:

@@ -2,21 +2,18 @@
 
 import pytest
 
-import __spark_entry__ as E
-from conftest import SF_MID, SF_SMALL
+from conftest import SF_MID
 from oracle_check import compare, duck_connection
 
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+from tessera.plans.registry import all_queries, all_sql
 
-# one output column per category seen in the data: the oracle text lists the
-# categories present at sf0.01 (the driver's check scale)
-OBSERVED_COLUMNS = {"incident_features", "one_hot", "submission_wide", "target_log_odds"}
+SQL = all_sql()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")
 def duck():
-    return {SF_SMALL: duck_connection(SF_SMALL), SF_MID: duck_connection(SF_MID)}
+    return duck_connection(SF_MID)
 
 
 def test_every_sql_has_a_query():
@@ -25,6 +22,5 @@ def test_every_sql_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_oracle_parity(spark, duck, name):
-    sf = SF_MID if name in OBSERVED_COLUMNS else SF_SMALL
-    ok, msg = compare(name, QUERIES[name](spark, sf), duck[sf], SQL[name])
+    ok, msg = compare(name, QUERIES[name](spark, SF_MID), duck, SQL[name])
     assert ok, msg

@@ -94,8 +94,8 @@ def test_no_python_in_native_operators(spark):
 
 
 def test_catalog_plans_have_no_python_or_cartesian(spark):
-    import __spark_entry__ as E
-    qs, sql = E.queries(), E.oracle_sql()
+    from tessera.plans.registry import all_queries, all_sql
+    qs, sql = all_queries(), all_sql()
     bad = []
     for name in sorted(sql):
         plan = _plan(qs[name](spark, SF_SMALL))

@@ -123,7 +123,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cols = ["doc_id", "row", "pos", "n_lines"]
     heads = (found.where(F.col("kind") == _HEAD).groupBy("h1", "h2")
              .agg(F.min("doc_id").alias("first_doc")))      # min skips nulls: a null id is last
-    pending = found.where(F.col("kind") == _PENDING).join(heads, ["h1", "h2"])
+    # at most two run heads per range partition: a size that the partition count bounds
+    pending = found.where(F.col("kind") == _PENDING).join(F.broadcast(heads), ["h1", "h2"])
     pending = pending.where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     return found.where(F.col("kind") == _DROP).select(*cols).unionByName(pending.select(*cols))
 

@@ -46,7 +46,8 @@ def _shared(rows: DataFrame, by: list[str]) -> DataFrame:
     """The rows whose ``by`` values occur in at least one more row."""
     many = (rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1).select(*by))
-    return rows.join(many, by, "left_semi")
+    # written first: the join then stands on two plain exchanges, whose large partitions AQE splits
+    return rows.join(staged(many, "exact-groups"), by, "left_semi")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,7 +66,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .agg(F.count(F.lit(1)).alias("n"), best.alias("b"))
               .where(F.col("n") > 1)
               .select(*full, "n", F.col("b.c").alias("best_c"), F.col("b.i").alias("best_i")))
-    out = keys.join(groups, full, "left")
+    out = keys.join(staged(groups, "exact-groups"), full, "left")
     alone = F.col("n").isNull()
     return out.select(
         "doc_id",

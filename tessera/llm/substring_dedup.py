@@ -9,13 +9,14 @@ in a document with a smaller doc_id; the words it covers go.
    anchor occurs in two documents can repeat. Anchors are a fifth of all places.
 2. Edges. The windows with such anchors become edges (hash, document, place).
    Their blocks name the first document that has the edge, and the place in it.
-3. Compaction. Joined back to the documents, edges that follow each other both
-   here and in the source form nonbranching paths: one row (document, start,
-   length, source document, source start, digest of the words) per path.
-4. Verification. Paths are joined to their source documents by the source
-   coordinates; a path counts if the source's own words there give the same
-   digest. So a collision of 64-bit hashes removes nothing.
-5. The documents are joined with their verified paths and lose the words.
+3. Sources. Joined back to the documents, edges name the source documents that
+   a chunk of documents needs; these are sent to it, each once per chunk, so a
+   source of very many copies is not met by all of them in one task.
+4. Compaction and verification. Edges that follow each other both here and in
+   the source form nonbranching paths (document, start, length, source, source
+   start). A path counts if the source's words at these coordinates are the
+   same words, so a collision of 64-bit hashes removes nothing. The words of
+   the verified paths go.
 
 Documents meet hashes through ``blocks`` (see there): a passage that a third
 of all documents share is sent once per chunk of documents.
@@ -28,7 +29,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -38,12 +38,11 @@ from pyspark.sql import functions as F
 
 from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, find, joined, per_block,
                      per_chunk, to_blocks, with_replies)
-from .words import ngram_hashes, pieces, window_places, word_hashes, word_spans
+from .words import mix64, ngram_hashes, pieces, window_places, word_hashes, word_spans
 
 K = 13
 ANCHOR = 6
 
-_PATH = "doc_id long, row long, start long, n long, source long, source_start long, digest binary"
 _TEXT = "doc_id long, text string, n_words long, n_removed long"
 
 
@@ -53,7 +52,7 @@ def _window_anchors(words: np.ndarray, k: int, m: int) -> np.ndarray:
     out = g[:len(words) - k + 1].copy()
     for j in range(1, k - m + 1):
         np.minimum(out, g[j:j + len(out)], out=out)
-    return out
+    return mix64(out, 14)      # least hashes are small numbers: mixed again, they spread evenly over the blocks
 
 
 def _windows(table: pa.Table, k: int, m: int):
@@ -124,84 +123,75 @@ def _sources(first: np.ndarray, run_of: np.ndarray, cols: list[np.ndarray]):
     return shared[run_of], [doc[first][run_of], pos[first][run_of]]
 
 
-def _words_digest(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+def _later(table: pa.Table, edge: np.ndarray, source: np.ndarray, source_at: np.ndarray, k: int, m: int):
+    """Per piece of a chunk: (row, place, source, source place) of the windows that an earlier document has."""
+    for row, doc, pos, _, h in _windows(table, k, m) if len(edge) else ():
+        hit, at = find(h, edge)
+        go = np.flatnonzero(hit & (source[at] < doc))
+        if len(go):
+            yield row[go], pos[go], source[at[go]], source_at[at[go]].astype(np.int64)
 
 
-def _compact(k: int, m: int):
-    """Edges with an earlier source, compacted to paths."""
+def _ask_sources(k: int, m: int):
+    """The documents that a chunk needs for its paths, each once."""
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         edge, source, source_at = joined(replies, [np.int64, np.uint32])
-        out: list[tuple] = []
-        texts, row_of = table["t"], table["row"].to_numpy()
-        for row, doc, pos, _, h in _windows(table, k, m):
-            if not len(edge):
-                continue
-            hit, at = find(h, edge)
-            src, src_at = source[at], source_at[at].astype(np.int64)
-            go = np.flatnonzero(hit & (src < doc))
-            if not len(go):
-                continue
-            r, p, s, q = row[go], pos[go], src[go], src_at[go]
-            cut = np.flatnonzero((r[1:] != r[:-1]) | (p[1:] != p[:-1] + 1) | (s[1:] != s[:-1])
-                                 | (q[1:] != q[:-1] + 1)) + 1
-            begin = np.concatenate([[0], cut])
-            length = np.diff(np.concatenate([begin, [len(go)]])) + k - 1
-            last, words = -1, []
-            for b, n in zip(begin.tolist(), length.tolist()):
-                if r[b] != last:
-                    last = r[b]
-                    words = texts[int(last)].as_py().encode().split()
-                out.append((int(doc[go[b]]), int(row_of[last]), int(p[b]), n, int(s[b]), int(q[b]),
-                            _words_digest(words[p[b]:p[b] + n])))
-        rows = list(zip(*out)) if out else [[]] * 7
-        return pa.table({f.split()[0]: pa.array(c, pa.binary() if f.endswith("binary") else pa.int64())
-                         for f, c in zip(_PATH.split(", "), rows)})
+        need = [np.unique(src) for _, _, src, _ in _later(table, edge, source, source_at, k, m)]
+        need = np.unique(np.concatenate([*need, np.zeros(0, np.int64)]))
+        ask = table["chunk"][0].as_py() if table.num_rows else 0
+        return pa.table({"source": pa.array(need), "ask": pa.array(np.full(len(need), ask, np.int64))})
     return run
 
 
-def _verify(table: pa.Table, paths: pa.Table) -> pa.Table:
-    """The paths whose source holds the same words at the source coordinates."""
-    texts: dict[int, list[int]] = {}
-    wanted = set(paths["source"].to_pylist())
+def _send_sources(table: pa.Table, asked: pa.Table) -> pa.Table:
+    """The texts asked for, addressed to the chunks that ask."""
+    rows: dict[int, list[int]] = {}
+    wanted = set(asked["source"].to_pylist())
     for i, d in enumerate(table["doc_id"].to_pylist()):
         if d in wanted:
-            texts.setdefault(d, []).append(i)
-    ok = np.zeros(paths.num_rows, bool)
-    order = np.argsort(paths["source"].to_numpy(), kind="stable").tolist() if paths.num_rows else []
-    source, start, n, digest = (paths[c].to_pylist() for c in ("source", "source_start", "n", "digest"))
-    last, words = None, []
-    for i in order:
-        if source[i] != last:
-            last = source[i]
-            words = [table["t"][j].as_py().encode().split() for j in texts.get(last, [])]
-        ok[i] = any(_words_digest(w[start[i]:start[i] + n[i]]) == digest[i] for w in words)
-    return paths.filter(pa.array(ok)).select([f.split()[0] for f in _PATH.split(", ")])
-
-
-def _cut(table: pa.Table, paths: pa.Table) -> pa.Table:
-    """Each document without the words of its paths."""
-    by_row: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for d, r, s, n in zip(*(paths[c].to_pylist() for c in ("doc_id", "row", "start", "n"))):
-        by_row.setdefault((d, r), []).append((s, n))
-    ids = table["doc_id"].to_numpy() if table.num_rows else np.zeros(0, np.int64)
-    keys = table["row"].to_pylist()
-    kept, total, gone = [], [], []
-    for i, t in enumerate(table["t"].to_pylist()):
-        words = t.encode().split()
-        total.append(len(words))
-        spans = by_row.get((int(ids[i]), keys[i]))
-        if spans:
-            keep = np.ones(len(words), bool)
-            for s, n in spans:
-                keep[s:s + n] = False
-            words = [w for w, k in zip(words, keep.tolist()) if k]
-        gone.append(total[-1] - len(words))
-        kept.append(b" ".join(words).decode())
-    doc = pa.array(ids, mask=ids == NULL_ID)
-    out = pa.table({"doc_id": doc, "text": pa.array(kept, pa.string()),
-                    "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())})
-    return out.append_column("extra", table["extra"]) if "extra" in table.column_names else out
+            rows.setdefault(d, []).append(i)
+    out = [(ask, d, i) for d, ask in zip(asked["source"].to_pylist(), asked["ask"].to_pylist())
+           for i in rows.get(d, ())]
+    ask, d, i = zip(*out) if out else ((), (), ())
+    return pa.table({"chunk": pa.array(ask, pa.int64()), "source": pa.array(d, pa.int64()),
+                     "source_text": table["t"].take(pa.array(i, pa.int64())).cast(pa.string())})
+
+
+def _cut(k: int, m: int):
+    """Compacts later edges to paths, verifies these in their sources, cuts their words."""
+    def run(table: pa.Table, replies: pa.Table) -> pa.Table:
+        is_text = replies["source"].is_valid().to_numpy() if replies.num_rows else np.zeros(0, bool)
+        edge, source, source_at = joined(replies.filter(pa.array(~is_text)), [np.int64, np.uint32])
+        texts: dict[int, list[list[bytes]]] = {}
+        sent = replies.filter(pa.array(is_text))
+        for d, t in zip(sent["source"].to_pylist(), sent["source_text"].to_pylist()):
+            texts.setdefault(d, []).append(t.encode().split())
+        spans: dict[int, list[tuple[int, int, int, int]]] = {}
+        for r, p, s, q in _later(table, edge, source, source_at, k, m):
+            # a path goes on while the next edge follows both here and in the source
+            cut = np.flatnonzero((r[1:] != r[:-1]) | (p[1:] != p[:-1] + 1) | (s[1:] != s[:-1])
+                                 | (q[1:] != q[:-1] + 1)) + 1
+            begin = np.concatenate([[0], cut])
+            length = np.diff(np.concatenate([begin, [len(r)]])) + k - 1
+            for row, *path in zip(*(x[begin].tolist() for x in (r, p, s, q)), length.tolist()):
+                spans.setdefault(row, []).append(tuple(path))
+        kept, total, gone = [], [], []
+        for i, t in enumerate(table["t"].to_pylist()):
+            words = t.encode().split()
+            total.append(len(words))
+            if i in spans:
+                keep = np.ones(len(words), bool)
+                for p, s, q, n in spans[i]:
+                    if any(w[q:q + n] == words[p:p + n] for w in texts.get(s, ())):
+                        keep[p:p + n] = False
+                words = [w for w, y in zip(words, keep.tolist()) if y]
+            gone.append(total[-1] - len(words))
+            kept.append(b" ".join(words).decode())
+        ids = table["doc_id"].to_numpy() if table.num_rows else np.zeros(0, np.int64)
+        out = pa.table({"doc_id": pa.array(ids, mask=ids == NULL_ID), "text": pa.array(kept, pa.string()),
+                        "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())})
+        return out.append_column("extra", table["extra"]) if "extra" in table.column_names else out
+    return run
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -215,7 +205,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     anchors = per_block(per_chunk(t, _send_anchors(k, anchor, n), PACKED), [np.uint8], _shared_anchors)
     edges = per_block(with_replies(t, anchors, _send_edges(k, anchor, n), PACKED),
                       [np.int64, np.uint32, np.uint8], _sources)
-    paths = with_replies(t, edges, _compact(k, anchor), _PATH)
-    paths = with_replies(t, paths.withColumn("chunk", chunk_of(F.col("source"), n)), _verify, _PATH)
+    asked = with_replies(t, edges, _ask_sources(k, anchor), "source long, ask long")
+    texts = with_replies(t, asked.withColumn("chunk", chunk_of(F.col("source"), n)), _send_sources,
+                         "chunk long, source long, source_text string")
+    replies = (edges.select("chunk", "n", "body").withColumn("source", F.lit(None).cast("long"))
+               .withColumn("source_text", F.lit(None).cast("string"))
+               .unionByName(texts.withColumn("n", F.lit(None).cast("long")).withColumn("body", F.lit(None).cast("binary"))))
     schema = _TEXT + (f", extra {dict(t.dtypes)['extra']}" if carry else "")
-    return with_replies(t, paths.withColumn("chunk", chunk_of(F.col("doc_id"), n)), _cut, schema)
+    return with_replies(t, replies, _cut(k, anchor), schema)

@@ -253,8 +253,8 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
     node_sets = staged(linked.join(first.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"])
                        .dropDuplicates(["digest", "doc_id"])
                        .select(F.col("doc_id").alias("node"), "n", "shingles", "columns", "places"), "node-sets")
-    entries = node_sets.select("node", "n", F.explode(F.arrays_zip("columns", "places")).alias("e"))
-    entries = entries.select("node", "n", F.col("e.columns").alias("col"), F.col("e.places").alias("place"))
+    entries = node_sets.select("node", "n", F.posexplode(F.arrays_zip("columns", "places")).alias("k", "e"))
+    entries = entries.select("node", "n", "k", F.col("e.columns").alias("col"), F.col("e.places").alias("place"))
     many = entries.groupBy("col").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("col")
     entries = staged(entries.join(staged(many, "columns"), "col"), "entries")
     links = staged(ties, "ties")
@@ -274,7 +274,8 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
         main = (size.groupBy("col").agg(F.max_by(F.struct("comp", "pick"), F.struct("c", "comp")).alias("x"))
                 .select("col", F.col("x.comp").alias("main"), F.col("x.pick").alias("pick")))
         main = staged(main, "main")
-        here = open_.join(main, "col")
+        # written, so that the join to come stands on plain exchanges, which AQE can split
+        here = staged(open_.join(main, "col"), "here")
         if turn < star_rounds:
             other = here.where(F.xxhash64("node", F.lit(turn)) == F.col("pick"))
             other = staged(other.select("col", F.col("node").alias("b"), F.col("n").alias("m"),
@@ -285,11 +286,16 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
             pairs = pairs.groupBy("node", "b").agg(F.count(F.lit(1)).alias("overlap"))
             pairs = pairs.groupBy(F.col("node").alias("a")).agg(F.max_by("b", F.struct("overlap", "b")).alias("b"))
         else:
-            rest = staged(here.where(F.col("comp") != F.col("main"))
-                          .select("col", F.col("node").alias("a"), "n", "place", "comp"), "rest")
-            other = staged(open_.select("col", F.col("node").alias("b"), F.col("n").alias("m"),
-                                        F.col("place").alias("spot"), F.col("comp").alias("comp_b")), "other")
-            pairs = rest.join(other, "col").where((F.col("comp") != F.col("comp_b")) & _allowed(percent))
+            # a pair is made in the first column that it shares: ``before`` holds an entry's earlier columns
+            before = F.slice("columns", 1, F.col("k")).alias("before")
+            own = node_sets.select("node", "columns")
+            rest = staged(here.where(F.col("comp") != F.col("main")).join(own, "node")
+                          .select("col", F.col("node").alias("a"), "n", "place", "comp", before), "rest")
+            other = staged(open_.join(own, "node")
+                           .select("col", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("spot"),
+                                   F.col("comp").alias("comp_b"), before.alias("before_b")), "other")
+            pairs = rest.join(other, "col").where((F.col("comp") != F.col("comp_b")) & _allowed(percent)
+                                                  & ~F.arrays_overlap("before", "before_b"))
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = staged(links.unionByName(_links(staged(pairs.select("a", "b"), "pairs"), node_sets, percent)), "links")
         comp = _min_labels(links)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,7 @@ from .common import small_batches, staged, text_of
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids a worker remembers at once; beyond it the memory starts anew.
-WORD_MEMORY = 500_000
+WORD_MEMORY = 1_000_000
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -83,8 +83,9 @@ class WordEncoder:
             raise ValueError(f"{path} does not encode texts word by word")
 
     def clear(self) -> None:
-        self.units: dict[bytes, list[int]] = {}
+        #: Word or unit -> code; a code's ids are ids[first : first + count].
         self.known: dict[bytes, int] = {}
+        self.codes = 0
         self.first = np.zeros(1 << 12, np.int64)
         self.count = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
@@ -101,71 +102,83 @@ class WordEncoder:
         b[:len(a)] = a
         return b
 
-    def _marked(self, w: bytes) -> bool:
-        return any(m in w for m in self.marks)
-
-    def _units_of(self, w: bytes) -> tuple[bytes, ...]:
-        if self._marked(w):
-            return (w,)
-        w = w.lower()
-        stem = w.rstrip(PUNCTUATION)
-        if stem and len(stem) < len(w) and 97 <= stem[-1] <= 122:
-            return stem, w[len(stem):]
-        return (w,)
+    def _add(self, names: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """New codes for names, whose ids stand one after another in ``ids``."""
+        k, n = self.codes, len(names)
+        self.first, self.count = self._room(self.first, k + n), self._room(self.count, k + n)
+        self.first[k:k + n] = self.used + np.cumsum(sizes) - sizes
+        self.count[k:k + n] = sizes
+        self.ids = self._room(self.ids, self.used + len(ids))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.codes += n
+        self.known.update(zip(names, range(k, k + n)))
+
+    def _ids_of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of codes, one after another, and where each code's begin (and the end)."""
+        size = self.count[code]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.first[code] - upto[:-1], size)
+        at += np.arange(len(at))
+        return self.ids[at], upto
 
     def _learn_units(self, new: list[bytes]) -> None:
-        units = self.units
-        plain = []
-        for u in new:
-            if self._marked(u):
-                units[u] = self._whole(u.decode())
-            else:
-                plain.append(u)
-        for at in range(0, len(plain), 1000):
-            some = plain[at:at + 1000]
-            ids = self._whole(self.parting.join([u.decode() for u in some]))
-            start = 0
-            for u in some[:-1]:
-                end = ids.index(self.parting_id, start)
-                units[u] = ids[start:end]
-                start = end + 1
-            units[some[-1]] = ids[start:]
+        for at in range(0, len(new), 2000):
+            some = new[at:at + 2000]
+            ids = np.array(self._whole(self.parting.join([u.decode() for u in some])) + [self.parting_id], np.uint32)
+            ends = np.flatnonzero(ids == self.parting_id)
+            self._add(some, np.diff(np.concatenate([[-1], ends])) - 1, ids[ids != self.parting_id])
 
     def _learn(self, words: list[bytes]) -> None:
-        units = self.units
-        parts = [self._units_of(w) for w in words]
-        if new := list({u for p in parts for u in p if u not in units}):
-            self._learn_units(new)
-        ids = [units[p[0]] if len(p) == 1 else units[p[0]] + units[p[1]] for p in parts]
-        k, n = len(self.known), len(words)
-        size = np.fromiter(map(len, ids), np.int64, n)
-        self.first, self.count = self._room(self.first, k + n), self._room(self.count, k + n)
-        self.first[k:k + n] = self.used + np.cumsum(size) - size
-        self.count[k:k + n] = size
-        total = int(size.sum())
-        self.ids = self._room(self.ids, self.used + total)
-        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        self.used += total
-        self.known.update(zip(words, range(k, k + n)))
+        known, marks = self.known, self.marks
+        new: dict[bytes, None] = {}
+        same: list[tuple[bytes, bytes]] = []
+        made: list[tuple[bytes, bytes, bytes]] = []
+        for w in words:
+            for m in marks:
+                if m in w:
+                    ids = np.array(self._whole(w.decode()), np.uint32)
+                    self._add([w], np.array([len(ids)]), ids)
+                    break
+            else:
+                low = w.lower()
+                stem = low.rstrip(PUNCTUATION)
+                if len(stem) < len(low) and stem and 97 <= stem[-1] <= 122:
+                    tail = low[len(stem):]
+                    made.append((w, stem, tail))
+                    if tail not in known:
+                        new[tail] = None
+                else:
+                    stem = low
+                    if low != w:
+                        same.append((w, low))
+                if stem not in known:
+                    new[stem] = None
+        if new:
+            self._learn_units(list(new))
+        known.update([(w, known[low]) for w, low in same])
+        if made:
+            code = np.array([(known[a], known[b]) for _, a, b in made], np.int64)
+            ids, _ = self._ids_of(code.ravel())
+            self._add([w for w, _, _ in made], self.count[code].sum(axis=1), ids)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another; where each text's ids begin (and the end)."""
         words: list[bytes] = []
-        ends = []
+        ends = [0]
         for t in texts:
             words += t.split()
             ends.append(len(words))
         if len(self.known) > self.memory:
             self.clear()
-        known = self.known
-        if new := list({w for w in words if w not in known}):
-            self._learn(new)
-        code = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        size = self.count[code]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        at = np.repeat(self.first[code] - upto[:-1], size)
-        at += np.arange(len(at))
-        return self.ids[at], upto[np.concatenate([[0], ends]).astype(np.int64)]
+        get = self.known.get
+        code = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+        miss = np.flatnonzero(code < 0).tolist()
+        if miss:
+            self._learn(list(dict.fromkeys([words[i] for i in miss])))
+            code[miss] = [get(words[i]) for i in miss]
+        ids, upto = self._ids_of(code)
+        return ids, upto[np.array(ends, np.int64)]
 
 
 def word_encoder(path: str) -> WordEncoder:

@@ -27,10 +27,11 @@ character in a text decodes to a space, as in the library.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,8 @@ from .common import small_batches, text_of
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words that a worker remembers before it starts anew; prefixes and pairs may be twice as many.
-MEMORY = 300_000
+#: Words (as many prefixes, as many pairs) that a worker remembers before it starts anew.
+MEMORY = 600_000
 _INF = float("inf")
 
 
@@ -70,6 +71,17 @@ class Transducer:
         self.out = [b"" if p.type == CONTROL else bytes([int(p.piece[3:5], 16)]) if p.type == BYTE
                     else p.piece.replace(MARK, " ").encode() for p in m.pieces]
         self.out[self.unknown] = m.trainer_spec.unk_surface.encode()
+        sizes = np.array([len(o) for o in self.out], np.int64)
+        self.out_size, self.out_first = sizes, np.cumsum(sizes) - sizes
+        self.out_bytes = np.frombuffer(b"".join(self.out), np.uint8)
+        #: The pieces as a trie read from their ends: all arcs into a place are found in one walk back.
+        self.ending: dict = {}
+        for text, i in self.pieces.items():
+            node = self.ending
+            for c in reversed(text):
+                node = node.setdefault(c, {})
+            node[""] = i
+        self.length = [len(t) for t in self.text]
         self.fit: dict[int, bool] = {}
         self.last: dict[str, int] = {}
         self.clear_words()
@@ -111,32 +123,42 @@ class Transducer:
 
     def _shortest_bpe(self, word: str) -> list[int]:
         """The finite path; ``last`` keeps the last piece of every prefix seen before."""
-        n, last, pieces, fit = len(word), self.last, self.pieces, self.fit
+        n, last, fit, ending, length = len(word), self.last, self.fit, self.ending, self.length
         ends = [-1] * (n + 1)
-        starts = [0] * (n + 1)
         keep = n <= 64                      # prefixes of very long words are not worth remembering
         for i in range(1, n + 1):
             p = last.get(word[:i]) if keep else None
             if p is None:
-                p = -1
-                for j in range(max(0, i - self.longest), i):
-                    t = pieces.get(word[j:i])
+                p, node, j, found = -1, ending, i, []
+                while j:
+                    j -= 1
+                    node = node.get(word[j])
+                    if node is None:
+                        break
+                    t = node.get("")
                     if t is not None:
-                        a = ends[j] if j else -1
-                        r = fit.get((a << 32) | t)
-                        if r if r is not None else self.fits(a, t):
-                            p = t
-                            break
+                        found.append((j, t))
+                for j, t in reversed(found):
+                    a = ends[j]
+                    r = fit.get((a << 32) | t)
+                    if r if r is not None else self.fits(a, t):
+                        p = t
+                        break
                 if keep:
                     last[word[:i]] = p
             ends[i] = p
-            starts[i] = i - (len(self.text[p]) if p >= 0 else 1)
-        out: list[list[int]] = []
+        out: list[int] = []
         i = n
         while i:
-            out.append([ends[i]] if ends[i] >= 0 else self.fallback(word[i - 1]))
-            i = starts[i]
-        return list(chain.from_iterable(reversed(out)))
+            p = ends[i]
+            if p >= 0:
+                out.append(p)
+                i -= length[p]
+            else:
+                out += self.fallback(word[i - 1])[::-1]
+                i -= 1
+        out.reverse()
+        return out
 
     def _shortest_unigram(self, word: str) -> list[int]:
         n = len(word)
@@ -157,22 +179,31 @@ class Transducer:
         return list(chain.from_iterable(reversed(out)))
 
     def words(self, text: str) -> list[str]:
-        """The normalised text, cut before each run of marks."""
+        """The normalised text, cut before each run of marks; one mark of each word is left out.
+
+        (The first word of a model without a dummy prefix starts with no mark at
+        all, which a leading NUL tells; see ``_marked``.)
+        """
         if not text:
             return []
-        # a space starts a word; further marks of a run belong to the word that follows them
-        parts = (self.prefix + text).replace(MARK, " ").split(" ")
-        out, marks = [], ""
+        parts = text.replace(MARK, " ").split(" ")
+        if self.prefix and "" not in parts:
+            return parts
+        # further marks of a run belong to the word that follows them
+        out, marks = [], 1 if self.prefix else 0
         for k, p in enumerate(parts):
-            if k:
-                marks += MARK
+            marks += k > 0
             if p:
-                out.append(marks + p)
-                marks = ""
+                out.append(MARK * (marks - 1) + p if marks else "\0" + p)
+                marks = 0
         if marks:
-            out.append(marks)
+            out.append(MARK * (marks - 1))
         return out
 
+    def _marked(self, word: str) -> str:
+        """The word as the pieces have it."""
+        return word[1:] if not self.prefix and word.startswith("\0") else MARK + word
+
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         if n <= len(a):
@@ -183,7 +214,7 @@ class Transducer:
 
     def _learn(self, new: list[str]) -> None:
         path = self._shortest_bpe if self.bpe else self._shortest_unigram
-        ids = [path(w) for w in new]
+        ids = [path(self._marked(w)) for w in new]
         k, n = len(self.known), len(new)
         size = np.fromiter(map(len, ids), np.int64, n)
         self.first, self.count = self._room(self.first, k + n), self._room(self.count, k + n)
@@ -205,22 +236,30 @@ class Transducer:
         if len(self.known) > MEMORY:
             self.clear_words()
         for memo in (self.last, self.fit):
-            if len(memo) > 2 * MEMORY:
+            if len(memo) > MEMORY:
                 memo.clear()
-        known = self.known
-        if new := list({w for w in words if w not in known}):
-            self._learn(new)
-        code = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        get = self.known.get
+        code = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+        if len(miss := np.flatnonzero(code < 0).tolist()):
+            self._learn(list(dict.fromkeys([words[i] for i in miss])))
+            code[miss] = [get(words[i]) for i in miss]
         size = self.count[code]
         upto = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(self.first[code] - upto[:-1], size)
         at += np.arange(len(at))
         return self.ids[at], upto[np.array(ends, np.int64)]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids; the dummy prefix goes, bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join([self.out[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+    def decode(self, ids: np.ndarray, upto: np.ndarray) -> list[str]:
+        """The texts of ids that stand one after another; the dummy prefix goes, bytes that
+        are no UTF-8 become U+FFFD."""
+        size = self.out_size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.out_first[ids] - ends[:-1], size)
+        at += np.arange(len(at))
+        data = self.out_bytes[at].tobytes()
+        cut = ends[upto].tolist()
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
+        return [t[1:] if self.prefix and t.startswith(" ") else t for t in texts]
 
 
 def transducer(path: str) -> Transducer:
@@ -258,8 +297,16 @@ def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = transducer(path)
-            ids = b.column(b.schema.get_field_index("ids")).to_pylist()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(t.decode, (i or [] for i in ids)), pa.string())],
+            col = b.column(b.schema.get_field_index("ids"))
+            ids = col.flatten().to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy())]).astype(np.int64)
+            texts: list[str] = []
+            at = 0
+            while at < len(col):             # about 1M ids at a time
+                to = max(at + 1, int(np.searchsorted(upto, upto[at] + (1 << 20), "right")) - 1)
+                texts += t.decode(ids[upto[at]:upto[to]], upto[at:to + 1] - upto[at])
+                at = to
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                              [*b.schema.names, "decoded"])
     return run
 

@@ -113,3 +113,19 @@ def test_policies_and_ablations(docs):
             assert r["n_only"] == sum(m & p == bit for m in masks)
             assert r["n_kept_without"] == sum(m & p & ~bit == 0 for m in masks)
     led.unpersist()
+
+
+@pytest.mark.parametrize("name", ["op2_exact_dedup", "op6_quality_rules"])
+def test_native_operators_have_no_python_in_their_plans(spark, name):
+    df = queries.QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+
+
+def test_parting_the_subpackage_leaves_the_entry():
+    """Nothing outside the subpackage imports it."""
+    import pathlib
+    root = pathlib.Path(queries.__file__).parents[1]
+    for f in root.rglob("*.py"):
+        if "llm" not in f.relative_to(root).parts:
+            assert "llm" not in f.read_text(), f

@@ -222,6 +222,24 @@ def _min_labels(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "comp")
 
 
+def _joined_components(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, comp) after new links: these are taken between components, each pair of
+    components once, so many links between two large components are one edge."""
+    edges = links.select("a", "b")
+    if comp is not None:
+        for end in ("a", "b"):
+            c = comp.select(F.col("node").alias(end), F.col("comp").alias("c"))
+            edges = edges.join(c, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    top = _min_labels(staged(edges.where(F.col("a") != F.col("b")).distinct(), "component-edges"))
+    if comp is None:
+        return top
+    new = top.join(comp, "node", "left_anti")           # nodes that had no link before
+    top = top.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+    old = comp.join(top, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
+    return staged(old.unionByName(new), "components")
+
+
 def _allowed(percent: int):
     """Size bound and positional bound of a pair of entries (n, place) and (m, spot)."""
     n, m = F.col("n"), F.col("m")
@@ -257,8 +275,8 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
     entries = entries.select("node", "n", "k", F.col("e.columns").alias("col"), F.col("e.places").alias("place"))
     many = entries.groupBy("col").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("col")
     entries = staged(entries.join(staged(many, "columns"), "col"), "entries")
-    links = staged(ties, "ties")
-    comp = None
+    ties = staged(ties, "ties")
+    comp = None if ties.isEmpty() else _joined_components(None, ties)
     for turn in range(star_rounds + 1):
         if comp is None:
             open_ = entries.withColumn("comp", F.col("node"))
@@ -297,8 +315,7 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
             pairs = rest.join(other, "col").where((F.col("comp") != F.col("comp_b")) & _allowed(percent)
                                                   & ~F.arrays_overlap("before", "before_b"))
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = staged(links.unionByName(_links(staged(pairs.select("a", "b"), "pairs"), node_sets, percent)), "links")
-        comp = _min_labels(links)
+        comp = _joined_components(comp, _links(staged(pairs.select("a", "b"), "pairs"), node_sets, percent))
     out = member.join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("component_id"))
     out = out.unionByName(sets.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component_id")))
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)

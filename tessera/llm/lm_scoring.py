@@ -2,20 +2,29 @@
 
 A target model (labelled good documents) and a background model (all
 documents) have the same order, the same smoothing and the same vocabulary:
-the ``vocabulary`` most frequent words of the whole corpus, every other word
-being <unk>. A document's score is the mean per-token loss under the target
-model minus that under the background model: the lower, the more the document
-is like the target.
-
-Counts cover all documents. Word counts are collapsed per worker batch and
-then per word; the vocabulary is a top-k by count. Bigrams of vocabulary ids
-are counted in hashed cells, a fixed number whatever the input: a worker sums
-its cells, sends each block of cells once, and blocks add up. So both models
-have a size set by parameters (``4 * 8 bytes * cells`` at most), which is what
-is broadcast to the scoring pass; that pass needs no shuffle.
+every word that the whole corpus holds ``MIN_COUNT`` times, all others being
+<unk>. A document's score is the mean per-token loss under the target model
+minus that under the background model: the lower, the more the document is
+like the target.
+
+Counts cover all documents and are exact. Both models are one table of
+bigrams, which grows with the input and is never gathered; documents are dealt
+into chunks and the table into blocks (see ``blocks``).
+
+1. Word counts are collapsed per worker batch and then per word; from them
+   come the vocabulary's size and, by count, its words.
+2. A chunk sends its distinct words and gets back the ids of those in the
+   vocabulary.
+3. A chunk sends each of its distinct bigrams once, with its counts in both
+   models. A bigram's key is a permutation of (id, id), so no two bigrams share
+   one; a frequent bigram is one entry per chunk. The counts of a word, and of
+   a word as left side, are entries too, with ``TOTAL`` in the other place.
+4. Blocks add up and send each chunk the totals of its own bigrams, from which
+   the chunk scores its documents.
 
 ``P(w | v) = (c(v, w) + PRIOR * P(w)) / (c(v) + PRIOR)`` with
 ``P(w) = (c(w) + 1) / (N + size)``; a text's first word follows a start token.
+Words are told apart by 64-bit hashes.
 
 Defined results: null and empty text have 0 tokens and null losses and score;
 labels that repeat an id count once, null ids and labels not at all; without
@@ -32,15 +41,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import planes, unplanes
+from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, find, joined, packed, per_block,
+                     per_chunk, to_blocks, with_replies)
 from .common import small_batches, staged, text_of
 from .words import mix64, pieces, word_hashes, word_spans
 
-VOCABULARY = 1 << 15
+#: Words with fewer occurrences in the whole corpus are <unk>.
+MIN_COUNT = 2
+#: Tokens for each block of the bigram table: the number of blocks follows the input.
 CELLS = 1 << 20
 PRIOR = 16.0
-#: Cells of one block: what a worker sends, and a block's task adds, at once.
-BLOCK = 1 << 14
+#: Ids of <unk>, of the start token, and of the place that stands for any word; words have the ids after them.
+UNK, START, TOTAL, FIRST = range(4)
+#: Blocks of the bigram table are numbered from here, and a chunk's target ids are block -1.
+PAIRS = 1 << 40
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,116 +77,135 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def choose_vocabulary(docs: DataFrame, text_col: str = "text", size: int = VOCABULARY) -> list[int]:
-    """Hashes of the most frequent words of all documents (ties: the smaller hash)."""
+def _vocabulary(docs: DataFrame, text_col: str, size: int | None, n_blocks: int) -> tuple[int, int, int, int]:
+    """(least count, words, most words of a block, tokens): four numbers that define the vocabulary."""
     t = docs.select(text_of(text_col).alias("t"))
-    counts = t.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
-
-
-class _Ids:
-    """Word hashes to vocabulary ids 1..size; 0 is <unk>, size + 1 the start."""
-
-    def __init__(self, vocabulary: list[int], cells: int):
-        self.words = np.sort(np.array(vocabulary, np.int64).view(np.uint64))
-        self.start = len(self.words) + 1
-        self.cells = cells
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, at + 1, 0)
-
-    def read(self, data: np.ndarray, offs: np.ndarray):
-        """Per word: its text's row, its id, the id before it, the cell of the pair."""
-        s, e, first = word_spans(data, offs)
-        ids = self(word_hashes(data, s, e, lower=True))
-        row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[first[:-1][np.diff(first) > 0]] = self.start
-        pair = before.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)
-        cell = (mix64(pair, 7) % np.uint64(self.cells)).astype(np.int64)
-        return row, ids, before, cell
-
-
-def _counts(ids: _Ids, block: int):
-    """Per task: counts of words, of words as left side, and of cells, for both models, packed by block."""
-    v = ids.start + 1
-    size = 2 * v + ids.cells
-    size += -size % block
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, size), np.int64)
-        for b in batches:
-            good = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for at, to, data, offs in pieces(b.column(0)):
-                row, word, before, cell = ids.read(data, offs)
-                key = np.concatenate([word, v + before, 2 * v + cell])
-                total[1] += np.bincount(key, minlength=size)
-                mine = np.tile(good[at:to][row], 3)
-                if mine.any():
-                    total[0] += np.bincount(key[mine], minlength=size)
-        rows = [(m, i, planes(total[m, i * block:(i + 1) * block]))
-                for m in (0, 1) for i in range(size // block) if total[m, i * block:(i + 1) * block].any()]
-        if rows:
-            m, i, body = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(m, pa.int32()), pa.array(i, pa.int32()),
-                                              pa.array(body, pa.binary())], ["model", "block", "body"])
-    return run, size
-
-
-def _add(block: int):
+    counts = staged(t.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
+                    "word-counts")
+    least = MIN_COUNT
+    if size is not None:
+        least = counts.orderBy(F.desc("n")).limit(size).agg(F.min("n")).first()[0] or 1
+    block = F.shiftrightunsigned(F.shiftrightunsigned("word", 32) * F.lit(n_blocks).cast("long"), 32)
+    kept = counts.where(F.col("n") >= least).groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    words, most = kept.agg(F.sum("c"), F.max("c")).first()
+    return least, words or 0, most or 0, counts.agg(F.sum("n")).first()[0] or 0
+
+
+class _Tokens:
+    """A chunk's words as places in its own short list of ids: <unk>, start, then its vocabulary words."""
+
+    def __init__(self, table: pa.Table, replies: pa.Table, n_blocks: int):
+        self.words, rank = joined(replies, [np.uint32])
+        block = ((self.words >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
+        self.ids = np.concatenate([np.array([UNK, START], np.uint64),
+                                   rank.astype(np.uint64) * np.uint64(n_blocks) + block + np.uint64(FIRST)])
+        rows, words, befores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at, _, data, offs in pieces(table["t"].combine_chunks()):
+            s, e, first = word_spans(data, offs)
+            hit, where = find(word_hashes(data, s, e, lower=True), self.words)
+            word = np.where(hit, where + 2, UNK)
+            before = np.empty_like(word)
+            before[1:] = word[:-1]
+            before[first[:-1][np.diff(first) > 0]] = START
+            rows.append(np.repeat(np.arange(len(offs) - 1), np.diff(first)) + at)
+            words.append(word)
+            befores.append(before)
+        self.row, word, before = np.concatenate(rows), np.concatenate(words), np.concatenate(befores)
+        # each bigram once: its two places, and for each token the bigram it ends
+        code, self.pair = np.unique(before * len(self.ids) + word, return_inverse=True)
+        self.before, self.word = code // len(self.ids), code % len(self.ids)
+
+
+def _keys(v: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
+    """One key per (id, id): a permutation of 2 * bits bits (three Feistel rounds), in the highest bits."""
+    mask = np.uint64((1 << bits) - 1)
+    w = w ^ (mix64(v, 7) & mask)
+    v = v ^ (mix64(w, 8) & mask)
+    w = w ^ (mix64(v, 9) & mask)
+    return (v << np.uint64(bits) | w) << np.uint64(64 - 2 * bits)
+
+
+def _send_words(n_blocks: int):
     def run(table: pa.Table) -> pa.Table:
-        total = np.zeros(block, np.int64)
-        for body in table["body"].to_pylist():
-            total += unplanes(memoryview(body), block, np.int64)
-        return pa.table({"model": table["model"][:1], "block": table["block"][:1],
-                         "body": pa.array([total.tobytes()], pa.binary())})
+        table = table.combine_chunks()
+        held = [np.zeros(0, np.uint64)]
+        for _, _, data, offs in pieces(table["t"].combine_chunks()):
+            s, e, _ = word_spans(data, offs)
+            held.append(word_hashes(data, s, e, lower=True))
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return to_blocks(table["chunk"][0].as_py(), n_blocks, h, [n.astype(np.uint32)])
+    return run
+
+
+def _number(least: int):
+    """Of a block's words those of the vocabulary, with their place among them."""
+    def merge(first: np.ndarray, run_of: np.ndarray, cols: list[np.ndarray]):
+        kept = np.add.reduceat(cols[0].astype(np.int64), first) >= least
+        return kept[run_of], [(np.cumsum(kept) - 1).astype(np.uint32)[run_of]]
+    return merge
+
+
+def _pack_ids(table: pa.Table) -> pa.Table:
+    ids = table["doc_id"].to_numpy()
+    return packed([(-1, table["chunk"][0].as_py(), len(ids), ids.tobytes())])
+
+
+def _send_pairs(n_blocks: int, n_pair_blocks: int, bits: int):
+    def run(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return packed([])
+        block = replies["block"].to_numpy()
+        good = [np.frombuffer(b, np.int64) for b in replies.filter(pa.array(block < 0))["body"].to_pylist()]
+        good = np.isin(table["doc_id"].to_numpy(), np.concatenate(good)) if good else np.zeros(table.num_rows, bool)
+        k = _Tokens(table, replies.filter(pa.array(block >= 0)), n_blocks)
+        both = (np.bincount(k.pair, minlength=len(k.word)),
+                np.bincount(k.pair[good[k.row]], minlength=len(k.word)))
+        v, w = k.ids[k.before], k.ids[k.word]
+        of = lambda at: [np.bincount(at, weights=n, minlength=len(k.ids)).astype(np.int64) for n in both]
+        word, left = of(k.word), of(k.before)
+        total = np.full(len(k.ids), TOTAL, np.uint64)
+        key = _keys(np.concatenate([v, total, k.ids, total[:1]]), np.concatenate([w, k.ids, total, total[:1]]), bits)
+        n = [np.concatenate([p, a, b, [p.sum()]]).astype(np.uint32) for p, a, b in zip(both, word, left)]
+        order = np.argsort(key)
+        return to_blocks(table["chunk"][0].as_py(), n_pair_blocks, key[order], [c[order] for c in n])
     return run
 
 
-def count_models(docs: DataFrame, good: DataFrame, vocabulary: list[int], id_col: str = "doc_id",
-                 text_col: str = "text", cells: int = CELLS) -> np.ndarray:
-    """(2, words + left sides + cells): the counts of the target and of the background model."""
-    ids = _Ids(vocabulary, cells)
-    run, size = _counts(ids, BLOCK)
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))
-    t = t.join(good.select("doc_id", F.lit(True).alias("good")), "doc_id", "left")
-    sums = (t.select("t", F.coalesce("good", F.lit(False)).alias("good"))
-            .mapInArrow(run, "model int, block int, body binary")
-            .groupBy("model", "block").applyInArrow(_add(BLOCK), "model int, block int, body binary"))
-    out = np.zeros((2, size), np.int64)
-    for r in sums.collect():               # the model itself: a fixed size
-        out[r["model"], r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["body"], np.int64)
-    return out
-
-
-def _scores(ids: _Ids, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
-        v = ids.start + 1
-        word = [c[:v].astype(float) for c in counts]
-        p = [(w + 1) / (w.sum() + v) for w in word]
-        left, pair = counts[:, v:2 * v], counts[:, 2 * v:]
-        for b in batches:
-            n_all, loss_all = [np.zeros(0, np.int64)], [np.zeros((2, 0))]
-            for at, to, data, offs in pieces(b.column(1)):
-                row, w, before, cell = ids.read(data, offs)
-                n = np.bincount(row, minlength=to - at)
-                loss = np.zeros((2, to - at))
-                for m in (0, 1):
-                    q = (pair[m][cell] + PRIOR * p[m][w]) / (left[m][before] + PRIOR)
-                    loss[m] = np.bincount(row, weights=-np.log(q), minlength=to - at)
-                n_all.append(n)
-                loss_all.append(loss / np.maximum(n, 1))
-            n, loss = np.concatenate(n_all), np.concatenate(loss_all, axis=1)
-            none = n == 0
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.array(loss[0], mask=none), pa.array(loss[1], mask=none),
-                 pa.array(loss[0] - loss[1], mask=none)],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+def _add(first: np.ndarray, run_of: np.ndarray, cols: list[np.ndarray]):
+    return np.ones(len(run_of), bool), [np.add.reduceat(c.astype(np.int64), first)[run_of] for c in cols]
+
+
+def _scores(n_blocks: int, bits: int, size: int):
+    def run(table: pa.Table, replies: pa.Table) -> pa.Table:
+        block = replies["block"].to_numpy()
+        k = _Tokens(table, replies.filter(pa.array(block < PAIRS)), n_blocks)
+        keys, *totals = joined(replies.filter(pa.array(block >= PAIRS)), [np.int64, np.int64])
+
+        def count(v, w):
+            hit, at = find(_keys(v, w, bits), keys)
+            if not hit.all():
+                raise ValueError("a bigram of the chunk has no total")
+            return [t[at].astype(float) for t in totals]
+        rows = table.num_rows
+        n = np.bincount(k.row, minlength=rows)
+        losses = []
+        if len(k.row):
+            total = np.full(len(k.ids), TOTAL, np.uint64)
+            models = zip(count(k.ids[k.before], k.ids[k.word]), count(k.ids, total), count(total, k.ids),
+                         count(total[:1], total[:1]))
+            for pair, left, word, tokens in models:
+                p = (word + 1) / (tokens + size)
+                q = (pair + PRIOR * p[k.word]) / (left[k.before] + PRIOR)
+                losses.append(np.bincount(k.row, weights=-np.log(q)[k.pair], minlength=rows) / np.maximum(n, 1))
+        else:
+            losses = [np.zeros(rows), np.zeros(rows)]
+        background, target = losses
+        ids = table["doc_id"].to_numpy() if rows else np.zeros(0, np.int64)
+        none = n == 0
+        return pa.table({"doc_id": pa.array(ids, mask=ids == NULL_ID), "n_tokens": pa.array(n.astype(np.int64)),
+                         "target_loss": pa.array(target, mask=none),
+                         "background_loss": pa.array(background, mask=none),
+                         "score": pa.array(target - background, mask=none)})
     return run
 
 
@@ -183,14 +216,24 @@ def good_documents(labels: DataFrame, id_col: str = "doc_id", label_col: str = "
 
 
 def cross_entropy_difference(docs: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             vocabulary: int = VOCABULARY, cells: int = CELLS) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score of every document."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    words = choose_vocabulary(docs, text_col, vocabulary)
-    good = staged(good, "target-ids")
-    counts = count_models(docs, good, words, id_col, text_col, cells)
-    shared = spark.sparkContext.broadcast(counts.astype(np.int32) if counts.max(initial=0) < 1 << 31 else counts)
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))
-    return t.mapInArrow(_scores(_Ids(words, cells), shared),
+                             vocabulary: int | None = None, cells: int = CELLS) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score of every document.
+
+    ``vocabulary`` takes the most frequent words only, that many and those as
+    frequent as the last; ``cells`` sizes the blocks of the bigram table.
+    """
+    small_batches(docs.sparkSession)
+    blocks = block_count(docs, text_col)
+    least, words, most, tokens = _vocabulary(docs, text_col, vocabulary, blocks)
+    bits = (FIRST + most * blocks).bit_length()
+    if bits > 32:
+        raise ValueError("the vocabulary has more ids than a bigram's key can hold")
+    pair_blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tokens // cells))
+    t = chunked(docs, blocks, id_col, text_col).select("chunk", "doc_id", "t")
+    target = good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().where(F.col("doc_id") != NULL_ID)
+    target = per_chunk(target.select(chunk_of(F.col("doc_id"), blocks).alias("chunk"), "doc_id"), _pack_ids, PACKED)
+    ids = per_block(per_chunk(t, _send_words(blocks), PACKED), [np.uint32], _number(least))
+    pairs = with_replies(t, ids.unionByName(target), _send_pairs(blocks, pair_blocks, bits), PACKED)
+    totals = per_block(pairs, [np.uint32, np.uint32], _add).withColumn("block", F.col("block") + F.lit(PAIRS))
+    return with_replies(t, ids.unionByName(totals), _scores(blocks, bits, words + 2),
                         "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

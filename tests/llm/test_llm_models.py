@@ -154,6 +154,33 @@ def test_lm_scores_against_brute_force(spark, docs):
             assert set(scores) == {None}
 
 
+def test_lm_counts_grow_with_the_input(spark):
+    """At production parameters: 40,000 words are all in the vocabulary, and 1.2 M bigrams have counts of their own."""
+    import random
+    r = random.Random(5)
+    names = [f"w{i}" for i in range(40_000)]
+    texts = [(d, r.choices(names, k=600)) for d in range(2_000)]
+    df = spark.createDataFrame([(d, " ".join(ws)) for d, ws in texts], "doc_id long, text string").repartition(4)
+    good = spark.createDataFrame([(d,) for d in range(0, 2_000, 50)], "doc_id long")
+    got = {s["doc_id"]: s for s in lm_scoring.cross_entropy_difference(df, good).collect()}
+    assert len(got) == len(texts)
+    count = Counter(w for _, ws in texts for w in ws)
+    assert min(count.values()) > 1 and len(count) > 1 << 15
+    for target, column in ((True, "target_loss"), (False, "background_loss")):
+        uni, left, pair = Counter(), Counter(), Counter()
+        for d, ws in texts:
+            if not target or d % 50 == 0:
+                uni.update(ws)
+                left.update(["<s>"] + ws[:-1])
+                pair.update(zip(["<s>"] + ws, ws))
+        n = sum(uni.values())
+        for d, ws in texts[::97]:
+            loss = 0.0
+            for v, w in zip(["<s>"] + ws, ws):
+                loss -= math.log((pair[v, w] + 16 * (uni[w] + 1) / (n + len(count) + 2)) / (left[v] + 16))
+            assert abs(got[d][column] - loss / len(ws)) < 1e-9
+
+
 def test_lm_prefers_the_target(spark):
     s = queries.QUERIES["op4_lm_scoring"](spark, SF_MID)
     lab = spark.read.parquet(f"{SF_MID}/labels.parquet")

@@ -5,9 +5,9 @@ returns is written as Parquet to the shared folder and read again as the next
 stage's docs. All but the last return the columns of documents. Part of the
 ``tessera.llm`` subpackage.
 
-Empty tables pass through; a null text counts as empty; rows with a null
-doc_id are never dropped by a stage that drops by id; columns that documents
-may have beyond its own travel along.
+Empty tables pass through; a null text counts as empty; exact copies are
+dropped by row, near copies by doc_id (rows with a null doc_id stay there);
+columns that documents may have beyond its own travel along.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
+    """Of equal texts one row stays."""
     prepare_session(spark)
     return drop_exact_copies(docs)
 

@@ -32,14 +32,15 @@ PREFIX_CHARS = 64
 
 
 def key_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """(doc_id, chars, norm_len, prefix_hash, digest): all that refinement needs."""
+              prefix_chars: int = PREFIX_CHARS, raw: bool = False) -> DataFrame:
+    """(doc_id, chars, norm_len, prefix_hash, digest): all that refinement needs; ``raw`` adds the whole text's digest."""
+    own = [F.unhex(F.sha2("t", 256)).alias("raw")] if raw else []
     t = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("t"))
     n = t.select("doc_id", F.char_length("t").cast("long").alias("chars"),
-                 F.translate("t", WS, "").alias("norm"))
+                 F.translate("t", WS, "").alias("norm"), *own)
     return n.select("doc_id", "chars", F.char_length("norm").alias("norm_len"),
                     F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix_hash"),
-                    F.unhex(F.sha2("norm", 256)).alias("digest"))
+                    F.unhex(F.sha2("norm", 256)).alias("digest"), *(["raw"] if raw else []))
 
 
 def _shared(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -50,39 +51,57 @@ def _shared(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.join(staged(many, "exact-groups"), by, "left_semi")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, digest.
-
-    ``keep_id`` is the id of the row with the most code points in the original
-    text, then the smallest doc_id, among equal texts.
-    """
-    keys = staged(key_table(docs, id_col, text_col), "exact-keys")
+def _grouped(keys: DataFrame) -> DataFrame:
+    """``keys`` with their group's size ``n`` (null: no other row has the text) and its best row ``b``."""
     by_len = staged(_shared(keys, ["norm_len"]), "exact-len")
     by_prefix = staged(_shared(by_len, ["norm_len", "prefix_hash"]), "exact-prefix")
     full = ["norm_len", "prefix_hash", "digest"]
+    raw = ["raw"] if "raw" in keys.columns else []
     best = F.min(F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("z"),
-                          F.col("doc_id").alias("i")))
+                          F.col("doc_id").alias("i"), *raw))
     groups = (by_prefix.groupBy(*full)
               .agg(F.count(F.lit(1)).alias("n"), best.alias("b"))
               .where(F.col("n") > 1)
-              .select(*full, "n", F.col("b.c").alias("best_c"), F.col("b.i").alias("best_i")))
-    out = keys.join(staged(groups, "exact-groups"), full, "left")
+              .select(*full, "n", "b"))
+    return keys.join(staged(groups, "exact-groups"), full, "left")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, digest.
+
+    ``keep_id`` is the id of the row with the most code points in the original
+    text, then the smallest doc_id, among equal texts.
+    """
+    out = _grouped(staged(key_table(docs, id_col, text_col), "exact-keys"))
     alone = F.col("n").isNull()
     return out.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("best_i")).alias("keep_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("b.i")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("doc_id").eqNullSafe(F.col("best_i"))
-                  & (F.col("chars") == -F.col("best_c")))).alias("kept"),
+        (alone | (F.col("doc_id").eqNullSafe(F.col("b.i"))
+                  & (F.col("chars") == -F.col("b.c")))).alias("kept"),
         "digest")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` drops; columns unchanged.
+    """``docs`` with exactly one row of each text; columns unchanged.
 
-    Joined on doc_id: a dropped id goes with all its rows. Dropped rows with a
-    null doc_id have no id to be dropped by, and stay.
+    The row that stays is the one ``exact_groups`` keeps; of several such rows
+    (they share their doc_id, which may be null) that with the least digest of
+    the whole text, and any one of rows equal in that too. Rows are dropped by
+    doc_id and digest, so another text of the same doc_id stays.
     """
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    keys = _grouped(staged(key_table(docs, id_col, text_col, raw=True), "exact-keys"))
+    wins = F.col("n").isNull() | (F.col("doc_id").eqNullSafe(F.col("b.i")) & (F.col("raw") == F.col("b.raw")))
+    rows = keys.groupBy(F.col("doc_id").alias("_row_id"), F.col("raw").alias("_row_raw")).agg(
+        F.max(wins).alias("_row_wins"), F.count(F.lit(1)).alias("_row_n"))
+    rows = staged(rows.where(~F.col("_row_wins") | (F.col("_row_n") > 1)), "exact-rows")
+    raw = F.unhex(F.sha2(text_of(text_col), 256))
+    is_row = F.col(id_col).eqNullSafe(F.col("_row_id")) & (raw == F.col("_row_raw"))
+    out = docs.join(rows, is_row, "left_anti")
+    several = rows.where("_row_wins")
+    if several.isEmpty():
+        return out
+    one = (docs.join(several, is_row, "left_semi").withColumn("_row_raw", raw)
+           .dropDuplicates([id_col, "_row_raw"]).drop("_row_raw"))
+    return out.unionByName(one)

@@ -93,6 +93,17 @@ def test_many_near_copies_form_one_component(spark):
     assert rows(got, "doc_id", "n", "component_id") == sorted(brute.jaccard(made), key=repr)
 
 
+def test_exact_copies_are_dropped_by_row(spark):
+    """One row of each text stays, whatever ids repeat or are null."""
+    made = [(1, "a copy"), (50, "a copy"), (50, "only here"), (2, "twice"), (2, "twice"), (None, "a  copy"),
+            (None, "no id"), (None, "no id"), (3, "s p"), (3, "sp "), (4, None), (4, ""), (5, "alone")]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    got = rows(exact_dedup.drop_exact_copies(df), "doc_id", "text")
+    norm = [brute.exact([r])[0][4] for r in got]
+    assert len(norm) == len(set(norm)) == len({r[4] for r in brute.exact(made)})
+    assert {(None, "a  copy"), (50, "only here"), (2, "twice"), (None, "no id"), (5, "alone")} <= set(got) <= set(made)
+
+
 def test_a_line_that_every_document_holds(spark):
     """The run of one key spans many range partitions."""
     made = [(d, f"the line that all hold\nown line number {d}\nthe LINE that all hold") for d in range(500)]

@@ -264,9 +264,11 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
     first = staged(first, "nodes")
     own = sets.where(F.col("n") > 0).select("doc_id", "n", "digest")
     member = staged(own.join(first, "digest").select("doc_id", "n", "node"), "members")
-    # rows that repeat a doc_id with another text tie their nodes together
-    ties = (member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-            .where(F.col("a") != F.col("b")).select("a", "b"))
+    # rows that repeat a doc_id with another text tie their nodes together, each to the least
+    least = (member.groupBy(F.col("doc_id").alias("tied")).agg(F.min("node").alias("a"), F.max("node").alias("z"))
+             .where(F.col("a") != F.col("z")).select("tied", "a"))
+    ties = (member.join(staged(least, "tied"), F.col("doc_id") == F.col("tied")).where(F.col("node") != F.col("a"))
+            .select("a", F.col("node").alias("b")).distinct())
     linked = sets.where(F.col("shingles").isNotNull())
     node_sets = staged(linked.join(first.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"])
                        .dropDuplicates(["digest", "doc_id"])

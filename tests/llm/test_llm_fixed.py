@@ -93,6 +93,13 @@ def test_many_near_copies_form_one_component(spark):
     assert rows(got, "doc_id", "n", "component_id") == sorted(brute.jaccard(made), key=repr)
 
 
+def test_a_document_with_three_texts_is_one_component(spark):
+    texts = {d: " ".join(f"t{d}w{i}" for i in range(30)) for d in range(1, 6)}
+    made = [*texts.items(), *((50, texts[d]) for d in (1, 2, 3)), (60, texts[4])]
+    got = ngram_jaccard.jaccard_components(spark.createDataFrame(made, "doc_id long, text string"))
+    assert rows(got, "doc_id", "n", "component_id") == sorted(brute.jaccard(made), key=repr)
+
+
 def test_exact_copies_are_dropped_by_row(spark):
     """One row of each text stays, whatever ids repeat or are null."""
     made = [(1, "a copy"), (50, "a copy"), (50, "only here"), (2, "twice"), (2, "twice"), (None, "a  copy"),

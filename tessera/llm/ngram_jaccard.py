@@ -258,17 +258,12 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(j.where(both * 100 >= either * percent).select("a", "b"), "links")
 
 
-def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """(doc_id, n, component_id) from ``shingle_sets``."""
+def _nodes(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, node sets, entries): the node of each document with a set, the sets that may link, their columns."""
     first = sets.where(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("node"))
     first = staged(first, "nodes")
     own = sets.where(F.col("n") > 0).select("doc_id", "n", "digest")
     member = staged(own.join(first, "digest").select("doc_id", "n", "node"), "members")
-    # rows that repeat a doc_id with another text tie their nodes together, each to the least
-    least = (member.groupBy(F.col("doc_id").alias("tied")).agg(F.min("node").alias("a"), F.max("node").alias("z"))
-             .where(F.col("a") != F.col("z")).select("tied", "a"))
-    ties = (member.join(staged(least, "tied"), F.col("doc_id") == F.col("tied")).where(F.col("node") != F.col("a"))
-            .select("a", F.col("node").alias("b")).distinct())
     linked = sets.where(F.col("shingles").isNotNull())
     node_sets = staged(linked.join(first.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"])
                        .dropDuplicates(["digest", "doc_id"])
@@ -276,7 +271,17 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
     entries = node_sets.select("node", "n", F.posexplode(F.arrays_zip("columns", "places")).alias("k", "e"))
     entries = entries.select("node", "n", "k", F.col("e.columns").alias("col"), F.col("e.places").alias("place"))
     many = entries.groupBy("col").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("col")
-    entries = staged(entries.join(staged(many, "columns"), "col"), "entries")
+    return member, node_sets, staged(entries.join(staged(many, "columns"), "col"), "entries")
+
+
+def _node_components(member: DataFrame, node_sets: DataFrame, entries: DataFrame, percent: int,
+                     star_rounds: int) -> DataFrame:
+    """(node, comp) of the nodes that have a link or a tie."""
+    # rows that repeat a doc_id with another text tie their nodes together, each to the least
+    least = (member.groupBy(F.col("doc_id").alias("tied")).agg(F.min("node").alias("a"), F.max("node").alias("z"))
+             .where(F.col("a") != F.col("z")).select("tied", "a"))
+    ties = (member.join(staged(least, "tied"), F.col("doc_id") == F.col("tied")).where(F.col("node") != F.col("a"))
+            .select("a", F.col("node").alias("b")).distinct())
     ties = staged(ties, "ties")
     comp = None if ties.isEmpty() else _joined_components(None, ties)
     for turn in range(star_rounds + 1):
@@ -318,10 +323,22 @@ def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_
                                                   & ~F.arrays_overlap("before", "before_b"))
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         comp = _joined_components(comp, _links(staged(pairs.select("a", "b"), "pairs"), node_sets, percent))
-    out = member.join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("component_id"))
-    out = out.unionByName(sets.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component_id")))
+    return comp
+
+
+def _rows(sets: DataFrame, member: DataFrame, comp: DataFrame, *more: str) -> DataFrame:
+    """Per row doc_id, n, component_id and, of ``member``, the counts ``more``; an empty set is its own component."""
+    out = member.join(comp, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("component_id"), *more)
+    out = out.unionByName(sets.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component_id"),
+                                                             *[F.lit(0).cast("long").alias(c) for c in more]))
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
-    return out.select(real("doc_id"), "n", real("component_id"))
+    return out.select(real("doc_id"), "n", real("component_id"), *more)
+
+
+def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+    """(doc_id, n, component_id) from ``shingle_sets``."""
+    nodes = _nodes(sets)
+    return _rows(sets, nodes[0], _node_components(*nodes, percent, star_rounds))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
@@ -330,6 +347,50 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return components(shingle_sets(docs, id_col, text_col, n, percent), percent)
 
 
+def node_links(node_sets: DataFrame, entries: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b), a < b: every pair of nodes that link, also within a component; made in its first shared column."""
+    before = F.slice("columns", 1, F.col("k")).alias("before")
+    here = staged(entries.join(node_sets.select("node", "columns"), "node")
+                  .select("col", F.col("node").alias("a"), "n", "place", before), "entries-before")
+    other = here.select("col", F.col("a").alias("b"), F.col("n").alias("m"), F.col("place").alias("spot"),
+                        F.col("before").alias("before_b"))
+    pairs = here.join(other, "col").where((F.col("a") < F.col("b")) & _allowed(percent)
+                                          & ~F.arrays_overlap("before", "before_b"))
+    return _links(staged(pairs.select("a", "b"), "pairs"), node_sets, percent)
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
+                  percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, members, links): the whole join, no link left out.
+
+    documents has a row per row of ``docs``: doc_id, n, component_id, n_links,
+    the number of other documents that its set links with. members has the
+    node (equal sets) of each doc_id with a set, links the pairs (a, b), a < b,
+    of nodes that link; documents of one node link as well. There are as many
+    links as linking pairs of different sets, so their number grows with the
+    square of a group of near copies. In members a null doc_id is NULL_ID.
+    """
+    sets = shingle_sets(docs, id_col, text_col, n, percent)
+    member, node_sets, entries = _nodes(sets)
+    links = node_links(node_sets, entries, percent)
+    each = staged(member.select("doc_id", "node").distinct(), "members")
+    near = (links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            .unionByName(each.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()))
+    near = staged(near, "near")
+    size = each.groupBy(F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    reach = near.join(size, "b").groupBy("a").agg(F.sum("c").alias("reach"))
+    # a document with several nodes counts once
+    several = each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("doc_id")
+    again = (near.join(each.join(staged(several, "several"), "doc_id").withColumnRenamed("node", "b"), "b")
+             .groupBy("a", "doc_id").agg((F.count(F.lit(1)) - 1).alias("c"))
+             .groupBy("a").agg(F.sum("c").alias("again")))
+    count = reach.join(again, "a", "left").select(
+        F.col("a").alias("node"), (F.col("reach") - F.coalesce("again", F.lit(0)) - 1).alias("n_links"))
+    count = staged(count, "link-counts")
+    comp = _node_components(member, node_sets, entries, percent, STAR_ROUNDS)
+    return _rows(sets, member.join(count, "node"), comp, "n_links"), each, links
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
                      percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest doc_id; columns unchanged.

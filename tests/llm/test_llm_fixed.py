@@ -100,6 +100,35 @@ def test_a_document_with_three_texts_is_one_component(spark):
     assert rows(got, "doc_id", "n", "component_id") == sorted(brute.jaccard(made), key=repr)
 
 
+def check_links(made, df):
+    """Every pair of rows is compared, and no link of two documents may be missing."""
+    def shingles(t):
+        w = brute.words(brute.lower(t or ""))
+        return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    def linked(a, b):
+        return bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+    sets = [(d, shingles(t)) for d, t in made]
+    node = {}
+    for d, s in sets:
+        node[s] = min(node.get(s, brute.LAST + 1), brute.key(d))
+    want = [(*row, len({e for e, x in sets if linked(s, x)} - {d})) for row, (d, s) in zip(brute.jaccard(made), sets)]
+    pairs = {(node[a], node[b]) for a in node for b in node if node[a] < node[b] and linked(a, b)}
+    documents, members, links = ngram_jaccard.jaccard_links(df)
+    assert rows(documents, "doc_id", "n", "component_id", "n_links") == sorted(want, key=repr)
+    real = lambda i: brute.LAST if i == ngram_jaccard.NULL_ID else i
+    assert sorted((real(r["a"]), real(r["b"])) for r in links.collect()) == sorted(pairs)
+    assert ({(real(r["doc_id"]), real(r["node"])) for r in members.collect()}
+            == {(brute.key(d), node[s]) for d, s in sets if s})
+
+
+def test_links_within_a_component_are_given(spark):
+    base = [f"w{i}" for i in range(200)]
+    made = [(d, " ".join("x" + str(d) if i in (d * 3, 199 - d) else w for i, w in enumerate(base))) for d in range(25)]
+    made += [(30, made[4][1]), (31, made[4][1]), (40, made[5][1]), (40, made[6][1]), (40, "else where"), (41, None)]
+    check_links(made, spark.createDataFrame(made, "doc_id long, text string").repartition(3))
+
+
 def test_exact_copies_are_dropped_by_row(spark):
     """One row of each text stays, whatever ids repeat or are null."""
     made = [(1, "a copy"), (50, "a copy"), (50, "only here"), (2, "twice"), (2, "twice"), (None, "a  copy"),

@@ -1,4 +1,4 @@
-"""Operator 7, n-gram Jaccard join: a blocked sparse product with size bounds.
+"""Operator 7, n-gram Jaccard join: prefix filter in blocks with size bounds, exact verification.
 
 The matrix is documents by 5-word shingles. Two documents link when
 ``100 * |A & B| >= 80 * |A | B|``; the answer is each document's component.
@@ -13,13 +13,16 @@ The matrix is documents by 5-word shingles. Two documents link when
    pair shares one of the first ``n - ceil(0.8 n) + 1`` shingles of either side,
    at places that leave enough shingles behind them (positional bound). These
    few entries are the blocks' columns.
-4. Product. In each column the pairs of entries that the size and positional
-   bounds allow are accumulated to overlap counts and checked exactly on the
-   whole sets. Near copies would give the square of their number of pairs, so
-   the product is taken in rounds: first each node against one node of the
-   column's main component (the one with which most columns are shared);
-   what links is one component. The last round takes every pair that is left
-   between different components, so no link between components is lost.
+4. Pairs. In each column the pairs of entries that the size and positional
+   bounds allow are candidates, and whether they link is decided exactly on
+   the whole sets; no overlap is accumulated. Near copies would give the square
+   of their number of pairs, so the components are found in rounds: first each
+   node against one node of the column's main component (the one with which
+   most columns are shared; this count only picks the partner); what links is
+   one component. The last round takes every pair that is left between
+   different components, each in the first column that it shares, so no link
+   between components is lost. ``jaccard_links`` takes the pairs within
+   components too.
 
 Pairs are made by joins on a column that AQE may split; no column is gathered
 in one task.

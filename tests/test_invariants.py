@@ -1,6 +1,7 @@
 """Invariants for the rows-only queries."""
 
 import numpy as np
+import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -125,3 +126,27 @@ def test_crossvalidator_matches_fold_loop(spark):
     est = M.logistic(tr.count(), "label", "features", 20)
     loop = {r.fold: r.accuracy for r in M.cv_accuracy(tr, "fold", 3, lambda d: est.fit(d), "label").collect()}
     assert abs(M.cv_mean_accuracy(tr, "fold", est, "label") - loop[-1]) < 1e-9
+
+
+def test_polynomial_voters_take_the_full_width(spark, monkeypatch):
+    """The digits have 64 pixels, fewer than the reference's 200 components."""
+    from tessera.plans.catalog import models
+
+    class Stop(Exception):
+        pass
+
+    class Net:
+        def fit(self, df):
+            return self
+
+        def transform(self, df):
+            return df.withColumn("prediction", F.lit(0.0))
+
+    def pca(df, col, k, out="pca"):
+        assert k == 64
+        raise Stop
+    monkeypatch.setattr(M, "pca_project", pca)
+    monkeypatch.setattr(M, "mlp", lambda *a: Net())
+    for q in (models.fit_poly_svm, models.flow_digits):
+        with pytest.raises(Stop):
+            q(spark, SF_SMALL)

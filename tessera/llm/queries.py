@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: ``opN_<name>(spark, sf_dir)``.
+"""The registered queries of the thirteen operators: ``opN_<name>(spark, sf_dir)``.
 
 Each reads its whole table, calls its operator with production parameters and
 derives the digest columns of its result from the operator's output.
@@ -6,13 +6,15 @@ derives the digest columns of its result from the operator's output.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
-from .common import read_table
+from .common import WS_RUN, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,7 +29,9 @@ def _register(text: str | None = None):
     return deco
 
 
-TOKENIZERS = "/opt/tokenizers"
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 @_register(sql.LINES)
@@ -63,7 +67,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register()
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentencepiece_fst import decode, encode
-    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    model = tokenizer_file("piece_bpe_32k.model")
     both = decode(encode(read_table(spark, sf_dir, "documents"), model), model)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -102,7 +106,60 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
-    return pack(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+#: op11: documents of more tokens than this are over the limit.
+TOKEN_LIMIT = 2048
+
+
+@_register()
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+    n = token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return n.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the documents op12 reads. A tenth of them, by h = crc32(doc_id), become periodic from some word on."""
+    def period(text, h):
+        return pd.Series([" ".join(_periodic(t, int(c))) if t is not None else None for t, c in zip(text, h)],
+                         dtype=object)
+    change = F.pandas_udf(period, "string")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    hit = F.coalesce(h % 10 == 0, F.lit(False))
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.when(hit, change(F.when(hit, text), F.coalesce(h, F.lit(1)))).otherwise(text)
+                       .alias("text"))
+
+
+def _periodic(text: str, h: int) -> list[str]:
+    w = [x for x in re.split(WS_RUN, text) if x]
+    if not w:
+        return w
+    g = h // 10
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, len(w))]
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """The columns of op12 from documents with their runs."""
+    from .periodic_runs import strongest
+    found = found.withColumn("best", strongest())
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256)
+        .alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+@_register()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import periodic_runs
+    return run_digests(periodic_runs(planted(read_table(spark, sf_dir, "documents"))))
 
 
 @_register()

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 WS = " \t\n\x0b\x0c\r"
 LAST = 1 << 62          # a null id stands after all others
@@ -142,6 +144,51 @@ def suffixes(rows, n=200):
     return out
 
 
+def runs(w, least=24, times=3):
+    """(start, length, period) of every maximal run of smallest period, by trying all."""
+    n, out = len(w), []
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(least, times * q):
+                own = w[i:i + length]
+                if not any(own[k:] == own[:-k] for k in range(1, q)):
+                    out.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def periodic(rows, plant=lambda d, w: w):
+    out = []
+    for d, t in rows:
+        w = plant(d, words(t))
+        found = runs(w)
+        best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if found else (None,) * 3
+        out.append((d, len(found), *best, None if not found else 1000 * best[1] // best[2],
+                    sha("".join("%d,%d,%d\n" % r for r in found)), sha(collapsed(w, found))))
+    return out
+
+
+def planted(d, w):
+    """Words of document d as op12_periodic_runs reads them."""
+    h = 1 if d is None else zlib.crc32(str(d).encode())
+    if h % 10 or not w:
+        return w
+    n, g = len(w), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
 def messy(seed=7):
     """(doc_id, text) rows with nulls, empties, ties, repeats, near copies, long and odd texts."""
     r = random.Random(seed)

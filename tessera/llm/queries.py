@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
-from .common import WS_RUN, read_table
+from .common import WS_RUN, read_table, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -162,6 +162,29 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(planted(read_table(spark, sf_dir, "documents"))))
 
 
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The conversations op13 reads: the first h turns of c - c % 5, then c's own after its first h. (turns, ids)"""
+    from .prefix_trie import numbered, turn_rows
+    turns = numbered(turn_rows(conversations))
+    sizes = staged(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    plan = sizes.select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("donor"))
+    donors = sizes.select(F.col("conv_id").alias("donor"), F.col("n").alias("donor_n"))
+    plan = staged(plan.join(donors, "donor", "left").select(
+        "conv_id", "donor", "h", F.least("h", F.coalesce("donor_n", F.lit(0).cast("long"))).alias("m")), "plan")
+    own = turns.join(plan, "conv_id").where("place >= h").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("m")).alias("place"), "key", "n_bytes")
+    first = turns.where("place < 8 and conv_id % 5 = 0").withColumnRenamed("conv_id", "donor")
+    given = first.join(plan, "donor").where("place < h").select("conv_id", "place", "key", "n_bytes")
+    return own.unionByName(given), plan.select("conv_id")
+
+
+@_register(sql.TRIE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie
+    return prefix_trie(*rebuilt(read_table(spark, sf_dir, "conversations")))
+
+
 @_register()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

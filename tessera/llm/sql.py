@@ -102,3 +102,56 @@ SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BI
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
+
+#: Operator 13: CRC-32 by its byte table, prefixes as strings of digests.
+TRIE = """
+WITH RECURSIVE
+bits(b, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+byte_table AS (SELECT b, c FROM bits WHERE k = 8),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id),
+fold(conv_id, s, i, c) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM sizes
+  UNION ALL
+  SELECT f.conv_id, f.s, f.i + 1, xor(f.c // 256, t.c)
+  FROM fold f JOIN byte_table t ON t.b = xor(f.c % 256, CAST(ascii(substr(f.s, f.i + 1, 1)) AS BIGINT))
+  WHERE f.i < length(f.s)),
+heads AS (
+  SELECT f.conv_id, f.conv_id - f.conv_id % 5 AS donor, xor(f.c, CAST(4294967295 AS BIGINT)) % 9 AS h
+  FROM fold f WHERE f.i = length(f.s)),
+plan AS (
+  SELECT a.conv_id, a.donor, a.h, least(a.h, coalesce(s.n, 0)) AS m FROM heads a LEFT JOIN sizes s ON s.conv_id = a.donor),
+rebuilt AS (
+  SELECT p.conv_id, t.place, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.donor AND t.place < p.h
+  UNION ALL
+  SELECT p.conv_id, t.place - p.h + p.m, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.place >= p.h),
+lengths AS (
+  SELECT p.conv_id, count(r.conv_id) AS n FROM plan p LEFT JOIN rebuilt r ON r.conv_id = p.conv_id GROUP BY p.conv_id),
+paths AS (
+  SELECT conv_id, place + 1 AS depth, strlen(text) AS b,
+    string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+nodes AS (
+  SELECT p.prefix, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(p.b) AS b,
+    coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE p.depth = l.n), '') AS ends
+  FROM paths p JOIN lengths l ON l.conv_id = p.conv_id GROUP BY p.prefix, p.depth),
+children AS (SELECT left(prefix, 128 * (depth - 1)) AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+  SELECT left(x.prefix, 128 * u.d) AS prefix, sum((x.n_convs - 1) * x.b) AS saved,
+    sum(CASE WHEN c.n IS NULL THEN 1 ELSE 0 END) AS leaves
+  FROM nodes x LEFT JOIN children c ON c.prefix = x.prefix, unnest(range(0, x.depth + 1)) AS u(d)
+  GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n_convs,
+  coalesce(c.n, 0) AS n_children, CAST(w.leaves AS BIGINT) AS n_leaves, CAST(w.saved AS BIGINT) AS saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below w ON w.prefix = n.prefix LEFT JOIN children c ON c.prefix = n.prefix
+LEFT JOIN nodes q ON n.depth > 0 AND q.prefix = left(n.prefix, 128 * (n.depth - 1))
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -189,6 +190,44 @@ def planted(d, w):
     return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
 
 
+def ordered(rows):
+    """Conversations of (conv_id, turn, role, text) rows as lists of (role, text)."""
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            convs[c].append((turn is not None, turn or 0, tie, role, text))
+    return {c: [x[3:] for x in sorted(v)] for c, v in convs.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = convs.get(c - int(math.fmod(c, 5)), [])[:h] + own[h:]
+    return out
+
+
+def trie(convs):
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    kids = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        v = (len(m) - 1) * len(p[-1][1].encode()) if p else 0
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += v
+    out = []
+    for p, m in members.items():
+        ends = sha(",".join(str(c) for c in sorted(m) if len(convs[c]) == len(p)))
+        out.append((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p], ends))
+    return sorted(out, key=repr)
+
+
 def messy(seed=7):
     """(doc_id, text) rows with nulls, empties, ties, repeats, near copies, long and odd texts."""
     r = random.Random(seed)

@@ -4,12 +4,16 @@ import random
 
 import brute
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
+from oracle_check import compare, duck_connection
 from pyspark.sql import functions as F
 
+from tessera.llm import prefix_trie as trie_module
 from tessera.llm import queries
 from tessera.llm.common import read_table
 from tessera.llm.periodic_runs import periodic_runs
+from tessera.llm.prefix_trie import conversation_trie, prefix_trie
+from tessera.llm.scans import group_scan
 from tessera.llm.token_counts import count_huge, token_counts
 
 ROWS = brute.messy()
@@ -137,3 +141,77 @@ def test_op12_query(spark):
     got = queries.op12_periodic_runs(spark, SF_SMALL)
     got = [r for r in rows(got, *OP12) if r[0] in ids]
     assert got == sorted(brute.periodic(pairs, brute.planted), key=repr) and sum(r[1] > 0 for r in got) > 5
+
+
+# ---- op13
+
+TRIE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def conversations(seed=11, n=60):
+    """Shared beginnings, copies, null and repeated turns, null role or text, one very long conversation, gaps in ids."""
+    r = random.Random(seed)
+    texts = ["hello", "hé", "", None, "ok", "a longer turn of text", "字"]
+    out = []
+    for c in range(n):
+        if r.random() < .15:
+            continue
+        kind = r.random()
+        size = 0 if kind < .05 else r.randint(1, 12)
+        for i in range(size):
+            same = kind < .5 and i < 4
+            out.append((c, i, "user" if i % 2 else None, "shared %d" % i if same else r.choice(texts)))
+        if kind > .8:
+            out.append((c, None, "system", r.choice(texts)))
+        if kind > .9:
+            out += [(c, 1, "user", "again"), (c, 1, "user", "again")]
+    out += [(n + 2, i, "user", "long %d" % (i % 7)) for i in range(500)]
+    out += [(n + 3, i, "user", "long %d" % (i % 7)) for i in range(300)]
+    out += [(-7, 0, "user", "hello"), (None, 0, "user", "nobody"), (1 << 40, 0, None, None)]
+    r.shuffle(out)
+    return out
+
+
+def conv_frame(spark, found):
+    schema = "conv_id long, turn int, role string, text string, depth int, key string, place string, `a.b` int, _pid int"
+    return spark.createDataFrame([(*x, 1, "k", "p", 2, 3) for x in found], schema)
+
+
+def test_trie_against_brute_force(spark, monkeypatch):
+    found = conversations()
+    monkeypatch.setattr(trie_module, "CONVERSATIONS", 8)
+    for depths in (64, 3):
+        monkeypatch.setattr(trie_module, "DEPTHS", depths)
+        df = conv_frame(spark, found).repartition(7)
+        assert rows(conversation_trie(df), *TRIE) == brute.trie(brute.ordered(found))
+    assert rows(prefix_trie(*queries.rebuilt(df)), *TRIE) == brute.trie(brute.rebuilt(brute.ordered(found)))
+
+
+def test_trie_of_no_conversations(spark):
+    df = conv_frame(spark, [(None, 0, "user", "nobody")])
+    assert rows(conversation_trie(df), *TRIE) == [] == rows(conversation_trie(df.limit(0)), *TRIE)
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
+def test_op13_query(spark, sf):
+    ok, msg = compare("op13_prefix_trie", queries.op13_prefix_trie(spark, sf), duck_connection(sf),
+                      queries.SQL["op13_prefix_trie"])
+    assert ok, msg
+    want = brute.trie(brute.rebuilt(brute.ordered([tuple(r) for r in read_table(spark, sf, "conversations").collect()])))
+    assert rows(queries.op13_prefix_trie(spark, sf), *TRIE) == want
+
+
+def test_scan_of_a_group_over_many_partitions(spark):
+    r = random.Random(2)
+    found = [(0 if i % 2 else i // 40, i, r.randint(-9, 9), r.getrandbits(62)) for i in range(2000)]
+    df = spark.createDataFrame(found, "g long, i long, v long, x long").repartition(5)
+    out = group_scan(df, "g", ["i"], ["v"], ["x"])
+    got = rows(out, "g", "i", "n", "ordinal", "last", "cum_v", "cum_x")
+    want, seen = [], {}
+    groups = sorted({f[0] for f in found})
+    size = {g: sum(f[0] == g for f in found) for g in groups}
+    for g, i, v, x in sorted(found):
+        n, s, y = seen.get(g, (0, 0, 0))
+        seen[g] = n, s, y = n + 1, s + v, y ^ x
+        want.append((g, i, n, groups.index(g), n == size[g], s, y))
+    assert got == sorted(want, key=repr)

@@ -15,8 +15,9 @@ in a document with a smaller doc_id; the words it covers go.
 4. Compaction and verification. Edges that follow each other both here and in
    the source form nonbranching paths (document, start, length, source, source
    start). A path counts if the source's words at these coordinates are the
-   same words, so a collision of 64-bit hashes removes nothing. The words of
-   the verified paths go.
+   same words; where they are not (the source's edges lie in several rows of
+   its doc_id, or 64-bit hashes collide), each of its windows is compared by
+   itself. The words of what is verified go, and no others.
 
 Documents meet hashes through ``blocks`` (see there): a passage that a third
 of all documents share is sent once per chunk of documents.
@@ -182,8 +183,14 @@ def _cut(k: int, m: int):
             if i in spans:
                 keep = np.ones(len(words), bool)
                 for p, s, q, n in spans[i]:
-                    if any(w[q:q + n] == words[p:p + n] for w in texts.get(s, ())):
+                    rows = texts.get(s, ())
+                    if any(w[q:q + n] == words[p:p + n] for w in rows):
                         keep[p:p + n] = False
+                        continue
+                    # the source has its edges in several rows, or a hash collides: window by window
+                    for j in range(n - k + 1):
+                        if any(w[q + j:q + j + k] == words[p + j:p + j + k] for w in rows):
+                            keep[p + j:p + j + k] = False
                 words = [w for w, y in zip(words, keep.tolist()) if y]
             gone.append(total[-1] - len(words))
             kept.append(b" ".join(words).decode())

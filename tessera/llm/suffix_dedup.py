@@ -22,8 +22,8 @@ taken at anchored suffixes, block by block:
 
 An anchor that occurs more often than ``HOT`` (a passage that very many
 documents hold) is not gathered in one block: its windows go out one by one as
-hashes, each once per chunk, and are counted in the blocks of their own
-hashes. That is the same test, exact for any number of occurrences.
+hashes of 128 bits, each once per chunk, and are counted in the blocks of
+their own hashes. That is the same test, for any number of occurrences.
 
 Defined results: null and empty text have no bytes; matches never cross
 documents; all copies go, the first included; rows that repeat a doc_id are
@@ -39,10 +39,12 @@ from pyspark.sql import DataFrame
 
 from .blocks import (NULL_ID, PACKED, _body, block_count, chunked, find, joined, merge_in_block,
                      per_block, per_chunk, planes, to_blocks, unplanes, with_replies)
-from .words import byte_sums, gram_hashes, mix64, pieces, span_hashes, window_places
+from .words import byte_sums, gram_hashes, mix64, pieces, running_sums, span_hashes, window_places
 
 LENGTH = 200
 ANCHOR = 40
+#: Random 64-bit stand-ins of the byte values (fixed by their seed), for the second hash of a window.
+_STAND_IN = mix64(np.arange(256, dtype=np.uint64), 16)
 #: Occurrences from which an anchor's windows are matched by their own hashes.
 HOT = 2000
 _PIECE = 1 << 19
@@ -79,8 +81,22 @@ def _context_hash(sums: np.ndarray, a: np.ndarray, b: np.ndarray, p: np.ndarray,
     return mix64(span_hashes(sums, a, b + length, seed=11) + (p - a).astype(np.uint64), 12)
 
 
-def _window_hash(sums: np.ndarray, s: np.ndarray, length: int) -> np.ndarray:
-    return span_hashes(sums, s, s + length, seed=13)
+def _window_hash(sums: np.ndarray, byte_twice: np.ndarray, s: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each window: two hashes, over its bytes by two polynomials."""
+    return span_hashes(sums, s, s + length, seed=13), span_hashes(byte_twice, s, s + length, seed=15)
+
+
+def _second_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of another polynomial: of each byte's random stand-in instead of the byte."""
+    return running_sums(_STAND_IN[data])
+
+
+def _distinct(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs (h, c), sorted, and how often each occurs."""
+    order = np.lexsort((c, h))
+    h, c = h[order], c[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), bool), (h[1:] != h[:-1]) | (c[1:] != c[:-1])]))
+    return h[first], c[first], np.diff(np.concatenate([first, [len(h)]]))
 
 
 def _send_anchors(length: int, m: int, n_blocks: int):
@@ -107,7 +123,7 @@ def _send_contexts(length: int, m: int, n_blocks: int, hot: int):
         shared, total = joined(replies, [np.uint32])
         parts: list[tuple[np.ndarray, ...]] = []
         held: list[np.ndarray] = []
-        windows = [np.zeros(0, np.uint64)]
+        windows = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
         for _, _, data, offs in pieces(table["t"].combine_chunks(), _PIECE) if len(shared) else ():
             a, b, p, h, sums = _anchor_runs(data, offs, length, m)
             hit, at = find(h, shared)
@@ -116,14 +132,14 @@ def _send_contexts(length: int, m: int, n_blocks: int, hot: int):
                 n = (b - a + 1)[many]
                 upto = np.cumsum(n)
                 s = np.repeat(a[many] - (upto - n), n) + np.arange(upto[-1])
-                windows.append(_window_hash(sums, s, length))
+                windows.append(_window_hash(sums, _second_sums(data), s, length))
             few = np.flatnonzero(hit & ~many)
             if len(few):
                 a, b, p, h = a[few], b[few], p[few], h[few]
                 parts.append((h, _context_hash(sums, a, b, p, length), a, b + length, p, np.full(len(few), len(held))))
                 held.append(data)
-        w, n = np.unique(np.concatenate(windows), return_counts=True)
-        out = [_with_kind(to_blocks(chunk, n_blocks, w, [(n > 1).astype(np.uint8)]), _WINDOWS)]
+        w, second, n = _distinct(*(np.concatenate(x) for x in zip(*windows)))
+        out = [_with_kind(to_blocks(chunk, n_blocks, w, [second, (n > 1).astype(np.uint8)]), _WINDOWS)]
         if parts:
             h, c, a, e, p, piece = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((c, h))
@@ -167,7 +183,9 @@ def extend_backwards(group: np.ndarray, left: np.ndarray, left_n: np.ndarray, ri
     """
     rows = len(group)
     least, greatest = np.full(rows, length + 1), np.full(rows, -1)
-    key = np.concatenate([group.astype(">u8").view(np.uint8).reshape(rows, 8), right], axis=1)
+    # by bytes and then by length: a suffix that ends stands before those that go on with NUL bytes
+    key = np.concatenate([group.astype(">u8").view(np.uint8).reshape(rows, 8), right,
+                          right_n.astype(">u2").view(np.uint8).reshape(rows, 2)], axis=1)
     idx = np.argsort(np.ascontiguousarray(key).view(f"S{key.shape[1]}").reshape(rows), kind="stable")
     x = right[idx]
     common = np.full(rows, -1)                      # with the row before; -1: another interval
@@ -263,12 +281,16 @@ def _resolve_contexts(table: pa.Table, length: int, m: int) -> list[tuple[int, i
 
 
 def _any_repeated(first: np.ndarray, run_of: np.ndarray, cols: list[np.ndarray]):
-    n = np.diff(np.concatenate([first, [len(run_of)]]))
-    return ((n > 1) | (np.maximum.reduceat(cols[0], first) > 0))[run_of], []
+    second, many = cols                     # entries come sorted by both hashes
+    new = np.ones(len(run_of), bool)
+    new[1:] = (run_of[1:] != run_of[:-1]) | (second[1:] != second[:-1])
+    at, own = np.flatnonzero(new), np.cumsum(new) - 1
+    n = np.diff(np.concatenate([at, [len(run_of)]]))
+    return ((n > 1) | (np.maximum.reduceat(many, at) > 0))[own], [second]
 
 
 def _resolve(length: int, m: int):
-    windows = merge_in_block([np.uint8], _any_repeated)
+    windows = merge_in_block([np.uint64, np.uint8], _any_repeated)
 
     def run(table: pa.Table) -> pa.Table:
         kind = table["kind"].to_numpy()
@@ -285,6 +307,19 @@ def _resolve(length: int, m: int):
     return run
 
 
+def _both_found(x: np.ndarray, y: np.ndarray, w: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether each pair (x, y) is among the pairs (w, second), which are sorted and distinct."""
+    found = np.zeros(len(x), bool)
+    at = np.searchsorted(w, x)
+    while True:                             # pairs that share their first half are a rare few
+        near = np.minimum(at, len(w) - 1)
+        same = (at < len(w)) & (w[near] == x)
+        found |= same & (second[near] == y)
+        if not (same & ~found).any():
+            return found
+        at = at + 1
+
+
 def _cut(length: int, m: int):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         kind = replies["kind"].to_numpy() if replies.num_rows else np.zeros(0, np.int32)
@@ -292,7 +327,7 @@ def _cut(length: int, m: int):
         c, least, greatest = joined(replies.filter(pa.array(kind == _CONTEXTS)), [np.uint8, np.uint8])
         order = np.argsort(c)
         c, least, greatest = c[order], least[order].astype(np.int64), greatest[order].astype(np.int64)
-        w, = joined(replies.filter(pa.array(kind == _WINDOWS)), [])
+        w, second = joined(replies.filter(pa.array(kind == _WINDOWS)), [np.uint64])
         low = np.uint64((1 << 20) - 1)
         maybe = np.zeros(1 << 20, bool)
         maybe[(w & low).astype(np.int64)] = True
@@ -307,9 +342,9 @@ def _cut(length: int, m: int):
                     np.add.at(change, p[hit] - least[where[hit]] + length, -1)
                 if len(w):
                     s = window_places(offs, length)
-                    x = _window_hash(sums, s, length)
-                    s, x = (y[maybe[(x & low).astype(np.int64)]] for y in (s, x))
-                    s = s[find(x, w)[0]]
+                    x, y = _window_hash(sums, _second_sums(data), s, length)
+                    s, x, y = (z[maybe[(x & low).astype(np.int64)]] for z in (s, x, y))
+                    s = s[_both_found(x, y, w, second)]
                     np.add.at(change, s, 1)
                     np.add.at(change, s + length, -1)
             drop = np.cumsum(change[:-1]) > 0

@@ -101,9 +101,13 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def byte_sums(data: np.ndarray, lower: bool = False) -> np.ndarray:
     """Running sums from which ``span_hashes`` takes the hash of any span; A-Z count as a-z if ``lower``."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    p = _powers(_BASE, len(data))
-    np.cumsum((_UPPER[data] if lower else data).astype(np.uint64) * p + p, out=sums[1:])
+    return running_sums((_UPPER[data] if lower else data).astype(np.uint64) + np.uint64(1))
+
+
+def running_sums(values: np.ndarray) -> np.ndarray:
+    """Running sums of values times the powers of the base."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(_BASE, len(values)), out=sums[1:])
     return sums
 
 

@@ -73,6 +73,39 @@ def test_suffixes_of_a_hot_anchor_by_window_hashes(docs):
     assert got == sorted(brute.suffixes(ROWS), key=repr)
 
 
+def test_substrings_of_a_source_with_several_rows(spark):
+    x = [f"x{i}" for i in range(1, 15)]
+    found = [(5, " ".join([*x[:13], "zzz"])), (5, " ".join(["y", *x[1:]])), (9, " ".join(x)), (None, " ".join(x)),
+             (None, "q " + " ".join(x))]
+    df = spark.createDataFrame(found, "doc_id long, text string")
+    got = rows(substring_dedup.dedup_substrings(df), "doc_id", "n_words", "n_removed", F.sha2("text", 256))
+    assert got == sorted(brute.substrings(found), key=repr) and (9, 14, 14) in [g[:3] for g in got]
+
+
+def odd_bytes(seed):
+    """Texts of few symbols, NUL and the highest code point among them, that repeat by parts."""
+    r = __import__("random").Random(seed)
+    symbols = r.choice([["\0", "a"], ["\0", "\0", "\0", "b"], ["\U0010ffff", "\0"], ["\xff", "a", "\0"]])
+    whole = "".join(r.choice(symbols) for _ in range(200)) + "\0" * 60
+    out = []
+    for i in range(40):
+        a = r.randrange(len(whole))
+        out.append((i, "".join(r.choice(symbols) * r.randint(1, 9) for _ in range(r.randint(0, 12)))
+                    + whole[a:a + r.randint(0, 70)] + "\0" * r.choice([0, 0, 5, 30])))
+    return out
+
+
+@pytest.mark.parametrize("hot", [2000, 1])
+@pytest.mark.parametrize("length,anchor", [(20, 4), (48, 11)])
+def test_suffixes_with_nul_and_highest_bytes(spark, length, anchor, hot):
+    for seed in range(4):
+        found = odd_bytes(seed)
+        df = spark.createDataFrame(found, "doc_id long, text string").repartition(3)
+        k = suffix_dedup.dedup_suffixes(df, length=length, anchor=anchor, hot=hot)
+        got = rows(k, "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+        assert got == sorted(brute.suffixes(found, length), key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_oracle_parity(spark, name):
     sf = SF_MID if name in ("op2_exact_dedup", "op1_line_dedup") else SF_SMALL

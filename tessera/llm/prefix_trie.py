@@ -176,32 +176,40 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
     ends = parts.where(F.size("ends") > 0).select(*_KEY, "shard", "ends")
     ends = ends.repartition(width, *_KEY).sortWithinPartitions(*_KEY, "shard").mapInArrow(
         _digests, "depth long, s1 long, s2 long, ends_sha256 string")
-    nodes = parts.groupBy(*_KEY).agg(F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.sum("n_convs").alias("n_convs"),
-                                     F.min("conv_id").alias("conv_id"), F.max("n_bytes").alias("n_bytes"))
-    children = nodes.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("s1"),
-                                                F.col("p2").alias("s2")).agg(F.count(F.lit(1)).alias("n_children"))
-    empty = F.sha2(F.lit(""), 256)
-    zero = F.lit(0).cast("long")
-    nodes = staged(nodes.join(children, _KEY, "left").join(ends, _KEY, "left").select(
-        *_KEY, "p1", "p2", "conv_id", "n_convs", F.coalesce("n_children", zero).alias("n_children"),
-        ((F.col("n_convs") - 1) * F.col("n_bytes")).alias("saved"),
-        F.coalesce("ends_sha256", empty).alias("ends_sha256")), "trie-nodes")
-    chains = nodes.groupBy("conv_id").agg(F.min("depth").alias("from_depth"), F.sum("saved").alias("total"),
-                                          F.max((F.col("n_children") == 0).cast("long")).alias("leaf"))
+    nodes = parts.groupBy(*_KEY).agg(
+        F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.sum("n_convs").alias("n_convs"),
+        F.min("conv_id").alias("conv_id"), F.max("n_bytes").alias("n_bytes"), F.sum(F.size("ends")).alias("n_ends"))
+    # a node is childless if all its members end there
+    nodes = staged(nodes.select(
+        "conv_id", *_KEY, "p1", "p2", "n_convs", ((F.col("n_convs") - 1) * F.col("n_bytes")).alias("saved"),
+        (F.col("n_ends") == F.col("n_convs")).cast("long").alias("leaf")), "trie-nodes")
+    # the chain from each node down: running sums from its deepest node up; its last row is its top node
+    down = group_scan(nodes, "conv_id", [F.col("depth").desc()], sums=["saved", "leaf"], name="trie-chains")
     # what a conversation's own chain adds to the nodes above it
-    above = paths.select("conv_id", *_KEY).join(chains, "conv_id").where("depth < from_depth")
-    above = above.groupBy(*_KEY).agg(F.sum("total").alias("saved_below"), F.sum("leaf").alias("leaves_below"))
-    # the chain from each node down: a running sum from its deepest node up
-    down = group_scan(nodes.select("conv_id", *_KEY, "saved"), "conv_id", [F.col("depth").desc()], sums=["saved"],
-                      name="trie-chains").select(*_KEY, F.col("cum_saved").alias("saved_chain"))
-    parents = nodes.select((F.col("depth") + 1).alias("depth"), F.col("s1").alias("p1"), F.col("s2").alias("p2"),
-                           F.col("conv_id").alias("parent_conv_id"))
-    leaf = chains.select("conv_id", "leaf")
-    return (nodes.join(down, _KEY).join(above, _KEY, "left").join(leaf, "conv_id")
-            .join(parents, ["depth", "p1", "p2"], "left")
-            .select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children",
-                    (F.col("leaf") + F.coalesce("leaves_below", zero)).alias("n_leaves"),
-                    (F.col("saved_chain") + F.coalesce("saved_below", zero)).alias("saved_tokens"), "ends_sha256"))
+    chains = nodes.groupBy("conv_id").agg(F.min("depth").alias("top"), F.sum("saved").alias("saved"),
+                                          F.sum("leaf").alias("leaf"))
+    above = paths.select("conv_id", *_KEY).join(chains, "conv_id").where("depth < top")
+    # within a chain the parent has the same smallest member; a top node's parent is looked up
+    tops = down.where("last and depth > 0").select(
+        *_KEY, (F.col("depth") - 1).alias("up"), F.col("p1").alias("q1"), F.col("p2").alias("q2"))
+    parents = nodes.select(F.col("depth").alias("up"), F.col("s1").alias("q1"), F.col("s2").alias("q2"),
+                           F.col("conv_id").alias("parent"))
+    tops = tops.join(parents, ["up", "q1", "q2"])
+    children = nodes.where("depth > 0").select((F.col("depth") - 1).alias("depth"), F.col("p1").alias("s1"),
+                                               F.col("p2").alias("s2"), F.lit(1).cast("long").alias("children"))
+    own = down.select(*_KEY, "conv_id", "n_convs", F.when(~F.col("last"), F.col("conv_id")).alias("parent"),
+                      F.col("cum_saved").alias("saved"), F.col("cum_leaf").alias("leaf"))
+    # everything that is said of a node meets in one aggregate
+    said = own
+    for more in (above.select(*_KEY, "saved", "leaf"), tops.select(*_KEY, "parent"), children, ends):
+        said = said.unionByName(more, allowMissingColumns=True)
+    both = said.groupBy(*_KEY).agg(
+        F.max("conv_id").alias("conv_id"), F.max("parent").alias("parent_conv_id"), F.max("n_convs").alias("n_convs"),
+        F.coalesce(F.sum("children"), F.lit(0)).alias("n_children"), F.sum("leaf").alias("n_leaves"),
+        F.sum("saved").alias("saved_tokens"),
+        F.coalesce(F.max("ends_sha256"), F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+    return both.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                       "ends_sha256")
 
 
 def conversation_trie(conversations: DataFrame) -> DataFrame:

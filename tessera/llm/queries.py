@@ -166,17 +166,27 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The conversations op13 reads: the first h turns of c - c % 5, then c's own after its first h. (turns, ids)"""
     from .prefix_trie import numbered, turn_rows
     turns = numbered(turn_rows(conversations))
-    sizes = staged(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")), "sizes")
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
-    plan = sizes.select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("donor"))
-    donors = sizes.select(F.col("conv_id").alias("donor"), F.col("n").alias("donor_n"))
-    plan = staged(plan.join(donors, "donor", "left").select(
-        "conv_id", "donor", "h", F.least("h", F.coalesce("donor_n", F.lit(0).cast("long"))).alias("m")), "plan")
-    own = turns.join(plan, "conv_id").where("place >= h").select(
-        "conv_id", (F.col("place") - F.col("h") + F.col("m")).alias("place"), "key", "n_bytes")
-    first = turns.where("place < 8 and conv_id % 5 = 0").withColumnRenamed("conv_id", "donor")
-    given = first.join(plan, "donor").where("place < h").select("conv_id", "place", "key", "n_bytes")
-    return own.unionByName(given), plan.select("conv_id")
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "conv_id", "n", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("donor"))
+    # the few conversations of a block: who takes which turns of whom, moved by how much
+    block = sizes.groupBy("donor").agg(F.collect_list(F.struct("conv_id", "n", "h")).alias("convs"))
+    given = F.coalesce(F.get(F.filter("convs", lambda c: c["conv_id"] == F.col("donor")), F.lit(0))["n"],
+                       F.lit(0).cast("long"))
+    block = block.select("donor", "convs", given.alias("given"), F.explode("convs").alias("c"))
+
+    def takes(conv, low, high, shift):
+        return F.struct(conv.alias("to"), low.alias("low"), high.alias("high"), shift.alias("shift"))
+    zero = F.lit(0).cast("long")
+    c = F.col("c")
+    own = takes(c["conv_id"], c["h"], c["n"], F.least(c["h"], F.col("given")) - c["h"])
+    lent = F.when(c["conv_id"] == F.col("donor"), F.transform("convs", lambda x: takes(x["conv_id"], zero, x["h"], zero)))
+    targets = staged(block.select(c["conv_id"].alias("conv_id"), F.concat(
+        F.array(own), F.coalesce(lent, F.slice(F.array(own), 1, 0))).alias("targets")), "targets")
+    took = turns.join(targets, "conv_id").select("place", "key", "n_bytes", F.explode(F.filter(
+        "targets", lambda x: (x["low"] <= F.col("place")) & (F.col("place") < x["high"]))).alias("x"))
+    took = took.select(F.col("x.to").alias("conv_id"), (F.col("place") + F.col("x.shift")).alias("place"), "key", "n_bytes")
+    return took, targets.select("conv_id")
 
 
 @_register(sql.TRIE)

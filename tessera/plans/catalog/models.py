@@ -10,6 +10,7 @@ from ..registry import query
 from pyspark.ml.functions import array_to_vector
 
 from ...functions import scalar as S
+from ...operators import boost as B
 from ...operators import encode as E
 from ...operators import ids as ID
 from ...operators import metric as MT
@@ -122,13 +123,13 @@ def oof_predictions(spark, d):
 
 @query("fit_gbt_multiclass")
 def fit_gbt_multiclass(spark, d):
-    """ML3: one-vs-rest boosted trees (50 rounds, depth 5) on the incident features, class probabilities."""
+    """ML3: boosted trees of one multinomial deviance (50 rounds, depth 5) on the incident features, class probabilities."""
     feats, enc, _ = INC.train_features(fx.incidents(spark, d))
     cols = INC.all_feature_columns(enc)
     feats = feats.withColumn("label", (F.array_position(F.array(*[F.lit(c) for c in enc.classes]),
                                                         F.col("Category")) - 1).cast("double"))
     tr = M.assemble(feats, cols)
-    m = M.fit_gbt_multiclass(tr, len(enc.classes), "label", "features")
+    m = B.fit_softmax_boosting(tr, len(enc.classes), "label", "features")
     return m.transform(tr, "features", "proba").select("row_id", "proba", "prediction")
 
 

@@ -45,6 +45,44 @@ def nunique(col: str, approx: bool = False, rsd: float = 0.05) -> Column:
     return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(F.col(col))
 
 
+def group_nunique(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], dropna: bool = True) -> DataFrame:
+    """AG3: exact distinct non-null values of several columns (``{out_name: column}``) per group.
+
+    Several distinct counts in one aggregate write every row once per column.
+    Equal rows are collapsed first, map-side, so what is written several times is distinct rows only.
+    """
+    rows = list(dict.fromkeys([*keys, *cols.values()]))
+    # a count that is asked for: the optimizer drops a plain distinct() below distinct counts
+    d = _keyed(df, keys, dropna).groupBy(*rows).agg(F.count(F.lit(1)).alias("_equal")).where(F.col("_equal") > 0)
+    return d.groupBy(*keys).agg(*[F.count_distinct(F.col(c)).alias(n) for n, c in cols.items()])
+
+
+#: log2 of a distinct-count sketch's registers: a relative standard error of about 1.04 / sqrt(2 ** 12) = 1.6 %.
+SKETCH_LG = 12
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], cols: Sequence[str], lg_k: int = SKETCH_LG,
+                      dropna: bool = True) -> DataFrame:
+    """AG3, mergeable: per group one sketch per column (binary, bounded), to be stored and merged later.
+
+    Null values are not counted; a group without values has an empty sketch.
+    """
+    d = _keyed(df, keys, dropna)
+    return d.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c), F.lit(lg_k)).alias(c) for c in cols])
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Sketches of finer groups (days, auctions) merged to those of ``keys``, as one pass over the rows would give."""
+    return sketches.groupBy(*keys).agg(*[F.hll_union_agg(F.col(c)).alias(c) for c in cols])
+
+
+def sketch_counts(sketches: DataFrame, cols: Mapping[str, str]) -> DataFrame:
+    """Distinct counts (``{out_name: sketch column}``) in place of the sketches."""
+    names = set(cols.values())
+    keep = [c for c in sketches.columns if c not in names]
+    return sketches.select(*keep, *[F.hll_sketch_estimate(F.col(c)).alias(n) for n, c in cols.items()])
+
+
 def first_in_order(col: str, order: str) -> Column:
     """AG8: value of the first row in ``order`` (NULL kept, A3)."""
     return F.min_by(F.col(col), F.col(order))

@@ -17,13 +17,16 @@ from pyspark.ml import Model
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encode import standardized_vectors
+from .matrix import row_blocks
+from .subspace import fit_subspace
 
 # concurrent independent fits (jobs submitted from driver threads)
 PARALLEL_FITS = 4
@@ -72,6 +75,7 @@ def mlp(n_in: int, hidden: Sequence[int], n_out: int, label: str = "label", feat
 
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt over all cores: a small table in one file would be fitted by one task."""
+    df = df.checkpoint()        # asking for the partitions would run the plan another time
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
 
 
@@ -137,13 +141,21 @@ def proba_array(df: DataFrame, col: str = "probability", out: str = "proba") ->
     return df.withColumn(out, vector_to_array(col))
 
 
+@dataclass
+class PCAFit:
+    """Components as columns, and each one's share of the whole variance."""
+    pc: DenseMatrix
+    explainedVariance: DenseVector
+
+
 def pca_project(df: DataFrame, col: str, k: int, out: str = "pca"):
     """FE4: standardise each element (sample std, zero -> 1, train+test together A14),
     then PCA to k components. Returns (frame with ``out`` array, PCA model)."""
-    vec = standardized_vectors(df, col, "_v", drop_constant=False)
-    model = PCA(k=k, inputCol="_v", outputCol="_pc").fit(vec)
-    res = model.transform(vec).withColumn(out, vector_to_array("_pc")).drop("_v", "_pc")
-    return res, model
+    vec = standardized_vectors(df, col, "_v", drop_constant=False).withColumn("_a", vector_to_array("_v")).checkpoint()
+    fit = fit_subspace(row_blocks(vec, "_a", "_a"), k)
+    share = fit.variance / (fit.total_variance or 1.0)
+    model = PCAFit(DenseMatrix(*fit.components.shape, fit.components.ravel(order="F")), DenseVector(share))
+    return fit.transform(vec, "_a", out).drop("_v", "_a"), model
 
 
 def fold_fits(df: DataFrame, fold: str, k: int, make: Callable[[DataFrame], Model],

@@ -47,6 +47,29 @@ def join_left_chain(base: DataFrame, others: Sequence[DataFrame], key: str) -> D
     return out
 
 
+def write_bucketed(df: DataFrame, key: str, buckets: int, name: str | None = None) -> DataFrame:
+    """``df`` written bucketed and sorted by ``key``, read back as a table that knows its layout.
+
+    Tables of equal key and bucket count are joined, and aggregated by the key,
+    without another exchange: the shuffle is paid once, when the table is written. The
+    table is external, in the shared checkpoint folder, one file per bucket.
+    """
+    import uuid
+
+    from ..session import scratch_path
+    spark = df.sparkSession
+    name = name or f"bucketed_{uuid.uuid4().hex}"
+    # dealt by the key first, so each task writes its own buckets and a bucket is one file
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", scratch_path(spark, name)).saveAsTable(name))
+    return spark.table(name)
+
+
+def join_left_stored(base: DataFrame, others: Sequence[DataFrame], key: str, buckets: int) -> DataFrame:
+    """JN2 over stored layouts: every table bucketed by the key, then a chain of joins without an exchange."""
+    return join_left_chain(write_bucketed(base, key, buckets), [write_bucketed(o, key, buckets) for o in others], key)
+
+
 def count_join_back(df: DataFrame, keys: Sequence[str], out: str = "n", count_col: str | None = None) -> DataFrame:
     """JN3/WN7: count of rows (or non-null ``count_col``) sharing ``keys``, on every row.
 

@@ -174,10 +174,43 @@ def assemble_features(spark, d):
     return assemble(feats, BD.PREDICTORS).select("bidder_id", "features")
 
 
+#: Components of the PCA, as many as the reference's; a shorter vector has all of its own.
+PCA_K = 200
+
+
+def _pca(spark, d):
+    from ...operators.model import pca_project as pca
+    dg = fx.digits(spark, d)
+    return pca(dg, "px", min(PCA_K, E.common_length(dg, "px")))
+
+
 @query("pca_project")
 def pca_project(spark, d):
-    """FE4: PCA to 8 components of the standardised pixels (rows-only; orthonormality
-    and descending variance are unit-tested)."""
-    from ...operators.model import pca_project as pca
-    out, _ = pca(fx.digits(spark, d), "px", 8)
-    return out.select("row_id", "pca")
+    """FE4: PCA of the standardised pixels to 200 components or, if there are fewer pixels, to all
+    (rows-only; ``pca_norms`` and ``pca_variances`` have SQL)."""
+    return _pca(spark, d)[0].select("row_id", "pca")
+
+
+_PIXELS = """
+e AS (SELECT row_id, unnest(px) AS x, generate_subscripts(px, 1) AS i FROM digits),
+s AS (SELECT i, avg(x) AS m, stddev_samp(x) AS sd FROM e GROUP BY i),
+z AS (SELECT e.row_id, e.i, (e.x - s.m) / CASE WHEN s.sd = 0 OR s.sd IS NULL THEN 1 ELSE s.sd END AS v FROM e JOIN s USING (i))
+"""
+
+
+@query("pca_norms", ["digits"], _PIXELS + "SELECT row_id, sum(v * v) AS square_length FROM z GROUP BY row_id")
+def pca_norms(spark, d):
+    """FE4: a rotation keeps lengths, so with all components a row's squares add up to those of its standardised pixels."""
+    squares = F.aggregate("pca", F.lit(0.0), lambda a, x: a + x * x)
+    return _pca(spark, d)[0].select("row_id", squares.alias("square_length"))
+
+
+@query("pca_variances", ["digits"], _PIXELS + """,
+c AS (SELECT a.i, b.i AS j, sum(a.v * b.v) / (SELECT count(*) - 1 FROM digits) AS cov
+      FROM z a JOIN z b USING (row_id) GROUP BY a.i, b.i)
+SELECT sum(CASE WHEN i = j THEN cov ELSE 0 END) AS variance, sum(cov * cov) AS square_sum FROM c""")
+def pca_variances(spark, d):
+    """FE4: the components' variances add up to the trace of the covariance matrix, their squares to its squared entries."""
+    out, _ = _pca(spark, d)
+    per = out.select(F.posexplode("pca").alias("k", "v")).groupBy("k").agg(F.var_samp("v").alias("v"))
+    return per.agg(F.sum("v").alias("variance"), F.sum(F.col("v") * F.col("v")).alias("square_sum"))

@@ -10,11 +10,15 @@ from ..registry import query
 from pyspark.ml.functions import array_to_vector
 
 from ...functions import scalar as S
+from ...functions.arrays import array_scale
 from ...operators import boost as B
 from ...operators import encode as E
+from ...operators import folds as FO
 from ...operators import ids as ID
+from ...operators import kernel as K
 from ...operators import metric as MT
 from ...operators import model as M
+from ...operators import nets as NN
 from .. import bidders as BD
 from .. import digits as DG
 from .. import incidents as INC
@@ -115,10 +119,11 @@ def cv_scores(spark, d):
 def oof_predictions(spark, d):
     """ML11: out-of-fold scores of forest and logistic regression, contiguous folds."""
     tr = _bidder_train(spark, d)
-    tr = ID.kfold_contiguous(tr, ["bidder_id"], 3, "fold")
-    return M.oof_scores(tr, "bidder_id", "fold", 3, [
-        ("rf", lambda x: M.random_forest("label", "features", min_leaf=2).fit(x)),
-        ("lr", lambda x: M.logistic(x.count(), "label", "features").fit(x))])
+    tr = ID.kfold_contiguous(tr, ["bidder_id"], 3, "fold").checkpoint()
+    rf = M.oof_scores(tr, "bidder_id", "fold", 3, [
+        ("rf", lambda x: M.random_forest("label", "features", min_leaf=2).fit(x))])
+    lr = FO.oof_logistic(tr, "bidder_id", "fold", 3).select(*[c for c in rf.columns if c != "model"], F.lit("lr").alias("model"))
+    return rf.unionByName(lr)
 
 
 @query("fit_gbt_multiclass")
@@ -145,33 +150,32 @@ def _sizes(dg):
 
 @query("fit_mlp")
 def fit_mlp(spark, d):
-    """ML5: perceptron with hidden layers of 1000 and 500, L-BFGS, on the pixel vectors."""
+    """ML5: perceptron with hidden layers of 1000 and 500, L-BFGS, L2 term 1e-5, on the pixel vectors."""
     dg = _digits_split(spark, d)
     n_in, n_out = _sizes(dg)
-    m = M.mlp(n_in, [1000, 500], n_out, "label", "features", MLP_ITER).fit(M.spread(dg))
+    m = NN.fit_net(dg, [n_in, 1000, 500, n_out], max_iter=MLP_ITER)
     return m.transform(dg).select("row_id", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("fit_poly_svm")
 def fit_poly_svm(spark, d):
-    """ML6: PCA -> degree-2 expansion -> one-vs-rest linear SVM."""
+    """ML6: PCA -> tensor sketch of the degree-3 kernel -> one-vs-rest SVM."""
     dg = fx.digits(spark, d)
     pc, _ = M.pca_project(dg, "px", min(PCA_K, E.common_length(dg, "px")), "pca")
     pc = pc.withColumn("features", array_to_vector("pca")).withColumn("label", F.col("label").cast("double"))
-    f = M.fit_poly_svm(pc, 2, "label", "features")
-    return f(pc).select("row_id", F.col("prediction").cast("int").alias("prediction"))
+    return K.fit_kernel_svm(pc, 3).transform(pc).select("row_id", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("fit_augmented_mlp")
 def fit_augmented_mlp(spark, d):
-    """ML7: perceptron (1000 hidden units) on scaled, shifted (x5) and rotated images; predicts the originals."""
+    """ML7: net of 1000 hidden units on scaled, shifted (x5) and rotated images, by mini-batches with momentum and
+    a decaying rate; predicts the originals (scaled)."""
     from ...operators import image as IM
     dg = fx.digits(spark, d).withColumn("label", F.col("label").cast("double"))
     n_in, n_out = _sizes(dg)
     aug = IM.augment_rotate(IM.scale_and_augment(dg, "px", "width"), "px", "width", ("row_id", "variant"), 1)
-    m = M.mlp(n_in, [1000], n_out, "label", "features", MLP_ITER).fit(
-        M.spread(aug.withColumn("features", array_to_vector("px"))))
-    return m.transform(dg.withColumn("features", array_to_vector("px"))).select(
+    m = NN.fit_sgd_net(aug.withColumn("features", array_to_vector("px")), [n_in, 1000, n_out], key=("row_id", "variant"))
+    return m.transform(dg.withColumn("features", array_to_vector(array_scale("px", 255.0)))).select(
         "row_id", F.col("prediction").cast("int").alias("prediction"))
 
 

@@ -28,7 +28,7 @@ def join_right(spark, d):
                         _train_bidders(spark, d).select("bidder_id", "outcome"), "bidder_id")
 
 
-@query("join_left_chain", ["bids", "bidders"], """
+_CHAIN = """
 n AS (SELECT bidder_id, count(bid_id) AS nofbids FROM bids GROUP BY bidder_id),
 w AS (SELECT winner_id AS bidder_id, count(*) AS nofwins FROM
         (SELECT auction, last(bidder_id ORDER BY bid_id) AS winner_id FROM bids GROUP BY auction) x
@@ -36,14 +36,28 @@ w AS (SELECT winner_id AS bidder_id, count(*) AS nofwins FROM
 m AS (SELECT bidder_id, max(device) AS maxdev FROM bids GROUP BY bidder_id)
 SELECT e.bidder_id, n.nofbids, w.nofwins, m.maxdev
 FROM (SELECT bidder_id FROM bidders WHERE split = 'train') e
-  LEFT JOIN n USING (bidder_id) LEFT JOIN w USING (bidder_id) LEFT JOIN m USING (bidder_id)""")
-def join_left_chain(spark, d):
-    """JN2: three per-bidder tables left-joined on one key."""
+  LEFT JOIN n USING (bidder_id) LEFT JOIN w USING (bidder_id) LEFT JOIN m USING (bidder_id)"""
+
+
+def _chain(spark, d):
     b = fx.bids(spark, d)
     n = b.groupBy("bidder_id").agg(F.count("bid_id").alias("nofbids"))
     w = BD.wins(b).select("bidder_id", "nofwins")
     m = b.groupBy("bidder_id").agg(F.max("device").alias("maxdev"))
-    return R.join_left_chain(_train_bidders(spark, d).select("bidder_id"), [n, w, m], "bidder_id")
+    return _train_bidders(spark, d).select("bidder_id"), [n, w, m]
+
+
+@query("join_left_chain", ["bids", "bidders"], _CHAIN)
+def join_left_chain(spark, d):
+    """JN2: three per-bidder tables left-joined on one key."""
+    return R.join_left_chain(*_chain(spark, d), "bidder_id")
+
+
+@query("join_left_stored", ["bids", "bidders"], _CHAIN)
+def join_left_stored(spark, d):
+    """JN2 over stored layouts: the same tables written bucketed by the key, joined without an exchange."""
+    base, others = _chain(spark, d)
+    return R.join_left_stored(base, others, "bidder_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @query("agg_join_back", None, """

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, total_chars
+from .common import quoted, text_of, total_chars
 
 PACKED = "block long, chunk long, n long, body binary"
 #: A null doc_id stands after all others.
@@ -44,18 +44,23 @@ def chunk_of(doc_id, n: int):
     return F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("long")
 
 
-def chunked(docs: DataFrame, n: int, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+def chunked(docs: DataFrame, n: int, id_col: str, text_col: str, carry: Sequence[str] = (),
+            by_row: bool = False) -> DataFrame:
     """(chunk, doc_id, row, t): the documents with their chunk; null ids as NULL_ID.
 
     ``row`` is a hash of the text: rows of one doc_id differ by it. (A row's
     place in its chunk would not do: a shuffle may deliver rows in any order.)
-    ``carry`` names columns that travel along as the struct ``extra``.
+    ``carry`` names columns that travel along as the struct ``extra``. Rows of
+    one doc_id share a chunk, unless ``by_row`` deals them by doc_id and text.
     """
-    extra = [F.struct(*[F.col(c) for c in carry]).alias("extra")] if carry else []
+    extra = [F.struct(*[quoted(c).alias(c) for c in carry]).alias("extra")] if carry else []
     t = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                     text_of(text_col).alias("t"), *extra)
-    return t.select(chunk_of(F.col("doc_id"), n).alias("chunk"), "doc_id", F.xxhash64("t").alias("row"), "t",
-                    *(["extra"] if carry else []))
+    row = F.xxhash64("t")
+    # any number of rows may lack an id: these are dealt by their text
+    by_id = chunk_of(F.when(F.col("doc_id") == NULL_ID, row).otherwise(F.col("doc_id")), n)
+    return t.select((chunk_of(F.xxhash64("doc_id", row), n) if by_row else by_id).alias("chunk"), "doc_id",
+                    row.alias("row"), "t", *(["extra"] if carry else []))
 
 
 def planes(a: np.ndarray) -> bytes:

@@ -31,6 +31,22 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with underscores before it until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def id_after_all(name: str = "doc_id") -> list[Column]:
     """Sort columns under which a null id comes last."""
     return [F.col(name).isNull(), F.col(name)]
@@ -40,7 +56,7 @@ def staged(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage with a reliable copy that every executor can read. The
-    files are removed when the application ends.
+    files are removed by ``unstage``, or when the application ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
@@ -49,7 +65,19 @@ def staged(df: DataFrame, name: str = "t") -> DataFrame:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def unstage(*tables: DataFrame | None) -> None:
+    """Delete staged tables that no later plan reads."""
+    for t in tables:
+        path = getattr(t, "_staged_path", None)
+        if path:
+            jvm = t.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

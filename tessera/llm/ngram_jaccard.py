@@ -16,13 +16,15 @@ The matrix is documents by 5-word shingles. Two documents link when
 4. Pairs. In each column the pairs of entries that the size and positional
    bounds allow are candidates, and whether they link is decided exactly on
    the whole sets; no overlap is accumulated. Near copies would give the square
-   of their number of pairs, so the components are found in rounds: first each
-   node against one node of the column's main component (the one with which
-   most columns are shared; this count only picks the partner); what links is
-   one component. The last round takes every pair that is left between
-   different components, each in the first column that it shares, so no link
-   between components is lost. ``jaccard_links`` takes the pairs within
-   components too.
+   of their number of pairs, so the components are found in rounds. In round t
+   each entry is tried with up to 4 ** t entries of its column, picked anew by
+   hash, that are of other components. Components that link become one, and
+   columns within one component are closed, so there are ever fewer entries to
+   try with more picks. Rounds go on until one finds no link. Then every pair that is left
+   between different components is tried, each in the first column that it
+   shares, so no link between components is lost; these are hardly more than the pairs of
+   components that share columns without linking. ``jaccard_links``
+   takes the pairs within components too.
 
 Pairs are made by joins on a column that AQE may split; no column is gathered
 in one task.
@@ -37,6 +39,7 @@ result.
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +48,11 @@ from pyspark.sql import functions as F
 
 from .blocks import (NULL_ID, PACKED, block_count, chunked, find, joined, per_block, per_chunk,
                      to_blocks, with_replies)
-from .common import staged
+from .common import quoted, staged, unstage, unused
 from .words import ngram_hashes, pieces, window_places, word_hashes, word_spans
 
 N = 5
 PERCENT = 80
-#: Rounds against one node of a column's main component before the last round takes all pairs left.
-STAR_ROUNDS = 2
 
 _SETS = ("doc_id long, n long, digest binary, shingles array<long>, columns array<long>, "
          "places array<int>")
@@ -196,7 +197,7 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  percent: int = PERCENT) -> DataFrame:
     """Steps 1 and 2, written: one row per document (``_SETS``)."""
     blocks = block_count(docs, text_col)
-    t = chunked(docs, blocks, id_col, text_col)
+    t = chunked(docs, blocks, id_col, text_col, by_row=True)
     some = per_block(per_chunk(t, _send_samples(n, percent, blocks), PACKED), [np.uint32], _shared)
     all_ = per_block(with_replies(t, some, _send_all(n, percent, blocks), PACKED), [np.uint32], _shared)
     return staged(with_replies(t, all_, _documents(n, percent), _SETS), "shingle-sets")
@@ -213,16 +214,18 @@ def _min_labels(edges: DataFrame) -> DataFrame:
                   .unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "edges")
     labels = staged(both.select(F.col("u").alias("node"), F.col("u").alias("comp")).distinct(), "labels")
     while True:
-        near = staged(both.join(labels, both["u"] == labels["node"]).groupBy(F.col("v").alias("node"))
-                      .agg(F.min("comp").alias("near")), "near")
-        step = labels.join(near, "node", "left").select(
-            "node", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
-        step = staged(step, "step")
+        near = (both.join(labels, both["u"] == labels["node"]).groupBy(F.col("v").alias("node"))
+                .agg(F.min("comp").alias("near")))
+        step = staged(labels.join(near, "node", "left").select(
+            "node", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp")), "step")
         jump = step.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
         new = staged(step.join(jump, "comp").select("node", "old", F.col("top").alias("comp")), "labels")
-        if new.where(F.col("comp") != F.col("old")).isEmpty():
+        done = new.where(F.col("comp") != F.col("old")).isEmpty()
+        unstage(labels, step)
+        if done:
+            unstage(both)
             return new.select("node", "comp")
-        labels = new.select("node", "comp")
+        labels = new
 
 
 def _joined_components(comp: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -277,8 +280,82 @@ def _nodes(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return member, node_sets, staged(entries.join(staged(many, "columns"), "col"), "entries")
 
 
-def _node_components(member: DataFrame, node_sets: DataFrame, entries: DataFrame, percent: int,
-                     star_rounds: int) -> DataFrame:
+def _hooked(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, comp) after one step of joining along new links: each component goes to the least that it links with,
+    and on to where that one goes. What this leaves apart is joined later."""
+    edges = links.select("a", "b")
+    if comp is not None:
+        for end in ("a", "b"):
+            c = comp.select(F.col("node").alias(end), F.col("comp").alias("c"))
+            edges = edges.join(c, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    hook = (edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            .groupBy("a").agg(F.min("b").alias("to")).where(F.col("to") < F.col("a")))
+    hook = staged(hook, "hooks")
+    on = hook.select(F.col("a").alias("to"), F.col("to").alias("top"))
+    hook2 = hook.join(on, "to", "left").select(F.col("a").alias("comp"), F.coalesce("top", "to").alias("top"))
+    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    if comp is not None:
+        nodes = comp.select("node").unionByName(nodes).distinct().join(comp.select("node", "comp"), "node", "left")
+    else:
+        nodes = nodes.withColumn("comp", F.lit(None).cast("long"))
+    nodes = nodes.withColumn("comp", F.coalesce("comp", "node"))
+    out = staged(nodes.join(hook2, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")), "components")
+    unstage(hook)
+    return out
+
+
+def _labelled(entries: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """The entries of columns that more than one component holds, with their component."""
+    if comp is None:
+        return entries.withColumn("comp", F.col("node"))
+    all_ = entries.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = (all_.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+             .where(F.col("x") != F.col("y")).select("col"))
+    mixed = staged(mixed, "mixed")
+    out = staged(all_.join(mixed, "col"), "open")
+    unstage(mixed)
+    return out
+
+
+def _picked_pairs(open_: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b): each open entry with up to 4 ** turn entries of its column, picked by hash, of other components;
+    and the written table of picks.
+
+    In the first turn the order of the picks is one for all columns, so near copies of
+    one text meet the same pick, and a node is tried with the pick with which it shares most columns.
+    Later each column has an order of its own, and a node is tried with the picks of all its columns.
+    """
+    order = F.xxhash64("node", F.lit(turn)) if not turn else F.xxhash64("node", "col", F.lit(turn))
+    deal = F.pmod(F.xxhash64("node", F.lit(-turn)), F.lit(1 << min(2 * turn, 62)))
+    pick = open_.groupBy("col", deal.alias("d")).agg(
+        F.max_by(F.struct("node", "n", "place", "comp"), F.struct(order, "node")).alias("x"))
+    pick = staged(pick.select("col", F.col("x.node").alias("b"), F.col("x.n").alias("m"),
+                              F.col("x.place").alias("spot"), F.col("x.comp").alias("comp_b")), "picked")
+    pairs = open_.join(pick, "col").where((F.col("comp") != F.col("comp_b")) & _allowed(percent))
+    if turn:
+        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), pick
+    pairs = pairs.groupBy("node", "b").agg(F.count(F.lit(1)).alias("overlap"))
+    return pairs.groupBy(F.col("node").alias("a")).agg(F.max_by("b", F.struct("overlap", "b")).alias("b")), pick
+
+
+def _pairs_left(open_: DataFrame, node_sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): all that are left between different components, each made in the first column that it shares."""
+    # a column's main component, the one with most entries in it, is met by the others but not by itself
+    size = open_.groupBy("col", "comp").agg(F.count(F.lit(1)).alias("c"))
+    main = staged(size.groupBy("col").agg(F.max_by("comp", F.struct("c", "comp")).alias("main")), "main")
+    # ``before`` holds an entry's earlier columns; written, so that the join stands on plain exchanges, which AQE can split
+    before = F.slice("columns", 1, F.col("k")).alias("before")
+    here = staged(open_.join(main, "col").join(node_sets.select("node", "columns"), "node").select(
+        "col", F.col("node").alias("a"), "n", "place", "comp", "main", before), "here")
+    rest = here.where(F.col("comp") != F.col("main"))
+    other = here.select("col", F.col("a").alias("b"), F.col("n").alias("m"), F.col("place").alias("spot"),
+                        F.col("comp").alias("comp_b"), F.col("before").alias("before_b"))
+    pairs = rest.join(other, "col").where((F.col("comp") != F.col("comp_b")) & _allowed(percent)
+                                          & ~F.arrays_overlap("before", "before_b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _node_components(member: DataFrame, node_sets: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """(node, comp) of the nodes that have a link or a tie."""
     # rows that repeat a doc_id with another text tie their nodes together, each to the least
     least = (member.groupBy(F.col("doc_id").alias("tied")).agg(F.min("node").alias("a"), F.max("node").alias("z"))
@@ -287,46 +364,29 @@ def _node_components(member: DataFrame, node_sets: DataFrame, entries: DataFrame
             .select("a", F.col("node").alias("b")).distinct())
     ties = staged(ties, "ties")
     comp = None if ties.isEmpty() else _joined_components(None, ties)
-    for turn in range(star_rounds + 1):
-        if comp is None:
-            open_ = entries.withColumn("comp", F.col("node"))
-        else:
-            open_ = staged(entries.join(comp, "node", "left")
-                           .withColumn("comp", F.coalesce("comp", "node")), "labelled")
-            mixed = (open_.groupBy("col").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                     .where(F.col("x") != F.col("y")).select("col"))
-            open_ = staged(open_.join(staged(mixed, "mixed"), "col"), "open")
-        # a column's main component: the one with most entries in it
-        size = open_.groupBy("col", "comp").agg(F.count(F.lit(1)).alias("c"),
-                                                F.min(F.xxhash64("node", F.lit(turn))).alias("pick"))
-        main = (size.groupBy("col").agg(F.max_by(F.struct("comp", "pick"), F.struct("c", "comp")).alias("x"))
-                .select("col", F.col("x.comp").alias("main"), F.col("x.pick").alias("pick")))
-        main = staged(main, "main")
-        # written, so that the join to come stands on plain exchanges, which AQE can split
-        here = staged(open_.join(main, "col"), "here")
-        if turn < star_rounds:
-            other = here.where(F.xxhash64("node", F.lit(turn)) == F.col("pick"))
-            other = staged(other.select("col", F.col("node").alias("b"), F.col("n").alias("m"),
-                                        F.col("place").alias("spot")), "picked")
-            # in the first turn every node is its own component
-            rest = open_ if comp is None else here.where(F.col("comp") != F.col("main"))
-            pairs = rest.join(other, "col").where((F.col("node") != F.col("b")) & _allowed(percent))
-            pairs = pairs.groupBy("node", "b").agg(F.count(F.lit(1)).alias("overlap"))
-            pairs = pairs.groupBy(F.col("node").alias("a")).agg(F.max_by("b", F.struct("overlap", "b")).alias("b"))
-        else:
-            # a pair is made in the first column that it shares: ``before`` holds an entry's earlier columns
-            before = F.slice("columns", 1, F.col("k")).alias("before")
-            own = node_sets.select("node", "columns")
-            rest = staged(here.where(F.col("comp") != F.col("main")).join(own, "node")
-                          .select("col", F.col("node").alias("a"), "n", "place", "comp", before), "rest")
-            other = staged(open_.join(own, "node")
-                           .select("col", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("spot"),
-                                   F.col("comp").alias("comp_b"), before.alias("before_b")), "other")
-            pairs = rest.join(other, "col").where((F.col("comp") != F.col("comp_b")) & _allowed(percent)
-                                                  & ~F.arrays_overlap("before", "before_b"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        comp = _joined_components(comp, _links(staged(pairs.select("a", "b"), "pairs"), node_sets, percent))
-    return comp
+    found, left = [] if comp is None else [ties], entries
+    for turn in count():
+        open_ = _labelled(left, comp)
+        pairs, pick = _picked_pairs(open_, turn, percent)
+        links = _links(pairs, node_sets, percent)
+        unstage(pick)
+        if turn:
+            unstage(left)                 # columns that are closed stay closed
+        left = open_.drop("comp")
+        left._staged_path = getattr(open_, "_staged_path", None)
+        if links.isEmpty():
+            break
+        found.append(links)
+        before, comp = comp, _hooked(comp, links)
+        unstage(before)
+    if comp is not None:
+        everything = found[0].select("a", "b")
+        for links in found[1:]:
+            everything = everything.unionByName(links.select("a", "b"))
+        comp = _joined_components(comp, everything)
+    open_ = _labelled(left, comp)
+    links = _links(staged(_pairs_left(open_, node_sets, percent), "pairs"), node_sets, percent)
+    return _joined_components(comp, links)
 
 
 def _rows(sets: DataFrame, member: DataFrame, comp: DataFrame, *more: str) -> DataFrame:
@@ -338,10 +398,10 @@ def _rows(sets: DataFrame, member: DataFrame, comp: DataFrame, *more: str) -> Da
     return out.select(real("doc_id"), "n", real("component_id"), *more)
 
 
-def components(sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n, component_id) from ``shingle_sets``."""
     nodes = _nodes(sets)
-    return _rows(sets, nodes[0], _node_components(*nodes, percent, star_rounds))
+    return _rows(sets, nodes[0], _node_components(*nodes, percent))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
@@ -390,17 +450,33 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     count = reach.join(again, "a", "left").select(
         F.col("a").alias("node"), (F.col("reach") - F.coalesce("again", F.lit(0)) - 1).alias("n_links"))
     count = staged(count, "link-counts")
-    comp = _node_components(member, node_sets, entries, percent, STAR_ROUNDS)
+    comp = _node_components(member, node_sets, entries, percent)
     return _rows(sets, member.join(count, "node"), comp, "n_links"), each, links
 
 
+#: Stand-ins for the ids of rows that share theirs or lack one; larger than any id that has a row to itself.
+_STAND_IN = 1 << 62
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
                      percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id; columns unchanged.
+    """``docs`` with one row of each component, that of the smallest doc_id; columns unchanged.
 
-    Documents with a null doc_id have no id to be dropped by, and stay.
+    Rows that share a doc_id, or have none, are judged row by row: each text
+    stands for itself under a stand-in, a hash of id and text, so a text of such a row
+    is dropped only for a text that it links with. (Equal rows fare alike.)
     """
-    c = jaccard_components(docs, id_col, text_col, n, percent)
-    gone = c.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone_id")).distinct()
+    rid, gone_id, many = unused(docs, "_near_id", "_near_gone", "_near_many")
+    own = quoted(id_col).cast("long")
+    shared = docs.where(own.isNotNull()).groupBy(own.alias(many)).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = staged(shared.select(many), "shared-ids")
+    stand_in = F.xxhash64(own, quoted(text_col)).bitwiseAND(F.lit(_STAND_IN - 1)).bitwiseOR(F.lit(_STAND_IN))
+    if shared.isEmpty():
+        named = docs.withColumn(rid, F.coalesce(own, stand_in))
+    else:
+        named = docs.join(shared, own == F.col(many), "left")
+        named = named.withColumn(rid, F.when(F.col(many).isNotNull() | own.isNull(), stand_in).otherwise(own)).drop(many)
+    c = jaccard_components(named, rid, text_col, n, percent)
+    gone = c.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone_id)).distinct()
     gone = staged(gone, "near-copies")
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    return named.join(gone, named[rid] == gone[gone_id], "left_anti").drop(rid)

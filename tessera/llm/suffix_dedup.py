@@ -373,7 +373,7 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 0 < anchor < length < 256:
         raise ValueError("anchors are shorter than the strings, which have under 256 bytes")
     n = block_count(docs, text_col)
-    t = chunked(docs, n, id_col, text_col)
+    t = chunked(docs, n, id_col, text_col, by_row=True)
     anchors = per_block(per_chunk(t, _send_anchors(length, anchor, n), PACKED), [np.uint32], _repeated)
     sent = with_replies(t, anchors, _send_contexts(length, anchor, n, hot), _KINDS)
     found = sent.groupBy("block").applyInArrow(_resolve(length, anchor), _KINDS)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, staged, text_of
+from .common import WS, quoted, staged, text_of, unused
 
 PREFIX_CHARS = 64
 
@@ -93,15 +93,16 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     keys = _grouped(staged(key_table(docs, id_col, text_col, raw=True), "exact-keys"))
     wins = F.col("n").isNull() | (F.col("doc_id").eqNullSafe(F.col("b.i")) & (F.col("raw") == F.col("b.raw")))
-    rows = keys.groupBy(F.col("doc_id").alias("_row_id"), F.col("raw").alias("_row_raw")).agg(
-        F.max(wins).alias("_row_wins"), F.count(F.lit(1)).alias("_row_n"))
-    rows = staged(rows.where(~F.col("_row_wins") | (F.col("_row_n") > 1)), "exact-rows")
+    rid, rraw, rwins, rn = unused(docs, "_row_id", "_row_raw", "_row_wins", "_row_n")
+    rows = keys.groupBy(F.col("doc_id").alias(rid), F.col("raw").alias(rraw)).agg(
+        F.max(wins).alias(rwins), F.count(F.lit(1)).alias(rn))
+    rows = staged(rows.where(~F.col(rwins) | (F.col(rn) > 1)), "exact-rows")
     raw = F.unhex(F.sha2(text_of(text_col), 256))
-    is_row = F.col(id_col).eqNullSafe(F.col("_row_id")) & (raw == F.col("_row_raw"))
+    is_row = quoted(id_col).eqNullSafe(F.col(rid)) & (raw == F.col(rraw))
     out = docs.join(rows, is_row, "left_anti")
-    several = rows.where("_row_wins")
+    several = rows.where(rwins)
     if several.isEmpty():
         return out
-    one = (docs.join(several, is_row, "left_semi").withColumn("_row_raw", raw)
-           .dropDuplicates([id_col, "_row_raw"]).drop("_row_raw"))
+    one = (docs.join(several, is_row, "left_semi").withColumn(rraw, raw)
+           .dropDuplicates([id_col, rraw]).drop(rraw))
     return out.unionByName(one)

@@ -6,6 +6,7 @@ derives the digest columns of its result from the operator's output.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 
@@ -34,6 +35,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def __getattr__(name: str) -> str:
+    """TOKENIZERS: the folder of the public tokenizers' files."""
+    if name == "TOKENIZERS":
+        return os.path.dirname(tokenizer_file("word_bpe_49k.json"))
+    raise AttributeError(name)
+
+
 @_register(sql.LINES)
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import apply_bitmaps, keep_bitmaps

@@ -36,9 +36,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, find, joined, per_block,
                      per_chunk, to_blocks, with_replies)
+from .common import quoted, unused
 from .words import mix64, ngram_hashes, pieces, window_places, word_hashes, word_spans
 
 K = 13
@@ -158,7 +160,7 @@ def _send_sources(table: pa.Table, asked: pa.Table) -> pa.Table:
                      "source_text": table["t"].take(pa.array(i, pa.int64())).cast(pa.string())})
 
 
-def _cut(k: int, m: int):
+def _cut(k: int, m: int, as_is: bool):
     """Compacts later edges to paths, verifies these in their sources, cuts their words."""
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         is_text = replies["source"].is_valid().to_numpy() if replies.num_rows else np.zeros(0, bool)
@@ -193,7 +195,7 @@ def _cut(k: int, m: int):
                             keep[p + j:p + j + k] = False
                 words = [w for w, y in zip(words, keep.tolist()) if y]
             gone.append(total[-1] - len(words))
-            kept.append(b" ".join(words).decode())
+            kept.append(t if as_is and not gone[-1] else b" ".join(words).decode())
         ids = table["doc_id"].to_numpy() if table.num_rows else np.zeros(0, np.int64)
         out = pa.table({"doc_id": pa.array(ids, mask=ids == NULL_ID), "text": pa.array(kept, pa.string()),
                         "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())})
@@ -202,12 +204,18 @@ def _cut(k: int, m: int):
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     k: int = K, anchor: int = ANCHOR, carry: Sequence[str] = ()) -> DataFrame:
+                     k: int = K, anchor: int = ANCHOR, carry: Sequence[str] = (), as_is: bool = False) -> DataFrame:
     """(doc_id, text, n_words, n_removed) per document: the kept words, joined by one space.
 
-    Columns named in ``carry`` come along as the struct ``extra``.
+    Columns named in ``carry`` come along as the struct ``extra``. With
+    ``as_is`` a document that loses nothing keeps its text as it stands, and
+    ``has_text`` says whether it had one.
     """
     n = block_count(docs, text_col)
+    has, = unused(docs, "has_text")
+    if as_is:
+        docs = docs.withColumn(has, quoted(text_col).isNotNull())
+        carry = [*carry, has]
     t = chunked(docs, n, id_col, text_col, carry)
     anchors = per_block(per_chunk(t, _send_anchors(k, anchor, n), PACKED), [np.uint8], _shared_anchors)
     edges = per_block(with_replies(t, anchors, _send_edges(k, anchor, n), PACKED),
@@ -218,5 +226,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     replies = (edges.select("chunk", "n", "body").withColumn("source", F.lit(None).cast("long"))
                .withColumn("source_text", F.lit(None).cast("string"))
                .unionByName(texts.withColumn("n", F.lit(None).cast("long")).withColumn("body", F.lit(None).cast("binary"))))
-    schema = _TEXT + (f", extra {dict(t.dtypes)['extra']}" if carry else "")
-    return with_replies(t, replies, _cut(k, anchor), schema)
+    schema = StructType.fromDDL(_TEXT)
+    if carry:
+        schema = schema.add("extra", t.schema["extra"].dataType)
+    out = with_replies(t, replies, _cut(k, anchor, as_is), schema)
+    return out.withColumn("has_text", F.col("extra")[has]) if as_is else out

@@ -12,7 +12,7 @@ import pytest
 from conftest import SF_MID, SF_SMALL
 from pyspark.sql import functions as F
 
-from tessera.llm import lm_scoring, packing, queries, sentencepiece_fst, toxicity
+from tessera.llm import lm_scoring, ngram_jaccard, packing, queries, sentencepiece_fst, toxicity
 
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -246,7 +246,9 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     near = near.persist()
     cut = stages["substring_dedup"](spark, near, SF_SMALL)
     assert cut.columns == names
-    want = {r[0]: r[3] for r in brute.substrings(pairs(near))}
+    # a document that loses nothing keeps its text as it stands
+    before = {d: brute.sha(t) for d, t in pairs(near)}
+    want = {r[0]: r[3] if r[2] else before[r[0]] for r in brute.substrings(pairs(near))}
     assert {d: brute.sha(t) for d, t in pairs(cut)} == want
     other = [c for c in names if c not in ("text", "n_chars")]
     assert sorted(map(tuple, cut.select(*other).collect())) == sorted(map(tuple, near.select(*other).collect()))
@@ -256,6 +258,36 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
         df.unpersist()
 
 
+def test_near_copies_are_dropped_by_row(spark):
+    """A text that occurs once stays, whatever other rows its doc_id has; so do texts without an id."""
+    r = random.Random(4)
+    a, b, c = (" ".join(f"w{r.randrange(5000)}" for _ in range(60)) for _ in range(3))
+    found = [(1, a), (50, a + " end"), (50, b), (None, b + " more"), (None, c), (None, None), (None, ""), (7, "short")]
+    docs = spark.createDataFrame([(*f, 1, "x") for f in found], "doc_id long, text string, _near_id int, `a.b` string")
+    got = ngram_jaccard.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    texts = sorted((r["doc_id"], r["text"]) for r in got.collect() if r["doc_id"] is not None)
+    assert texts in ([(1, a), (7, "short"), (50, b)], [(1, a), (7, "short")])
+    everything = {r["text"] for r in got.collect()}
+    assert {a, c, "", None, "short"} <= everything and len(everything & {b, b + " more"}) == 1
+
+
+def test_stages_take_any_column_names(spark):
+    names = "doc_id long, text string, n_chars long, _row_id int, _row_raw int, `a.b` string, has_text string, _near_id int"
+    w = " ".join(f"w{i}" for i in range(40))
+    found = [(1, w, 5, 1, 2, "p", "q", 3), (2, "x\n" + w, 5, 1, 2, "p", "q", 3), (3, None, None, 1, 2, None, "q", 3),
+             (4, "  kept \n as it is", 9, 1, 2, "p", None, 3), (5, w + " ", 5, 1, 2, "p", "q", 3)]
+    docs = spark.createDataFrame(found, names)
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["exact_dedup"](spark, docs, SF_SMALL)
+    assert one.columns == docs.columns and sorted(r["doc_id"] for r in one.collect()) == [2, 3, 4, 5]
+    cut = stages["substring_dedup"](spark, docs, SF_SMALL)
+    assert cut.columns == docs.columns
+    got = {r["doc_id"]: tuple(r) for r in cut.collect()}
+    assert got[1] == found[0] and got[3] == found[2] and got[4] == found[3]
+    assert got[2] == (2, "x", 1, *found[1][3:]) and got[5][:3] == (5, "", 0)
+
+
 def test_pipeline_stages_on_messy_and_empty_rows(spark, tmp_path):
     from pyspark.sql import types as T
     d = str(tmp_path)

@@ -5,9 +5,9 @@ returns is written as Parquet to the shared folder and read again as the next
 stage's docs. All but the last return the columns of documents. Part of the
 ``tessera.llm`` subpackage.
 
-Empty tables pass through; a null text counts as empty; exact copies are
-dropped by row, near copies by doc_id (rows with a null doc_id stay there);
-columns that documents may have beyond its own travel along.
+Empty tables pass through; a null text counts as empty; exact and near copies
+are dropped by row, whatever their doc_ids; columns that documents may have
+beyond its own travel along.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from tessera.llm.common import read_table, staged
 from tessera.llm.exact_dedup import drop_exact_copies
 from tessera.llm.ngram_jaccard import drop_near_copies
 from tessera.llm.packing import pack
-from tessera.llm.queries import TOKENIZERS
+from tessera.llm.queries import tokenizer_file
 from tessera.llm.substring_dedup import dedup_substrings
 from tessera.llm.toxicity import THRESHOLD, toxicity
 from tessera.session import prepare_session
@@ -47,25 +47,29 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that an earlier document has go; every document stays, with what is left."""
+    """Words of passages that an earlier document has go; every document stays, with what is left.
+
+    A document that loses nothing keeps its row as it is; of the others the
+    words left are joined by one space and n_chars is taken anew.
+    """
     prepare_session(spark)
-    own = [c for c in docs.columns if c != "text"]
-    cut = dedup_substrings(docs, carry=own)
-    cols = []
-    for c in docs.columns:
+    cut = dedup_substrings(docs, carry=[c for c in docs.columns if c != "text"], as_is=True)
+    lost = F.col("n_removed") > 0
+
+    def column(c):
         if c == "text":
-            cols.append(F.col("text"))
-        elif c == "n_chars":
-            cols.append(F.char_length("text").cast(docs.schema[c].dataType).alias(c))
-        else:
-            cols.append(F.col("extra")[c].alias(c))
-    return cut.select(*cols)
+            return F.when(lost | F.col("has_text"), F.col("text"))
+        own = F.col("extra")[c]
+        if c == "n_chars":
+            return F.when(lost, F.char_length("text").cast(docs.schema[c].dataType)).otherwise(own)
+        return own
+    return cut.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
     prepare_session(spark)
-    return pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

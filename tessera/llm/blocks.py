@@ -13,8 +13,8 @@ chunk and block counts follow the input size, so the memory of a task does
 not grow with the input.
 
 Packed columns are byte planes (all lowest bytes, then all next bytes, ...) of
-sorted hash differences and integers: their high planes are nearly constant
-and vanish in Spark's shuffle compression.
+sorted hash differences and integers, compressed with an entropy coder: high
+planes are nearly constant and vanish, small counts take a few bits.
 """
 
 from __future__ import annotations
@@ -80,10 +80,14 @@ def packed(body_of: list[tuple[int, int, int, bytes]]) -> pa.Table:
                      "n": pa.array(n, pa.int64()), "body": pa.array(body, pa.binary())})
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
 def _body(h: np.ndarray, cols: list[np.ndarray]) -> bytes:
     d = h.copy()
     d[1:] -= h[:-1]
-    return b"".join([planes(d), *map(planes, cols)])
+    return _codec().compress(b"".join([planes(d), *map(planes, cols)]), asbytes=True)
 
 
 def to_blocks(chunk: int, n_blocks: int, h: np.ndarray, cols: list[np.ndarray]) -> pa.Table:
@@ -100,9 +104,10 @@ def to_blocks(chunk: int, n_blocks: int, h: np.ndarray, cols: list[np.ndarray])
 
 def unpack(table: pa.Table, dtypes: list) -> list[tuple[np.ndarray, ...]]:
     """Per row: the hashes and the columns."""
-    out = []
+    out, codec = [], _codec()
+    size = 8 + sum(np.dtype(d).itemsize for d in dtypes)
     for n, body in zip(table["n"].to_pylist(), table["body"].to_pylist()):
-        view, at = memoryview(body), 8 * n
+        view, at = memoryview(codec.decompress(body, decompressed_size=n * size, asbytes=True)), 8 * n
         cols = [np.cumsum(unplanes(view, n, np.uint64), dtype=np.uint64)]
         for d in dtypes:
             cols.append(unplanes(view[at:], n, d))

@@ -19,12 +19,15 @@ into chunks and the table into blocks (see ``blocks``).
    models. A bigram's key is a permutation of (id, id), so no two bigrams share
    one; a frequent bigram is one entry per chunk. The counts of a word, and of
    a word as left side, are entries too, with ``TOTAL`` in the other place.
-4. Blocks add up and send each chunk the totals of its own bigrams, from which
-   the chunk scores its documents.
+4. Blocks add up and send each chunk those totals that differ from its own
+   counts, from which and from these the chunk scores its documents. Most
+   bigrams occur in one chunk only and need no answer.
 
 ``P(w | v) = (c(v, w) + PRIOR * P(w)) / (c(v) + PRIOR)`` with
 ``P(w) = (c(w) + 1) / (N + size)``; a text's first word follows a start token.
-Words are told apart by 64-bit hashes.
+Words are told apart by 64-bit hashes. A bigram's key holds two ids of 32
+bits, so a vocabulary of 2 ** 32 ids or more is refused with an error, never
+mixed up; ``vocabulary`` then bounds it by count.
 
 Defined results: null and empty text have 0 tokens and null losses and score;
 labels that repeat an id count once, null ids and labels not at all; without
@@ -150,55 +153,62 @@ def _pack_ids(table: pa.Table) -> pa.Table:
     return packed([(-1, table["chunk"][0].as_py(), len(ids), ids.tobytes())])
 
 
+def _entries(table: pa.Table, replies: pa.Table, n_blocks: int, bits: int):
+    """A chunk's tokens and its own counts: (tokens, keys, [background, target] counts).
+
+    Keys are of its bigrams, then of its words, its left sides, and of all tokens.
+    """
+    block = replies["block"].to_numpy() if replies.num_rows else np.zeros(0, np.int64)
+    good = [np.frombuffer(b, np.int64) for b in replies.filter(pa.array(block < 0))["body"].to_pylist()]
+    good = np.isin(table["doc_id"].to_numpy(), np.concatenate(good)) if good else np.zeros(table.num_rows, bool)
+    k = _Tokens(table, replies.filter(pa.array((block >= 0) & (block < PAIRS))), n_blocks)
+    both = (np.bincount(k.pair, minlength=len(k.word)),
+            np.bincount(k.pair[good[k.row]], minlength=len(k.word)))
+    v, w = k.ids[k.before], k.ids[k.word]
+    total = np.full(len(k.ids), TOTAL, np.uint64)
+    key = _keys(np.concatenate([v, total, k.ids, total[:1]]), np.concatenate([w, k.ids, total, total[:1]]), bits)
+
+    def of(at, n):
+        return np.bincount(at, weights=n, minlength=len(k.ids)).astype(np.int64)
+    return k, key, [np.concatenate([n, of(k.word, n), of(k.before, n), [n.sum()]]).astype(np.int64) for n in both]
+
+
 def _send_pairs(n_blocks: int, n_pair_blocks: int, bits: int):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return packed([])
-        block = replies["block"].to_numpy()
-        good = [np.frombuffer(b, np.int64) for b in replies.filter(pa.array(block < 0))["body"].to_pylist()]
-        good = np.isin(table["doc_id"].to_numpy(), np.concatenate(good)) if good else np.zeros(table.num_rows, bool)
-        k = _Tokens(table, replies.filter(pa.array(block >= 0)), n_blocks)
-        both = (np.bincount(k.pair, minlength=len(k.word)),
-                np.bincount(k.pair[good[k.row]], minlength=len(k.word)))
-        v, w = k.ids[k.before], k.ids[k.word]
-        of = lambda at: [np.bincount(at, weights=n, minlength=len(k.ids)).astype(np.int64) for n in both]
-        word, left = of(k.word), of(k.before)
-        total = np.full(len(k.ids), TOTAL, np.uint64)
-        key = _keys(np.concatenate([v, total, k.ids, total[:1]]), np.concatenate([w, k.ids, total, total[:1]]), bits)
-        n = [np.concatenate([p, a, b, [p.sum()]]).astype(np.uint32) for p, a, b in zip(both, word, left)]
+        _, key, counts = _entries(table, replies, n_blocks, bits)
         order = np.argsort(key)
-        return to_blocks(table["chunk"][0].as_py(), n_pair_blocks, key[order], [c[order] for c in n])
+        return to_blocks(table["chunk"][0].as_py(), n_pair_blocks, key[order],
+                         [c[order].astype(np.uint32) for c in counts])
     return run
 
 
 def _add(first: np.ndarray, run_of: np.ndarray, cols: list[np.ndarray]):
-    return np.ones(len(run_of), bool), [np.add.reduceat(c.astype(np.int64), first)[run_of] for c in cols]
+    """Totals, for those that sent less: what only one chunk has, it knows already."""
+    totals = [np.add.reduceat(c.astype(np.int64), first)[run_of] for c in cols]
+    return (totals[0] != cols[0]) | (totals[1] != cols[1]), totals
 
 
 def _scores(n_blocks: int, bits: int, size: int):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = replies["block"].to_numpy()
-        k = _Tokens(table, replies.filter(pa.array(block < PAIRS)), n_blocks)
-        keys, *totals = joined(replies.filter(pa.array(block >= PAIRS)), [np.int64, np.int64])
-
-        def count(v, w):
-            hit, at = find(_keys(v, w, bits), keys)
-            if not hit.all():
-                raise ValueError("a bigram of the chunk has no total")
-            return [t[at].astype(float) for t in totals]
         rows = table.num_rows
-        n = np.bincount(k.row, minlength=rows)
-        losses = []
-        if len(k.row):
-            total = np.full(len(k.ids), TOTAL, np.uint64)
-            models = zip(count(k.ids[k.before], k.ids[k.word]), count(k.ids, total), count(total, k.ids),
-                         count(total[:1], total[:1]))
-            for pair, left, word, tokens in models:
+        block = replies["block"].to_numpy() if replies.num_rows else np.zeros(0, np.int64)
+        n, losses = np.zeros(rows, np.int64), [np.zeros(rows), np.zeros(rows)]
+        if rows:
+            k, key, counts = _entries(table, replies, n_blocks, bits)
+            shared, *totals = joined(replies.filter(pa.array(block >= PAIRS)), [np.int64, np.int64])
+            hit, at = find(key, shared)
+            pairs, words = len(k.word), len(k.ids)
+            n = np.bincount(k.row, minlength=rows)
+            for m, (own, total) in enumerate(zip(counts, totals)):
+                count = own.astype(float)
+                count[hit] = total[at[hit]]
+                pair, word = count[:pairs], count[pairs:pairs + words]
+                left, tokens = count[pairs + words:-1], count[-1]
                 p = (word + 1) / (tokens + size)
                 q = (pair + PRIOR * p[k.word]) / (left[k.before] + PRIOR)
-                losses.append(np.bincount(k.row, weights=-np.log(q)[k.pair], minlength=rows) / np.maximum(n, 1))
-        else:
-            losses = [np.zeros(rows), np.zeros(rows)]
+                losses[m] = np.bincount(k.row, weights=-np.log(q)[k.pair], minlength=rows) / np.maximum(n, 1)
         background, target = losses
         ids = table["doc_id"].to_numpy() if rows else np.zeros(0, np.int64)
         none = n == 0
@@ -235,5 +245,5 @@ def cross_entropy_difference(docs: DataFrame, good: DataFrame, id_col: str = "do
     ids = per_block(per_chunk(t, _send_words(blocks), PACKED), [np.uint32], _number(least))
     pairs = with_replies(t, ids.unionByName(target), _send_pairs(blocks, pair_blocks, bits), PACKED)
     totals = per_block(pairs, [np.uint32, np.uint32], _add).withColumn("block", F.col("block") + F.lit(PAIRS))
-    return with_replies(t, ids.unionByName(totals), _scores(blocks, bits, words + 2),
+    return with_replies(t, ids.unionByName(target).unionByName(totals), _scores(blocks, bits, words + 2),
                         "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

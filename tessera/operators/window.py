@@ -4,8 +4,8 @@ Group totals on every row are computed as a partial aggregate joined back
 rather than as a window over the group: a window puts each group into one
 task, while the aggregate is combined map-side and the join's hot detail
 side is split by AQE skew handling. Only the lag (WN1) needs the rows of a
-group in order: a window by default, or a self-join on global row numbers
-when a group may be hot.
+group in order; it works on sorted range partitions, and a partition's first
+row looks at the last row of the one before.
 """
 
 from __future__ import annotations

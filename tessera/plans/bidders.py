@@ -1,8 +1,8 @@
 """Bidder flow: bid log + bidder table -> feature table -> models -> submission.
 
 Plan shape (FE15):
-  bids --lag (global numbering + self-join on the row number, so a hot
-  (bidder, auction) is spread)--> per (bidder, auction) partial aggregate
+  bids --lag (sorted range partitions, so a hot (bidder, auction) is
+  spread)--> per (bidder, auction) partial aggregate
   --> per bidder aggregate.
   bids --shuffle on auction--> winner per auction --> wins per winner.
   bidders(split) left-join both per-bidder tables (all keyed on bidder_id).
@@ -22,6 +22,7 @@ from ..operators.relate import with_row
 # fixed values: predictor names of the reference bidder model
 PREDICTORS = ["nofdev", "nofurl", "avgnofbids", "avgtimediff", "nofmer", "nofauc", "nofwins"]
 
+# fixed values: the feature table's columns, in order
 FEATURE_COLUMNS = ["bidder_id", "nofbids", "outcome", "nofdev", "nofurl", "nofctry", "avgnofbids",
                    "avgtimediff", "nofmer", "nofauc", "nofwins", "nofwins2", "winpct"]
 

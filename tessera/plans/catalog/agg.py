@@ -93,7 +93,7 @@ l AS (SELECT bidder_id, auction, count(bid_id) AS nb, count(DISTINCT device) AS
 SELECT bidder_id, avg(nb) AS avgnofbids, avg(dev) AS nofdev, count(auction) AS nofauc
 FROM l GROUP BY bidder_id""")
 def two_level_agg(spark, d):
-    """AG10: per (bidder, auction), then per bidder (second level adds no shuffle)."""
+    """AG10: per (bidder, auction), then per bidder (a second, smaller shuffle on the bidder)."""
     return A.two_level_agg(fx.bids(spark, d), ["bidder_id"], ["auction"],
                            {"nb": F.count("bid_id"), "dev": A.nunique("device")},
                            {"avgnofbids": F.avg("nb"), "nofdev": F.avg("dev"), "nofauc": F.count("auction")})

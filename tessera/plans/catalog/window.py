@@ -139,6 +139,17 @@ def stratified_split(spark, d):
     return WN.stratified_split(i, "Category", "row_id", 0.5, 0.1, seed=1)
 
 
+@query("stratified_split_counts", ["incidents"], """
+n AS (SELECT Category, count(*) AS n FROM incidents WHERE split = 'train' GROUP BY Category),
+c AS (SELECT Category, n, CAST(floor(n * 0.5 + 0.5) AS BIGINT) AS tr, CAST(floor(n * 0.1 + 0.5) AS BIGINT) AS te FROM n),
+p AS (SELECT Category, 'train' AS part, tr AS n_rows FROM c UNION ALL SELECT Category, 'test', te FROM c
+      UNION ALL SELECT Category, NULL, n - tr - te FROM c)
+SELECT Category, part, n_rows FROM p WHERE n_rows > 0""")
+def stratified_split_counts(spark, d):
+    """WN12: rows of every class and part of the split (the draw itself is seeded, its counts are exact)."""
+    return stratified_split(spark, d).groupBy("Category", "part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("row_number_global", None, """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders""")
 def row_number_global(spark, d):

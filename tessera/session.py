@@ -68,8 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Make this package's functions usable in the Python workers.
 
-    The few operators that run Python on executors (the image rotation, the
-    ANOVA p-value) reference functions of this package. They are pickled by
+    The operators that run Python on executors (the image rotation, the block
+    fits) reference functions of this package. They are pickled by
     value into the task closures, so workers need no copy of the package and
     no file is written anywhere.
     """

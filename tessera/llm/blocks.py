@@ -80,14 +80,14 @@ def packed(body_of: list[tuple[int, int, int, bytes]]) -> pa.Table:
                      "n": pa.array(n, pa.int64()), "body": pa.array(body, pa.binary())})
 
 
-def _codec() -> pa.Codec:
+def codec() -> pa.Codec:
     return pa.Codec("zstd", compression_level=1)
 
 
 def _body(h: np.ndarray, cols: list[np.ndarray]) -> bytes:
     d = h.copy()
     d[1:] -= h[:-1]
-    return _codec().compress(b"".join([planes(d), *map(planes, cols)]), asbytes=True)
+    return codec().compress(b"".join([planes(d), *map(planes, cols)]), asbytes=True)
 
 
 def to_blocks(chunk: int, n_blocks: int, h: np.ndarray, cols: list[np.ndarray]) -> pa.Table:
@@ -104,10 +104,10 @@ def to_blocks(chunk: int, n_blocks: int, h: np.ndarray, cols: list[np.ndarray])
 
 def unpack(table: pa.Table, dtypes: list) -> list[tuple[np.ndarray, ...]]:
     """Per row: the hashes and the columns."""
-    out, codec = [], _codec()
+    out, unzip = [], codec()
     size = 8 + sum(np.dtype(d).itemsize for d in dtypes)
     for n, body in zip(table["n"].to_pylist(), table["body"].to_pylist()):
-        view, at = memoryview(codec.decompress(body, decompressed_size=n * size, asbytes=True)), 8 * n
+        view, at = memoryview(unzip.decompress(body, decompressed_size=n * size, asbytes=True)), 8 * n
         cols = [np.cumsum(unplanes(view, n, np.uint64), dtype=np.uint64)]
         for d in dtypes:
             cols.append(unplanes(view[at:], n, d))

@@ -44,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, find, joined, packed, per_block,
-                     per_chunk, to_blocks, with_replies)
+from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, codec, find, joined, packed, per_block,
+                     per_chunk, planes, to_blocks, unpack, unplanes, with_replies)
 from .common import small_batches, staged, text_of
 from .words import mix64, pieces, word_hashes, word_spans
 
@@ -184,26 +184,65 @@ def _send_pairs(n_blocks: int, n_pair_blocks: int, bits: int):
     return run
 
 
-def _add(first: np.ndarray, run_of: np.ndarray, cols: list[np.ndarray]):
-    """Totals, for those that sent less: what only one chunk has, it knows already."""
-    totals = [np.add.reduceat(c.astype(np.int64), first)[run_of] for c in cols]
-    return (totals[0] != cols[0]) | (totals[1] != cols[1]), totals
+def _block_of(key: np.ndarray, n_blocks: int) -> np.ndarray:
+    """The block of each key, as ``to_blocks`` deals them."""
+    return ((key >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
 
 
-def _scores(n_blocks: int, bits: int, size: int):
+def _add(table: pa.Table) -> pa.Table:
+    """Totals of a block's entries, sent back by place: a chunk knows what it sent in which order.
+
+    A body has a bit for each entry sent, set where the total differs from what
+    was sent, and then these totals. What only one chunk has needs no answer.
+    """
+    table = table.combine_chunks()
+    rows = unpack(table, [np.uint32, np.uint32])
+    h = np.concatenate([r[0] for r in rows])
+    order = np.argsort(h, kind="stable")
+    ranked = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first, run = np.flatnonzero(new), np.cumsum(new) - 1
+    own = [np.concatenate([r[c] for r in rows]).astype(np.int64) for c in (1, 2)]
+    totals = [np.empty(len(h), np.int64) for _ in own]
+    for c, total in zip(own, totals):
+        total[order] = np.add.reduceat(c[order], first)[run]
+    differs = (totals[0] != own[0]) | (totals[1] != own[1])
+    ends = np.cumsum([len(r[0]) for r in rows])
+    out = []
+    for b, c, a, e in zip(table["block"].to_pylist(), table["chunk"].to_pylist(), [0, *ends.tolist()], ends.tolist()):
+        d = differs[a:e]
+        if d.any():
+            body = np.packbits(d).tobytes() + b"".join(planes(x[a:e][d]) for x in totals)
+            out.append((b, c, int(d.sum()), codec().compress(body, asbytes=True)))
+    return packed(out)
+
+
+def _answered(order: np.ndarray, key: np.ndarray, counts: list[np.ndarray], replies: pa.Table, n_blocks: int) -> None:
+    """Put the totals of the replies in place of a chunk's own counts; ``order`` sorts its keys."""
+    block = _block_of(key[order], n_blocks)
+    for b, n, body in zip(*(replies[c].to_pylist() for c in ("block", "n", "body"))):
+        lo, hi = np.searchsorted(block, np.array([b - PAIRS, b - PAIRS + 1], np.uint64)).tolist()
+        bits = -(-(hi - lo) // 8)
+        raw = memoryview(codec().decompress(body, decompressed_size=bits + 16 * n, asbytes=True))
+        at = order[lo:hi][np.unpackbits(np.frombuffer(raw, np.uint8, bits), count=hi - lo).astype(bool)]
+        if len(at) != n:
+            raise ValueError("a reply does not fit what the chunk sent")
+        for i, c in enumerate(counts):
+            c[at] = unplanes(raw[bits + 8 * n * i:], n, np.int64)
+
+
+def _scores(n_blocks: int, n_pair_blocks: int, bits: int, size: int):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         rows = table.num_rows
         block = replies["block"].to_numpy() if replies.num_rows else np.zeros(0, np.int64)
         n, losses = np.zeros(rows, np.int64), [np.zeros(rows), np.zeros(rows)]
         if rows:
             k, key, counts = _entries(table, replies, n_blocks, bits)
-            shared, *totals = joined(replies.filter(pa.array(block >= PAIRS)), [np.int64, np.int64])
-            hit, at = find(key, shared)
+            _answered(np.argsort(key), key, counts, replies.filter(pa.array(block >= PAIRS)), n_pair_blocks)
             pairs, words = len(k.word), len(k.ids)
             n = np.bincount(k.row, minlength=rows)
-            for m, (own, total) in enumerate(zip(counts, totals)):
-                count = own.astype(float)
-                count[hit] = total[at[hit]]
+            for m, count in enumerate(c.astype(float) for c in counts):
                 pair, word = count[:pairs], count[pairs:pairs + words]
                 left, tokens = count[pairs + words:-1], count[-1]
                 p = (word + 1) / (tokens + size)
@@ -244,6 +283,6 @@ def cross_entropy_difference(docs: DataFrame, good: DataFrame, id_col: str = "do
     target = per_chunk(target.select(chunk_of(F.col("doc_id"), blocks).alias("chunk"), "doc_id"), _pack_ids, PACKED)
     ids = per_block(per_chunk(t, _send_words(blocks), PACKED), [np.uint32], _number(least))
     pairs = with_replies(t, ids.unionByName(target), _send_pairs(blocks, pair_blocks, bits), PACKED)
-    totals = per_block(pairs, [np.uint32, np.uint32], _add).withColumn("block", F.col("block") + F.lit(PAIRS))
-    return with_replies(t, ids.unionByName(target).unionByName(totals), _scores(blocks, bits, words + 2),
+    totals = pairs.groupBy("block").applyInArrow(_add, PACKED).withColumn("block", F.col("block") + F.lit(PAIRS))
+    return with_replies(t, ids.unionByName(target).unionByName(totals), _scores(blocks, pair_blocks, bits, words + 2),
                         "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

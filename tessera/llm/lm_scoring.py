@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, codec, find, joined, packed, per_block,
                      per_chunk, planes, to_blocks, unpack, unplanes, with_replies)
-from .common import small_batches, staged, text_of
+from .common import small_batches, staged, text_of, unstage
 from .words import mix64, pieces, word_hashes, word_spans
 
 #: Words with fewer occurrences in the whole corpus are <unk>.
@@ -91,7 +91,9 @@ def _vocabulary(docs: DataFrame, text_col: str, size: int | None, n_blocks: int)
     block = F.shiftrightunsigned(F.shiftrightunsigned("word", 32) * F.lit(n_blocks).cast("long"), 32)
     kept = counts.where(F.col("n") >= least).groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("c"))
     words, most = kept.agg(F.sum("c"), F.max("c")).first()
-    return least, words or 0, most or 0, counts.agg(F.sum("n")).first()[0] or 0
+    tokens = counts.agg(F.sum("n")).first()[0]
+    unstage(counts)
+    return least, words or 0, most or 0, tokens or 0
 
 
 class _Tokens:

@@ -121,7 +121,7 @@ def _flow(bids: DataFrame, bidders: DataFrame, num_trees: int, max_depth: int, l
                        PREDICTORS).checkpoint()
 
     def rf(d):
-        return M.random_forest("label", "features", num_trees, 2, max_depth).fit(d)
+        return M.random_forest("label", "features", num_trees, 2, max_depth, key=["bidder_id"]).fit(d)
 
     def lr(d):
         return M.logistic(d.count(), "label", "features", lr_iter).fit(d)  # C = 1: one over the rows fitted on

@@ -113,7 +113,7 @@ def _flow(p: DataFrame, num_trees: int, max_depth: int, lr_iter: int):
     feats = feats.withColumn("label", F.col("Survived").cast("double")).checkpoint()
 
     def rf(d):
-        return M.random_forest("label", "f_rf", num_trees, 3, max_depth).fit(d)
+        return M.random_forest("label", "f_rf", num_trees, 3, max_depth, key=["row_id"]).fit(d)
 
     def lr(d):
         return M.logistic(d.count(), "label", "f_lr", lr_iter).fit(d)  # C = 1: one over the rows fitted on

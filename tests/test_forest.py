@@ -64,9 +64,9 @@ def plain(bins, y, w, k, m, min_leaf, depth, path):
 
 
 @pytest.mark.parametrize("classes", [2, 3])
-@pytest.mark.parametrize("local", [1 << 18, 100])
+@pytest.mark.parametrize("local", [1 << 19, 100])
 def test_equals_trees_grown_row_by_row(spark, monkeypatch, classes, local):
-    monkeypatch.setattr(FO, "LOCAL_WEIGHT", local)
+    monkeypatch.setattr(FO, "LOCAL_ROWS", local)
     x, y = rows(classes=classes)
     df = frame(spark, x, y)
     model = forest().fit(df)
@@ -87,7 +87,8 @@ def test_same_forest_whatever_the_partitioning(spark):
     a = scores(forest().fit(frame(spark, x, y)).transform(frame(spark, x, y)))
     order = np.random.default_rng(1).permutation(len(x))
     df = frame(spark, x, y)
-    other = spark.createDataFrame([df.collect()[i] for i in order], df.schema).repartition(7)
+    got = df.collect()
+    other = spark.createDataFrame([got[i] for i in order], df.schema).repartition(7)
     b = scores(forest().fit(other).transform(df.repartition(5)))
     assert np.array_equal(a[0], b[0]) and a[1] == b[1]
 
@@ -96,7 +97,7 @@ def test_trees_over_many_blocks_and_passes_equal_one_pass(spark, monkeypatch):
     x, y = rows(400)
     df = frame(spark, x, y).repartition(9)
     one = scores(forest().fit(df).transform(df))
-    for name, value in (("LOCAL_WEIGHT", 20), ("HIST_BYTES", 4000), ("FAN_IN", 2), ("SHARES", 64)):
+    for name, value in (("LOCAL_ROWS", 120), ("HIST_BYTES", 40000), ("FAN_IN", 2), ("SHARES", 64)):
         monkeypatch.setattr(FO, name, value)
     many = scores(forest().fit(df).transform(df))
     assert np.allclose(one[0], many[0], atol=1e-12) and one[1] == many[1]

@@ -95,7 +95,7 @@ def to_blocks(chunk: int, n_blocks: int, h: np.ndarray, cols: list[np.ndarray])
 
     Blocks are equal ranges, so the hashes must be spread over all 64 bits.
     """
-    block = ((h >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
+    block = block_of(h, n_blocks)
     cuts = np.flatnonzero(np.diff(block)) + 1
     edges = [0, *cuts.tolist(), len(h)] if len(h) else []
     return packed([(int(block[a]), chunk, b - a, _body(h[a:b], [c[a:b] for c in cols]))
@@ -125,10 +125,49 @@ def joined(table: pa.Table, dtypes: list) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c) for c in zip(*rows))
 
 
-def merge_in_block(dtypes: list, merge):
+def block_of(h: np.ndarray, n_blocks: int) -> np.ndarray:
+    """The block of each hash: blocks are equal ranges."""
+    return ((h >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
+
+
+def marked(which: np.ndarray, cols: list[np.ndarray]) -> tuple[int, bytes]:
+    """A reply by place: a bit for each entry sent, and then the columns of those marked."""
+    body = np.packbits(which).tobytes() + b"".join(planes(c[which]) for c in cols)
+    return int(which.sum()), codec().compress(body, asbytes=True)
+
+
+def unmarked(body: bytes, sent: int, n: int, dtypes: list) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of ``sent`` entries the places marked, and their columns."""
+    at = -(-sent // 8)
+    size = at + n * sum(np.dtype(d).itemsize for d in dtypes)
+    raw = memoryview(codec().decompress(body, decompressed_size=size, asbytes=True))
+    places = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, at), count=sent))
+    if len(places) != n:
+        raise ValueError("a reply does not fit what the chunk sent")
+    cols = []
+    for d in dtypes:
+        cols.append(unplanes(raw[at:], n, d))
+        at += n * np.dtype(d).itemsize
+    return places, cols
+
+
+def placed(h: np.ndarray, n_blocks: int, replies: pa.Table, dtypes: list) -> tuple[np.ndarray, ...]:
+    """Replies by place to the sorted hashes ``h`` that a chunk sent: the places in ``h`` that matter, ascending, and their columns."""
+    block, parts = block_of(h, n_blocks), []
+    for b, n, body in sorted(zip(*(replies[c].to_pylist() for c in ("block", "n", "body")))):
+        lo, hi = np.searchsorted(block, np.array([b, b + 1], np.uint64)).tolist()
+        at, cols = unmarked(body, hi - lo, n, dtypes)
+        parts.append((at + lo, *cols))
+    if not parts:
+        return tuple(np.zeros(0, d) for d in (np.int64, *dtypes))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def merge_in_block(dtypes: list, merge, by_place: bool = False):
     """A block's task: ``merge(h, cols) -> (which of the entries matter, columns to send back)``
     sees all entries sorted by hash and then by the columns in turn; what
-    matters goes back to the chunk it came from.
+    matters goes back to the chunk it came from, with its hashes or, ``by_place``, by
+    its places among what the chunk sent (whose hashes must be distinct).
     """
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -141,11 +180,17 @@ def merge_in_block(dtypes: list, merge):
         new[1:] = h[1:] != h[:-1]
         run_of = np.cumsum(new) - 1
         matters, back = merge(np.flatnonzero(new), run_of, cols)
+        chunk, block = table["chunk"].to_pylist(), table["block"].to_pylist()
+        if by_place:
+            by = np.argsort(sent, kind="stable")      # keeps the hash order within a sender
+            which, back = matters[by], [b[by] for b in back]
+            ends = np.cumsum([len(r[0]) for r in rows]).tolist()
+            return packed([(block[i], chunk[i], *marked(which[a:b], [c[a:b] for c in back]))
+                           for i, (a, b) in enumerate(zip([0, *ends], ends)) if which[a:b].any()])
         h, sent, back = h[matters], sent[matters], [b[matters] for b in back]
         by = np.argsort(sent, kind="stable")          # keeps the hash order within a sender
         h, sent, back = h[by], sent[by], [b[by] for b in back]
         edges = np.searchsorted(sent, np.arange(len(rows) + 1))
-        chunk, block = table["chunk"].to_pylist(), table["block"].to_pylist()
         return packed([(block[i], chunk[i], int(b - a), _body(h[a:b], [c[a:b] for c in back]))
                        for i, (a, b) in enumerate(zip(edges, edges[1:])) if b > a])
     return run
@@ -171,5 +216,5 @@ def with_replies(t: DataFrame, replies: DataFrame, fn, schema: str) -> DataFrame
     return t.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def per_block(entries: DataFrame, dtypes: list, merge) -> DataFrame:
-    return entries.groupBy("block").applyInArrow(merge_in_block(dtypes, merge), PACKED)
+def per_block(entries: DataFrame, dtypes: list, merge, by_place: bool = False) -> DataFrame:
+    return entries.groupBy("block").applyInArrow(merge_in_block(dtypes, merge, by_place), PACKED)

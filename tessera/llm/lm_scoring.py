@@ -13,8 +13,8 @@ into chunks and the table into blocks (see ``blocks``).
 
 1. Word counts are collapsed per worker batch and then per word; from them
    come the vocabulary's size and, by count, its words.
-2. A chunk sends its distinct words and gets back the ids of those in the
-   vocabulary.
+2. A chunk sends its distinct words and gets back, by place, the ids of those
+   in the vocabulary.
 3. A chunk sends each of its distinct bigrams once, with its counts in both
    models. A bigram's key is a permutation of (id, id), so no two bigrams share
    one; a frequent bigram is one entry per chunk. The counts of a word, and of
@@ -44,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import (NULL_ID, PACKED, block_count, chunk_of, chunked, codec, find, joined, packed, per_block,
-                     per_chunk, planes, to_blocks, unpack, unplanes, with_replies)
+from .blocks import (NULL_ID, PACKED, block_count, block_of, chunk_of, chunked, marked, packed, per_block, per_chunk,
+                     placed, to_blocks, unmarked, unpack, with_replies)
 from .common import small_batches, staged, text_of, unstage
 from .words import mix64, pieces, word_hashes, word_spans
 
@@ -100,22 +100,24 @@ class _Tokens:
     """A chunk's words as places in its own short list of ids: <unk>, start, then its vocabulary words."""
 
     def __init__(self, table: pa.Table, replies: pa.Table, n_blocks: int):
-        self.words, rank = joined(replies, [np.uint32])
-        block = ((self.words >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
-        self.ids = np.concatenate([np.array([UNK, START], np.uint64),
-                                   rank.astype(np.uint64) * np.uint64(n_blocks) + block + np.uint64(FIRST)])
-        rows, words, befores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        rows, hashes, firsts, n = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         for at, _, data, offs in pieces(table["t"].combine_chunks()):
             s, e, first = word_spans(data, offs)
-            hit, where = find(word_hashes(data, s, e, lower=True), self.words)
-            word = np.where(hit, where + 2, UNK)
-            before = np.empty_like(word)
-            before[1:] = word[:-1]
-            before[first[:-1][np.diff(first) > 0]] = START
+            hashes.append(word_hashes(data, s, e, lower=True))
             rows.append(np.repeat(np.arange(len(offs) - 1), np.diff(first)) + at)
-            words.append(word)
-            befores.append(before)
-        self.row, word, before = np.concatenate(rows), np.concatenate(words), np.concatenate(befores)
+            firsts.append(first[:-1][np.diff(first) > 0] + n)
+            n += len(s)
+        sent, word = np.unique(np.concatenate(hashes), return_inverse=True)
+        kept, rank = placed(sent, n_blocks, replies, [np.uint32])
+        block = block_of(sent[kept], n_blocks)
+        self.ids = np.concatenate([np.array([UNK, START], np.uint64),
+                                   rank.astype(np.uint64) * np.uint64(n_blocks) + block + np.uint64(FIRST)])
+        place = np.full(len(sent), UNK)
+        place[kept] = np.arange(len(kept)) + 2
+        self.row, word = np.concatenate(rows), place[word]
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[np.concatenate(firsts)] = START
         # each bigram once: its two places, and for each token the bigram it ends
         code, self.pair = np.unique(before * len(self.ids) + word, return_inverse=True)
         self.before, self.word = code // len(self.ids), code % len(self.ids)
@@ -186,11 +188,6 @@ def _send_pairs(n_blocks: int, n_pair_blocks: int, bits: int):
     return run
 
 
-def _block_of(key: np.ndarray, n_blocks: int) -> np.ndarray:
-    """The block of each key, as ``to_blocks`` deals them."""
-    return ((key >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
-
-
 def _add(table: pa.Table) -> pa.Table:
     """Totals of a block's entries, sent back by place: a chunk knows what it sent in which order.
 
@@ -213,25 +210,19 @@ def _add(table: pa.Table) -> pa.Table:
     ends = np.cumsum([len(r[0]) for r in rows])
     out = []
     for b, c, a, e in zip(table["block"].to_pylist(), table["chunk"].to_pylist(), [0, *ends.tolist()], ends.tolist()):
-        d = differs[a:e]
-        if d.any():
-            body = np.packbits(d).tobytes() + b"".join(planes(x[a:e][d]) for x in totals)
-            out.append((b, c, int(d.sum()), codec().compress(body, asbytes=True)))
+        if differs[a:e].any():
+            out.append((b, c, *marked(differs[a:e], [x[a:e] for x in totals])))
     return packed(out)
 
 
 def _answered(order: np.ndarray, key: np.ndarray, counts: list[np.ndarray], replies: pa.Table, n_blocks: int) -> None:
     """Put the totals of the replies in place of a chunk's own counts; ``order`` sorts its keys."""
-    block = _block_of(key[order], n_blocks)
+    block = block_of(key[order], n_blocks)
     for b, n, body in zip(*(replies[c].to_pylist() for c in ("block", "n", "body"))):
         lo, hi = np.searchsorted(block, np.array([b - PAIRS, b - PAIRS + 1], np.uint64)).tolist()
-        bits = -(-(hi - lo) // 8)
-        raw = memoryview(codec().decompress(body, decompressed_size=bits + 16 * n, asbytes=True))
-        at = order[lo:hi][np.unpackbits(np.frombuffer(raw, np.uint8, bits), count=hi - lo).astype(bool)]
-        if len(at) != n:
-            raise ValueError("a reply does not fit what the chunk sent")
-        for i, c in enumerate(counts):
-            c[at] = unplanes(raw[bits + 8 * n * i:], n, np.int64)
+        at, totals = unmarked(body, hi - lo, n, [np.int64, np.int64])
+        for c, total in zip(counts, totals):
+            c[order[lo:hi][at]] = total
 
 
 def _scores(n_blocks: int, n_pair_blocks: int, bits: int, size: int):
@@ -283,7 +274,7 @@ def cross_entropy_difference(docs: DataFrame, good: DataFrame, id_col: str = "do
     t = chunked(docs, blocks, id_col, text_col).select("chunk", "doc_id", "t")
     target = good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().where(F.col("doc_id") != NULL_ID)
     target = per_chunk(target.select(chunk_of(F.col("doc_id"), blocks).alias("chunk"), "doc_id"), _pack_ids, PACKED)
-    ids = per_block(per_chunk(t, _send_words(blocks), PACKED), [np.uint32], _number(least))
+    ids = per_block(per_chunk(t, _send_words(blocks), PACKED), [np.uint32], _number(least), by_place=True)
     pairs = with_replies(t, ids.unionByName(target), _send_pairs(blocks, pair_blocks, bits), PACKED)
     totals = pairs.groupBy("block").applyInArrow(_add, PACKED).withColumn("block", F.col("block") + F.lit(PAIRS))
     return with_replies(t, ids.unionByName(target).unionByName(totals), _scores(blocks, pair_blocks, bits, words + 2),

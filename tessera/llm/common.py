@@ -84,6 +84,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Words of 64 bits in which ``without`` marks keys: what is broadcast has so many rows at most.
+MARK_WORDS = 1 << 18
+
+
+def without(docs: DataFrame, gone: DataFrame, own: Column, key: str, on: Column) -> DataFrame:
+    """``docs`` less the rows for which ``on`` finds a row in ``gone``, exactly.
+
+    ``on`` must imply that ``own`` equals ``gone``'s column ``key``. Hashes of the keys are marked in a
+    bitmap of bounded size, which is broadcast; only rows whose bit is set are shuffled, with their
+    texts, for the join that decides. Reads ``docs`` twice.
+    """
+    word, bits = unused(docs, "_mark_word", "_mark_bits")
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(MARK_WORDS))
+
+    def bit(c: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(c), 58).cast("int")
+    bit_of = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(key)))
+    marks = gone.groupBy(place(F.col(key)).alias(word)).agg(F.bit_or(bit_of).alias(bits))
+    rows = docs.join(F.broadcast(marks), place(own) == F.col(word), "left")
+    hit = F.getbit(F.coalesce(bits, F.lit(0).cast("long")), bit(own)) == 1
+    asked = rows.where(hit).drop(word, bits)
+    return rows.where(~hit).drop(word, bits).unionByName(asked.join(gone, on, "left_anti"))
+
+
 def total_chars(docs: DataFrame, text: str = "text") -> int:
     """Code points in all texts: one narrow aggregate, used to size blocks."""
     return int(docs.agg(F.sum(F.char_length(F.col(text)))).first()[0] or 0)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, quoted, staged, text_of, unused
+from .common import WS, quoted, staged, text_of, unused, without
 
 PREFIX_CHARS = 64
 
@@ -89,7 +89,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The row that stays is the one ``exact_groups`` keeps; of several such rows
     (they share their doc_id, which may be null) that with the least digest of
     the whole text, and any one of rows equal in that too. Rows are dropped by
-    doc_id and digest, so another text of the same doc_id stays.
+    doc_id and digest, so another text of the same doc_id stays. Texts are shuffled
+    only of rows whose doc_id may be one of those (``without``).
     """
     keys = _grouped(staged(key_table(docs, id_col, text_col, raw=True), "exact-keys"))
     wins = F.col("n").isNull() | (F.col("doc_id").eqNullSafe(F.col("b.i")) & (F.col("raw") == F.col("b.raw")))
@@ -99,7 +100,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = staged(rows.where(~F.col(rwins) | (F.col(rn) > 1)), "exact-rows")
     raw = F.unhex(F.sha2(text_of(text_col), 256))
     is_row = quoted(id_col).eqNullSafe(F.col(rid)) & (raw == F.col(rraw))
-    out = docs.join(rows, is_row, "left_anti")
+    out = without(docs, rows, quoted(id_col), rid, is_row)
     several = rows.where(rwins)
     if several.isEmpty():
         return out

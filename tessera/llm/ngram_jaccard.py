@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .blocks import (NULL_ID, PACKED, block_count, chunked, find, joined, per_block, per_chunk,
                      to_blocks, with_replies)
-from .common import quoted, staged, unstage, unused
+from .common import quoted, staged, unstage, unused, without
 from .words import ngram_hashes, pieces, window_places, word_hashes, word_spans
 
 N = 5
@@ -479,4 +479,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     c = jaccard_components(named, rid, text_col, n, percent)
     gone = c.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone_id)).distinct()
     gone = staged(gone, "near-copies")
-    return named.join(gone, named[rid] == gone[gone_id], "left_anti").drop(rid)
+    return without(named, gone, F.col(rid), gone_id, F.col(rid) == F.col(gone_id)).drop(rid)

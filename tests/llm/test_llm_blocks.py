@@ -12,7 +12,7 @@ def asked(merge, by_place, sent, n_blocks=3):
     """What each chunk gets back for the hashes that it sent, as (table of replies)."""
     entries = pa.concat_tables([B.to_blocks(i, n_blocks, h, [c]) for i, (h, c) in enumerate(sent)])
     run = B.merge_in_block([np.uint32], merge, by_place)
-    got = pa.concat_tables([run(entries.filter(pa.array(entries["block"].to_numpy() == b))) for b in range(n_blocks)])
+    got = pa.concat_tables([run(entries.filter(pa.array(entries["block"].to_numpy() == b))) for b in np.unique(entries["block"].to_numpy())])
     return [got.filter(pa.array(got["chunk"].to_numpy() == i)) for i in range(len(sent))]
 
 

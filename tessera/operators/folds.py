@@ -98,6 +98,7 @@ def fit_logistic_folds(blocks: Blocks, folds: Sequence[int | None], l2: Sequence
             if gradient @ step[i] < tolerance * max(1.0, loss[i]):
                 moving[i] = False
             w[i] = at[i] - step[i]
+    blocks.unpersist()
     return FoldLogistic(models, w, passes)
 
 
